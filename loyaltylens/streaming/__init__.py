@@ -1,0 +1 @@
+"""No streaming operators: every job of this package is a full-refresh batch."""
