@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loyaltylens.functions import exprs, fixed, periods
 from loyaltylens.operators import cities, identity, kpis
 from loyaltylens.operators import penetration as ops
-from loyaltylens.operators.joins import lookup_join
+from loyaltylens.operators.joins import checked, lookup_join
 from loyaltylens.plans import location, penetration, scorecards
 from loyaltylens.sources.retail_binding import AS_OF, FOOTFALL_ROWS, RetailBinding
 from loyaltylens.sources.tables import with_audit_columns
@@ -53,7 +53,7 @@ def scan_project(t: RetailBinding) -> DataFrame:
 @query
 def star_join(t: RetailBinding) -> DataFrame:
     mapping = t["segment_map"].select(F.col("prop_key").alias("_segment"), "city_cn")
-    joined = lookup_join(t["prop_log"].alias("base"), mapping, {"prop_key": "_segment"}, how="inner")
+    joined = lookup_join(t["prop_log"].alias("base"), checked(mapping), {"prop_key": "_segment"}, how="inner")
     return joined.select("base.*", "city_cn").withColumn("update_time", _day("update_time"))
 
 
@@ -206,12 +206,12 @@ def city_tier_lookup(t: RetailBinding) -> DataFrame:
 @query
 def segment_labels(t: RetailBinding) -> DataFrame:
     lines = t["omni"].groupBy("order_city").agg(_lines())
-    maturity = cities.city_maturity(t["store"], t["city_type"])
+    bands = cities.city_bands(t["store"], t["city_type"])
     tiers = cities.city_tiers(t["city_tier"])
     labelled = cities.maturity_labelled(
-        lines, maturity, city="order_city", missing_city=fixed.NO_ORDER_CITY, total=False
+        lines, bands, city="order_city", missing_city=fixed.NO_ORDER_CITY, total=False
     ).withColumnRenamed("city_maturity_type", "online_band")
-    labelled = cities.maturity_labelled(labelled, maturity, city="order_city", total=False).withColumnRenamed(
+    labelled = cities.maturity_labelled(labelled, bands, city="order_city", total=False).withColumnRenamed(
         "city_maturity_type", "offline_band"
     )
     labelled = cities.tier_labelled(labelled, tiers, city="order_city", total=False)
@@ -221,8 +221,9 @@ def segment_labels(t: RetailBinding) -> DataFrame:
 @query
 def calendar_enrich(t: RetailBinding) -> DataFrame:
     orders = t["omni"].select("parent_order_id", "order_paid_date", "first_bind_time").distinct()
-    dated = identity.with_calendar(orders, t["calendar"], AS_OF, "order_paid_date", "trans")
-    return identity.with_calendar(dated, t["calendar"], AS_OF, "first_bind_time", "reg")
+    days = identity.calendar_days(t["calendar"], AS_OF)
+    dated = identity.with_calendar(orders, days, "order_paid_date", "trans")
+    return identity.with_calendar(dated, days, "first_bind_time", "reg")
 
 
 @query
@@ -311,8 +312,12 @@ def omni_fact(t: RetailBinding) -> DataFrame:
 
 @query
 def member_transactions(t: RetailBinding) -> DataFrame:
-    maturity = cities.city_maturity(t["store"], t["city_type"])
-    return identity.member_transactions(t["omni"], t["crm"], t["calendar"], maturity, AS_OF)
+    bands = cities.city_bands(t["store"], t["city_type"])
+    return identity.member_transactions(t["omni"], t["crm"], t["calendar"], bands, AS_OF)
+
+
+def _bands(t: RetailBinding) -> cities.CityBands:
+    return cities.city_bands(t["store"], t["city_type"])
 
 
 def _buyers(t: RetailBinding, *, with_years: bool = False) -> DataFrame:
@@ -320,8 +325,8 @@ def _buyers(t: RetailBinding, *, with_years: bool = False) -> DataFrame:
 
 
 def _typed_buyers(t: RetailBinding, *, with_years: bool = False) -> DataFrame:
-    typed = identity.typed_cities(cities.city_maturity(t["store"], t["city_type"]))
-    return penetration.in_cities(_buyers(t, with_years=with_years), typed)
+    typed = _bands(t).typed_cities()
+    return lookup_join(_buyers(t, with_years=with_years), typed, {"city": "city_cn"}, how="left_semi")
 
 
 @query
@@ -340,17 +345,17 @@ def lbs_only_members(t: RetailBinding) -> DataFrame:
 
 @query
 def member_base_city(t: RetailBinding) -> DataFrame:
-    return penetration.city_members(t, _buyers(t)).select(F.col("city").alias("city_cn"), "ttl_member_base")
+    return penetration.city_members(t, _buyers(t), _bands(t)).select(F.col("city").alias("city_cn"), "ttl_member_base")
 
 
 @query
 def member_base_maturity(t: RetailBinding) -> DataFrame:
-    return penetration.maturity_members(t, _buyers(t)).select("city_maturity_type", "ttl_member_base")
+    return penetration.maturity_members(t, _buyers(t), _bands(t)).select("city_maturity_type", "ttl_member_base")
 
 
 @query
 def adult_sku_from_age(t: RetailBinding) -> DataFrame:
-    return ops.adult_skus(t["product"])
+    return ops.adult_skus(t["product"]).rows
 
 
 @query
@@ -361,8 +366,7 @@ def kids_adult_split(t: RetailBinding) -> DataFrame:
 @query
 def kids_adult_split_portfolio(t: RetailBinding) -> DataFrame:
     profile = penetration.buyers(t, AS_OF, ops.adult_portfolio(t["portfolio"]))
-    maturity = cities.city_maturity(t["store"], t["city_type"])
-    labelled = cities.maturity_labelled(profile, maturity, city="city", total=False)
+    labelled = cities.maturity_labelled(profile, _bands(t), city="city", total=False)
     return ops.kids_adult_shoppers(labelled, "city_maturity_type")
 
 
@@ -411,8 +415,8 @@ def penetration_maturity(t: RetailBinding) -> DataFrame:
 
 @query
 def totals_rows(t: RetailBinding) -> DataFrame:
-    members = penetration.maturity_members(t, penetration.buyers(t, AS_OF, ops.adult_portfolio(t["portfolio"])))
-    return penetration.total_rows(members, t)
+    profile = penetration.buyers(t, AS_OF, ops.adult_portfolio(t["portfolio"]))
+    return penetration.total_rows(penetration.maturity_members(t, profile, _bands(t)), t)
 
 
 # -- sales and member KPIs -------------------------------------------------------------------------

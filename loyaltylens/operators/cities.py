@@ -2,30 +2,62 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loyaltylens.functions import fixed
-from loyaltylens.operators.joins import lookup_join
+from loyaltylens.operators.joins import Lookup, checked, lookup_join
+
+
+@dataclass(frozen=True)
+class CityBands:
+    """Maturity bands of the cities that have a store."""
+
+    by_city: Lookup  # city_cn, city_maturity_type
+    by_store: Lookup  # store_code, city_maturity_type
+
+    def typed_cities(self) -> Lookup:
+        """Cities that have a band."""
+        return self.by_city.of_same_size(_with_band(self.by_city.rows).select("city_cn").distinct())
+
+    def typed_stores(self) -> Lookup:
+        """Stores of cities that have a band."""
+        return self.by_store.of_same_size(_with_band(self.by_store.rows).select("store_code").distinct())
+
+
+def _with_band(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("city_maturity_type").isNotNull())
 
 
 def city_maturity(stores: DataFrame, city_type: DataFrame) -> DataFrame:
     """Maturity band of every city that has a store; NULL for a city without a band."""
-    cities = stores.select("city_cn").distinct()
-    bands = city_type.select("city_chn", F.col("city_type").alias("city_maturity_type"))
-    return cities.join(bands, cities.city_cn == bands.city_chn, "left").select("city_cn", "city_maturity_type").distinct()
+    return _banded(stores.select("city_cn").distinct(), city_type, "city_cn")
 
 
 def store_maturity(stores: DataFrame, city_type: DataFrame) -> DataFrame:
     """Maturity band of every store."""
-    places = stores.select("store_code", "city_cn").distinct()
+    return _banded(stores.select("store_code", "city_cn").distinct(), city_type, "store_code")
+
+
+def _banded(places: DataFrame, city_type: DataFrame, key: str) -> DataFrame:
     bands = city_type.select("city_chn", F.col("city_type").alias("city_maturity_type"))
     joined = places.join(bands, places.city_cn == bands.city_chn, "left")
-    return joined.select("store_code", "city_maturity_type").distinct()
+    return joined.select(key, "city_maturity_type").distinct()
+
+
+def city_bands(stores: DataFrame, city_type: DataFrame) -> CityBands:
+    """Both lookups; there are no more cities than stores, so one count is enough for both."""
+    by_store = checked(store_maturity(stores, city_type), bound=stores)
+    by_city = city_maturity(stores, city_type)
+    return CityBands(by_store.of_same_size(by_city) if by_store.small else checked(by_city), by_store)
 
 
-def city_tiers(city_tier: DataFrame) -> DataFrame:
-    return city_tier.select(F.col("city_chn").alias("city_cn"), "city_tier").distinct()
+def city_tiers(city_tier: DataFrame) -> Lookup:
+    """city_cn, city_tier"""
+    tiers = city_tier.select(F.col("city_chn").alias("city_cn"), "city_tier").distinct()
+    return checked(tiers, bound=city_tier)
 
 
 def label_sets(lookup: DataFrame, key: str, label: str, missing: str) -> DataFrame:
@@ -36,7 +68,7 @@ def label_sets(lookup: DataFrame, key: str, label: str, missing: str) -> DataFra
 
 def with_labels(
     facts: DataFrame,
-    lookup: DataFrame,
+    lookup: Lookup,
     *,
     fact_key: str,
     lookup_key: str,
@@ -51,8 +83,8 @@ def with_labels(
     A key without a label gets ``missing_label`` and a missing key ``missing_key_label`` (the same by
     default).  A key with several labels counts under each of them but once in the total.
     """
-    sets = label_sets(lookup, lookup_key, lookup_label, missing_label)
-    joined = lookup_join(facts, sets, {fact_key: lookup_key})
+    sets = label_sets(lookup.rows, lookup_key, lookup_label, missing_label)
+    joined = lookup_join(facts, lookup.of_same_size(sets), {fact_key: lookup_key})
     found = F.coalesce(F.col("_labels"), F.array(F.lit(missing_label)))
     if missing_key_label is not None:
         found = F.when(F.col(fact_key).isNull(), F.array(F.lit(missing_key_label))).otherwise(found)
@@ -62,11 +94,11 @@ def with_labels(
 
 
 def maturity_labelled(
-    facts: DataFrame, maturity: DataFrame, *, city: str, missing_city: str | None = None, total: bool = True
+    facts: DataFrame, bands: CityBands, *, city: str, missing_city: str | None = None, total: bool = True
 ) -> DataFrame:
     return with_labels(
         facts,
-        maturity,
+        bands.by_city,
         fact_key=city,
         lookup_key="city_cn",
         lookup_label="city_maturity_type",
@@ -77,7 +109,7 @@ def maturity_labelled(
     )
 
 
-def tier_labelled(facts: DataFrame, tiers: DataFrame, *, city: str, total: bool = True) -> DataFrame:
+def tier_labelled(facts: DataFrame, tiers: Lookup, *, city: str, total: bool = True) -> DataFrame:
     return with_labels(
         facts,
         tiers,

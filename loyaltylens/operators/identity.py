@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from loyaltylens.functions import fixed
 from loyaltylens.functions.exprs import canonical_id, effective_member_order, eligible, known_kind
-from loyaltylens.operators.joins import lookup_join, spread_missing
+from loyaltylens.operators.cities import CityBands
+from loyaltylens.operators.joins import Lookup, checked, lookup_join, spread_missing
 
 
 def eligible_orders(omni: DataFrame, as_of: date, *, members_only: bool = True) -> DataFrame:
@@ -35,41 +36,44 @@ def resolve_identity(orders: DataFrame, crm: DataFrame, spread: tuple[str, ...]
     return matched.withColumn("omni_member_id", resolved).drop("_order_key", "_crm_key", "_crm_id")
 
 
+def member_references(orders: DataFrame, *also: str) -> DataFrame:
+    """Order columns that decide the member id, with ``also``; all NULL where the id kind names no member."""
+    known = known_kind(F.col("type_name"))
+    return orders.select(
+        "order_city",
+        *(F.when(known, F.col(c)).alias(c) for c in ("type_name", "type_value", "crm_member_detail_id")),
+        *also,
+    )
+
+
 def member_cities(orders: DataFrame, crm: DataFrame) -> DataFrame:
     """Distinct (order city, member id); orders are reduced to distinct references before the join."""
-    references = orders.select(
-        "order_city",
-        "crm_member_detail_id",
-        F.when(known_kind(F.col("type_name")), F.col("type_name")).alias("type_name"),
-        F.when(known_kind(F.col("type_name")), F.col("type_value")).alias("type_value"),
-    ).distinct()
+    references = member_references(orders).distinct()
     return resolve_identity(references, crm).select("order_city", "omni_member_id").distinct()
 
 
-def with_calendar(df: DataFrame, calendar: DataFrame, as_of: date, date_col: str, prefix: str) -> DataFrame:
-    """Fiscal year, quarter and month of ``date_col``; days from ``as_of`` on have none.
+def calendar_days(calendar: DataFrame, as_of: date) -> Lookup:
+    """Fiscal periods of the days before ``as_of``."""
+    days = calendar.filter((F.col("date_type") == fixed.DAY_ROW) & (F.col("date_id") < F.lit(as_of)))
+    return checked(days.select("date_id", "fiscal_year", "fiscal_quarter", "fiscal_month").distinct(), bound=calendar)
+
+
+def with_calendar(df: DataFrame, days: Lookup, date_col: str, prefix: str) -> DataFrame:
+    """Fiscal year, quarter and month of ``date_col``, NULL for a day outside ``days``.
 
     Call it once per role of the calendar, with a prefix each.
     """
-    days = (
-        calendar.filter((F.col("date_type") == fixed.DAY_ROW) & (F.col("date_id") < F.lit(as_of)))
-        .select(
-            "date_id",
-            F.col("fiscal_year").alias(f"{prefix}_fiscal_year"),
-            F.col("fiscal_quarter").alias(f"{prefix}_fiscal_quarter"),
-            F.col("fiscal_month").alias(f"{prefix}_fiscal_month"),
-        )
-        .distinct()
-    )
-    return lookup_join(df, days, {date_col: "date_id"})
+    periods = {f"fiscal_{part}": f"{prefix}_fiscal_{part}" for part in ("year", "quarter", "month")}
+    return lookup_join(df, days.of_same_size(days.rows.withColumnsRenamed(periods)), {date_col: "date_id"})
 
 
 def omni_fact(omni: DataFrame, crm: DataFrame, calendar: DataFrame, as_of: date, channels: tuple[str, ...]) -> DataFrame:
     """Eligible order lines with member id and the fiscal periods of the order and of the registration."""
     lines = resolve_identity(omni.filter(eligible(channels, as_of)), crm, ("type_value", "parent_order_id"))
     lines = lines.withColumn("registered_on", F.coalesce("join_time", "first_bind_time"))
-    lines = with_calendar(lines, calendar, as_of, "order_paid_date", "trans")
-    lines = with_calendar(lines, calendar, as_of, "registered_on", "reg")
+    days = calendar_days(calendar, as_of)
+    lines = with_calendar(lines, days, "order_paid_date", "trans")
+    lines = with_calendar(lines, days, "registered_on", "reg")
     return lines.select(
         "order_city", "order_paid_date", "kyid", "omni_member_id", "parent_order_id", "sales_qty", "if_eff_order_tag",
         "is_member_order", "order_rrp_amt", "trans_fiscal_year", "trans_fiscal_quarter", "trans_fiscal_month",
@@ -77,37 +81,38 @@ def omni_fact(omni: DataFrame, crm: DataFrame, calendar: DataFrame, as_of: date,
     )
 
 
-def typed_cities(maturity: DataFrame) -> DataFrame:
-    """Cities with a store and a maturity band."""
-    return maturity.filter(F.col("city_maturity_type").isNotNull()).select("city_cn").distinct()
-
-
-def member_transactions(
-    omni: DataFrame, crm: DataFrame, calendar: DataFrame, maturity: DataFrame, as_of: date
-) -> DataFrame:
+def member_transactions(omni: DataFrame, crm: DataFrame, calendar: DataFrame, bands: CityBands, as_of: date) -> DataFrame:
     """Distinct member purchases (city, member, product, fiscal years) in cities with a band."""
-    lines = lookup_join(
-        eligible_orders(omni, as_of), typed_cities(maturity), {"order_city": "city_cn"}, how="left_semi"
+    lines = lookup_join(eligible_orders(omni, as_of), bands.typed_cities(), {"order_city": "city_cn"}, how="left_semi")
+    days = calendar_days(calendar, as_of)
+    dated = with_calendar(lines, days, "order_paid_date", "trans")
+    purchases = dated.select(
+        "order_city", "type_name", "type_value", "crm_member_detail_id", "sku_id", "trans_fiscal_year",
+        "first_bind_time",
+    ).distinct()
+    resolved = resolve_identity(purchases, crm, ("type_value", "sku_id"))
+    resolved = resolved.withColumn("registered_on", F.coalesce("join_time", "first_bind_time"))
+    return (
+        with_calendar(resolved, days, "registered_on", "reg")
+        .select(
+            F.col("order_city").alias("city_cn"), "omni_member_id", "sku_id", "trans_fiscal_year", "reg_fiscal_year"
+        )
+        .distinct()
     )
-    purchases = lines.select(
-        "order_city", "type_name", "type_value", "crm_member_detail_id", "sku_id", "order_paid_date", "first_bind_time"
-    ).distinct()
-    resolved = resolve_identity(purchases, crm, ("type_value", "sku_id")).withColumn("registered_on", F.coalesce("join_time", "first_bind_time"))
-    resolved = with_calendar(resolved, calendar, as_of, "order_paid_date", "trans")
-    resolved = with_calendar(resolved, calendar, as_of, "registered_on", "reg")
-    return resolved.select(
-        F.col("order_city").alias("city_cn"), "omni_member_id", "sku_id", "trans_fiscal_year", "reg_fiscal_year"
-    ).distinct()
+
+
+def registered_through(members: DataFrame, channel: str) -> DataFrame:
+    """Distinct ids of members whose registration channels include ``channel``."""
+    registered = members.filter(F.col("eff_reg_channel").contains(channel))
+    return registered.select(F.col("member_detail_id").cast("string").alias("member_id")).distinct()
 
 
 def registered_not_purchased(
     members: DataFrame, purchasers: DataFrame, channel: str = fixed.MINI_PROGRAM_MARK
 ) -> DataFrame:
     """Ids of members registered through ``channel`` that are no ``purchasers.omni_member_id``."""
-    registered = members.filter(F.col("eff_reg_channel").contains(channel)).select(
-        F.col("member_detail_id").cast("string").alias("member_id")
-    )
-    return registered.join(purchasers, registered.member_id == purchasers.omni_member_id, "left_anti").distinct()
+    registered = registered_through(members, channel)
+    return registered.join(purchasers, registered.member_id == purchasers.omni_member_id, "left_anti")
 
 
 def located_never_bought(located: DataFrame, never_bought: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,21 +17,38 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def lookup_join(
-    facts: DataFrame, lookup: DataFrame, on: dict[str, str], *, how: str = "left", small: bool | None = None
-) -> DataFrame:
-    """Join facts to a lookup table; ``on`` maps fact columns to lookup columns, which are dropped.
+@dataclass(frozen=True)
+class Lookup:
+    """A lookup table, and whether a count has shown that it is small enough to be broadcast."""
+
+    rows: DataFrame
+    small: bool
+
+    def of_same_size(self, rows: DataFrame) -> Lookup:
+        """Another form of this lookup that has no more rows."""
+        return Lookup(rows, self.small)
+
+
+def checked(rows: DataFrame, bound: DataFrame | None = None) -> Lookup:
+    """Check the size of a lookup.
 
-    A lookup that is counted to be small (or is known to be, by ``small``) is broadcast, so the facts are
-    not shuffled.  A larger one is repeated once per salt and joined on key and salt, so that a key that
-    holds a large share of the facts is spread over ``SALTS`` tasks.
+    ``bound`` is a table that cannot have fewer rows than ``rows`` and is cheaper to count; when it is small
+    the lookup itself need not be computed.
+    """
+    return Lookup(rows, (bound is not None and fits_broadcast(bound)) or fits_broadcast(rows))
+
+
+def lookup_join(facts: DataFrame, lookup: Lookup, on: dict[str, str], *, how: str = "left") -> DataFrame:
+    """Join facts to a lookup; ``on`` maps fact columns to lookup columns, which are dropped.
+
+    A small lookup is broadcast, so the facts are not shuffled.  A larger one is repeated once per salt and
+    joined on key and salt, so that a key that holds a large share of the facts is spread over ``SALTS``
+    tasks.
     """
-    if small is None:
-        small = fits_broadcast(lookup)
     keys = {right: f"_lookup_{right}" for right in on.values()}
-    right = lookup.withColumnsRenamed(keys)
+    right = lookup.rows.withColumnsRenamed(keys)
     condition = _all_equal({left: keys[r] for left, r in on.items()})
-    if small:
+    if lookup.small:
         return facts.join(F.broadcast(right), condition, how).drop(*keys.values())
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)))
     repeated = right.withColumn("_lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
@@ -53,7 +72,9 @@ def spread_missing(key: str, *by: str) -> Column:
     return F.coalesce(F.col(key).cast("string"), F.concat(F.lit("missing:"), F.xxhash64(*by).cast("string")))
 
 
-def flag_join(facts: DataFrame, members: DataFrame, on: dict[str, str], key: str, flag: str, spread: list[str]) -> DataFrame:
+def flag_join(
+    facts: DataFrame, members: DataFrame, on: dict[str, str], key: str, flag: str, spread: list[str]
+) -> DataFrame:
     """Add the boolean ``flag``: is there a row in ``members`` that equals the fact on all columns of ``on``?
 
     ``members`` is made distinct, so no fact is repeated.  ``key`` is the fact's member key, which may be

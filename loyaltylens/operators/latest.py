@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loyaltylens.operators.joins import fits_broadcast, lookup_join
+from loyaltylens.operators.joins import checked, lookup_join
 
 
 def latest_row(df: DataFrame, part: list[str], order: str, tie: list[str]) -> DataFrame:
@@ -27,9 +27,6 @@ def latest_batch(df: DataFrame, part: str, order: str, groups: DataFrame) -> Dat
     joined back instead of ranking each group in one task.
     """
     known = df.filter(F.col(order).isNotNull())
-    wanted_parts = groups.select(part).distinct()
-    small = fits_broadcast(wanted_parts)
-    wanted = lookup_join(known, wanted_parts, {part: part}, how="left_semi", small=small)
-    # One row per group, so as small as the checked ``groups``.
-    newest = wanted.groupBy(part).agg(F.max(order).alias(order))
-    return lookup_join(known, newest, {part: part, order: order}, how="left_semi", small=small)
+    wanted = checked(groups.select(part).distinct(), bound=groups)
+    newest = lookup_join(known, wanted, {part: part}, how="left_semi").groupBy(part).agg(F.max(order).alias(order))
+    return lookup_join(known, wanted.of_same_size(newest), {part: part, order: order}, how="left_semi")

@@ -4,42 +4,50 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loyaltylens.functions import fixed
-from loyaltylens.functions.exprs import age_years, as_double, band_of_level, change_ratio, safe_div
+from loyaltylens.functions.exprs import age_years, as_double, band_of_level, canonical_id, change_ratio, safe_div
 from loyaltylens.functions.periods import in_last_year, in_this_year, ytd_window
-from loyaltylens.operators.cities import store_maturity
-from loyaltylens.operators.identity import resolve_identity, with_calendar
-from loyaltylens.operators.joins import lookup_join
+from loyaltylens.operators.cities import CityBands
+from loyaltylens.operators.identity import (
+    calendar_days,
+    member_references,
+    registered_through,
+    resolve_identity,
+    with_calendar,
+)
+from loyaltylens.operators.joins import Lookup, checked, lookup_join
 
 
 # -- adult products -------------------------------------------------------------------------------
 
 
-def adult_skus(products: DataFrame, min_age: int = fixed.ADULT_MIN_AGE) -> DataFrame:
+def adult_skus(products: DataFrame, min_age: int = fixed.ADULT_MIN_AGE) -> Lookup:
     """Products whose age mark says ``min_age`` or older; marks that cannot be read do not count."""
-    return products.filter(age_years(F.col("age_mark")) >= min_age).select("sku_id").distinct()
+    old_enough = products.filter(age_years(F.col("age_mark")) >= min_age)
+    return checked(old_enough.select("sku_id").distinct(), bound=products)
 
 
-def adult_portfolio(portfolio: DataFrame) -> DataFrame:
+def adult_portfolio(portfolio: DataFrame) -> Lookup:
     """Products labelled for adults."""
-    return portfolio.filter(F.col("kids_vs_adult") == fixed.ADULT_PRODUCT).select("sku_id").distinct()
+    labelled = portfolio.filter(F.col("kids_vs_adult") == fixed.ADULT_PRODUCT)
+    return checked(labelled.select("sku_id").distinct(), bound=portfolio)
 
 
-def with_buyer_flags(lines: DataFrame, adult: DataFrame) -> DataFrame:
+def with_buyer_flags(lines: DataFrame, adult: Lookup) -> DataFrame:
     """Add ``is_adult`` (product is in the list) and ``is_kids`` (it is not).
 
     The second follows SQL's NOT IN: a list with a missing id, or a line without a product, makes "not in
     the list" unknown, and unknown does not count; an empty list holds nothing for certain.
     """
-    listed = adult.filter(F.col("sku_id").isNotNull()).select(
+    listed = adult.rows.filter(F.col("sku_id").isNotNull()).select(
         F.col("sku_id").cast("string").alias("_sku"), F.lit(True).alias("_listed")
     )
     keyed = lines.withColumn("_line_sku", F.col("sku_id").cast("string"))
-    flagged = lookup_join(keyed, listed, {"_line_sku": "_sku"})
-    list_state = adult.agg(
+    flagged = lookup_join(keyed, adult.of_same_size(listed), {"_line_sku": "_sku"})
+    list_state = adult.rows.agg(
         F.when(F.count(F.lit(1)) == 0, F.lit("empty"))
         .when(F.max(F.col("sku_id").isNull()), F.lit("has missing"))
         .otherwise(F.lit("complete"))
@@ -55,34 +63,31 @@ def with_buyer_flags(lines: DataFrame, adult: DataFrame) -> DataFrame:
 
 
 def buyer_profile(
-    orders: DataFrame,
-    crm: DataFrame,
-    adult: DataFrame,
-    *,
-    calendar: DataFrame | None = None,
-    as_of: date | None = None,
+    orders: DataFrame, crm: DataFrame, adult: Lookup, *, calendar: DataFrame | None = None, as_of: date | None = None
 ) -> DataFrame:
-    """One row per order city and member id, with what the member bought there.
+    """One row per order city and member id, with flags for what the member did there.
 
-    Columns: ``bought_kids``, ``bought_adult`` and, with a calendar, ``shopped_ty`` (in the fiscal year
-    that ``as_of`` falls into by its calendar year) and ``new_ty`` (registered in the same fiscal year).
-    Order lines are reduced to distinct references before they are joined to the members.
+    Flags: ``bought_kids``, ``bought_adult`` and, with a calendar, ``shopped_ty`` (in the fiscal year numbered
+    like the calendar year of ``as_of``) and ``new_ty`` (and registered in that fiscal year).  Order lines are
+    reduced to distinct references before they are joined to the members.
     """
     lines = with_buyer_flags(orders, adult)
+    years: tuple[str, ...] = ()
     if calendar is not None:
-        lines = with_calendar(lines, calendar, as_of, "order_paid_date", "trans")
-    else:
-        lines = lines.withColumns(
-            {"trans_fiscal_year": F.lit(None).cast("int"), "first_bind_time": F.lit(None).cast("date")}
-        )
-    references = lines.groupBy(
-        "order_city", "type_name", "type_value", "crm_member_detail_id", "first_bind_time", "trans_fiscal_year"
-    ).agg(F.max("is_kids").alias("is_kids"), F.max("is_adult").alias("is_adult"))
+        days = calendar_days(calendar, as_of)
+        lines = with_calendar(lines, days, "order_paid_date", "trans")
+        years = ("first_bind_time", "trans_fiscal_year")
+    keys = ("order_city", "type_name", "type_value", "crm_member_detail_id", *years)
+    references = (
+        member_references(lines, *years, "is_kids", "is_adult")
+        .groupBy(*keys)
+        .agg(F.max("is_kids").alias("bought_kids"), F.max("is_adult").alias("bought_adult"))
+    )
     people = resolve_identity(references, crm)
-    flags = {"bought_kids": F.col("is_kids"), "bought_adult": F.col("is_adult")}
+    flags = {"bought_kids": F.col("bought_kids"), "bought_adult": F.col("bought_adult")}
     if calendar is not None:
         people = people.withColumn("registered_on", F.coalesce("join_time", "first_bind_time"))
-        people = with_calendar(people, calendar, as_of, "registered_on", "reg")
+        people = with_calendar(people, days, "registered_on", "reg")
         this_year = F.col("trans_fiscal_year") == as_of.year
         flags["shopped_ty"] = this_year
         flags["new_ty"] = this_year & (F.col("trans_fiscal_year") == F.col("reg_fiscal_year"))
@@ -116,41 +121,57 @@ def registered_in_stores(members: DataFrame) -> DataFrame:
     return members.filter(F.col("eff_reg_channel").contains(fixed.STORE_MARK))
 
 
-def registered_by_city(members: DataFrame, stores: DataFrame, city_type: DataFrame) -> DataFrame:
+def registered_by_city(members: DataFrame, bands: CityBands) -> DataFrame:
     """(city of the member, member id) of those who registered in a store of a city with a band."""
-    typed = store_maturity(stores, city_type).filter(F.col("city_maturity_type").isNotNull())
     kept = lookup_join(
-        registered_in_stores(members), typed.select("store_code").distinct(), {"eff_reg_store": "store_code"},
-        how="left_semi",
-    )
+        registered_in_stores(members), bands.typed_stores(), {"eff_reg_store": "store_code"}, how="left_semi"
+    )
     return kept.select(F.col("city_cn").alias("city"), F.col("member_detail_id").cast("string").alias("omni_member_id"))
 
 
+def located_registrants(located: DataFrame, members: DataFrame) -> DataFrame:
+    """Distinct (city, member id) of located members who registered in the mini program."""
+    places = located.select(
+        F.col("city_cn").alias("city"), canonical_id(F.col("crm_member_id")).alias("omni_member_id")
+    ).distinct()
+    registrants = registered_through(members, fixed.MINI_PROGRAM_MARK)
+    return places.join(registrants, places.omni_member_id == registrants.member_id, "left_semi")
+
+
 def member_segments(
-    registered: DataFrame, profile: DataFrame, located: DataFrame, segment: str
+    registered: DataFrame, buyers: DataFrame, located: DataFrame, segment: str, flags: tuple[str, ...]
 ) -> DataFrame:
-    """Member base and kids/adult shoppers per segment, from one union and one aggregation.
+    """Member base and shopper counts per segment from one pass over the three member sources.
+
+    Each source has ``segment`` and ``omni_member_id``.  ``buyers`` also has the ``flags`` to count and
+    ``counted``: buyers outside the counted cities only matter because a located member who bought anywhere
+    is no member of the third source.  The rows are reduced to one per segment and member, so the window
+    that spreads "ever bought" over a member's rows never holds more rows than there are segments.
 
-    The three sources have a segment and ``omni_member_id``; ``profile`` adds the buyer flags.  A segment
-    without purchases has a member base but no shopper counts.
+    Result: ``ttl_member_base`` and one count per flag, NULL for a segment without counted buyers.
     """
-    none = F.lit(False)
-    blank = {"bought_kids": none, "bought_adult": none, "is_buyer": none}
-    columns = (segment, "omni_member_id", *blank)
-    rows = profile.withColumn("is_buyer", F.lit(True)).select(*columns)
-    for source in (registered, located):
-        rows = rows.unionByName(source.withColumns(blank).select(*columns))
-    counts = rows.groupBy(segment).agg(
-        F.count_distinct("omni_member_id").alias("ttl_member_base"),
-        _distinct_members("bought_kids").alias("_kids"),
-        _distinct_members("bought_adult").alias("_adult"),
-        F.max("is_buyer").alias("_has_buyers"),
-    )
-    return counts.select(
-        segment,
-        "ttl_member_base",
-        F.when(F.col("_has_buyers"), F.col("_kids")).alias("ttl_kids_member_shopper"),
-        F.when(F.col("_has_buyers"), F.col("_adult")).alias("ttl_adult_member_shopper"),
+    no, yes = F.lit(False), F.lit(True)
+    sources = (
+        buyers.withColumns({"bought": yes, "located": no, "buyer": F.col("counted")}),
+        registered.withColumns({"bought": no, "located": no, "buyer": no, "counted": yes, **dict.fromkeys(flags, no)}),
+        located.withColumns({"bought": no, "located": yes, "buyer": no, "counted": no, **dict.fromkeys(flags, no)}),
+    )
+    marks = ("counted", "buyer", "bought", "located", *flags)
+    rows = sources[0].select(segment, "omni_member_id", *marks)
+    for source in sources[1:]:
+        rows = rows.unionByName(source.select(segment, "omni_member_id", *marks))
+    people = rows.groupBy(segment, "omni_member_id").agg(*(F.max(m).alias(m) for m in marks))
+    ever_bought = F.max("bought").over(Window.partitionBy("omni_member_id"))
+    members = people.withColumn("_ever_bought", ever_bought).filter(
+        F.col("counted") | (F.col("located") & ~F.col("_ever_bought"))
+    )
+    counted = members.groupBy(segment).agg(
+        F.count("omni_member_id").alias("ttl_member_base"),
+        F.max("buyer").alias("_has_buyers"),
+        *(F.count(F.when(F.col("buyer") & F.col(f), F.col("omni_member_id"))).alias(f) for f in flags),
+    )
+    return counted.select(
+        segment, "ttl_member_base", *(F.when(F.col("_has_buyers"), F.col(f)).alias(f) for f in flags)
     )
 
 
@@ -200,7 +221,11 @@ def new_registrations(members: DataFrame, stores: DataFrame, as_of: date) -> Dat
     """
     joined_ty = registered_in_stores(members).filter(in_this_year(F.col("join_time"), ytd_window(as_of)))
     places = stores.select("store_code", F.col("city_cn").alias("store_city")).distinct()
-    located = lookup_join(joined_ty.select("member_detail_id", "eff_reg_store"), places, {"eff_reg_store": "store_code"})
+    located = lookup_join(
+        joined_ty.select("member_detail_id", "eff_reg_store"),
+        checked(places, bound=stores),
+        {"eff_reg_store": "store_code"},
+    )
     return located.groupBy(F.col("store_city").alias("city_cn")).agg(
         F.count_distinct("member_detail_id").alias("LCS_new_reg")
     )

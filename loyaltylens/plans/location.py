@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loyaltylens.functions import fixed
-from loyaltylens.operators.joins import lookup_join
+from loyaltylens.operators.joins import checked, lookup_join
 from loyaltylens.operators.latest import latest_batch, latest_row
 
 
@@ -18,7 +18,7 @@ def newest_segment_rows(log: DataFrame, segment_map: DataFrame) -> DataFrame:
     newest = latest_batch(log, "prop_key", "update_time", segment_map)
     in_segment = newest.filter(F.col("prop_value") == fixed.IN_SEGMENT)
     mapping = segment_map.select(F.col("prop_key").alias("_segment"), "city_cn")
-    return lookup_join(in_segment, mapping, {"prop_key": "_segment"}, how="inner")
+    return lookup_join(in_segment, checked(mapping), {"prop_key": "_segment"}, how="inner")
 
 
 def segment_users(log: DataFrame, segment_map: DataFrame) -> DataFrame:

@@ -9,16 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loyaltylens.functions import fixed
-from loyaltylens.functions.exprs import band_of_level
+from loyaltylens.functions.exprs import band_of_level, change_ratio, safe_div
 from loyaltylens.operators import penetration as ops
-from loyaltylens.operators.cities import city_maturity, maturity_labelled, store_maturity, with_labels
-from loyaltylens.operators.identity import (
-    eligible_orders,
-    located_never_bought,
-    registered_not_purchased,
-    typed_cities,
-)
-from loyaltylens.operators.joins import lookup_join
+from loyaltylens.operators.cities import CityBands, city_bands, maturity_labelled, with_labels
+from loyaltylens.operators.identity import eligible_orders
+from loyaltylens.operators.joins import Lookup, lookup_join
 
 Tables = Mapping[str, DataFrame]
 
@@ -30,88 +25,86 @@ REPORT_COLUMNS = (
 )
 
 
-def buyers(tables: Tables, as_of: date, adult: DataFrame, *, with_years: bool = False) -> DataFrame:
+SHOPPERS = {"bought_kids": "ttl_kids_member_shopper", "bought_adult": "ttl_adult_member_shopper"}
+NEW_SHOPPERS = {"shopped_ty": "_shoppers_ty", "new_ty": "_new_shoppers_ty"}
+
+
+def buyers(tables: Tables, as_of: date, adult: Lookup, *, with_years: bool = False) -> DataFrame:
     """What every member bought in every order city."""
     orders = eligible_orders(tables["omni"], as_of)
     calendar = tables["calendar"] if with_years else None
     return ops.buyer_profile(orders, tables["crm"], adult, calendar=calendar, as_of=as_of)
 
 
-def located_members(tables: Tables, profile: DataFrame) -> DataFrame:
-    """(city, member id) of located members who registered in the mini program and never bought."""
-    never_bought = registered_not_purchased(tables["member"], profile.select("omni_member_id"))
-    return located_never_bought(tables["located"], never_bought).withColumnRenamed("city_cn", "city")
-
-
-def in_cities(profile: DataFrame, cities: DataFrame) -> DataFrame:
-    """Rows of the (distinct) cities.
+def city_members(tables: Tables, profile: DataFrame, bands: CityBands, *, with_years: bool = False) -> DataFrame:
+    """Member base and shopper counts per city.
 
-    An inner join, because Spark pushes a semi join below the profile's aggregation; the profile would then
-    be computed once per use instead of once.
+    Registrations and purchases count in cities with a band; located members count in any city.
     """
-    return lookup_join(profile, cities, {"city": "city_cn"}, how="inner")
-
-
-def city_members(tables: Tables, profile: DataFrame) -> DataFrame:
-    """Member base and kids/adult shoppers per city."""
-    maturity = city_maturity(tables["store"], tables["city_type"])
-    in_typed = in_cities(profile, typed_cities(maturity))
-    registered = ops.registered_by_city(tables["member"], tables["store"], tables["city_type"])
-    return ops.member_segments(registered, in_typed, located_members(tables, profile), "city")
+    typed = bands.typed_cities()
+    marked = typed.of_same_size(typed.rows.withColumn("counted", F.lit(True)))
+    known = lookup_join(profile, marked, {"city": "city_cn"}).withColumn("counted", F.coalesce("counted", F.lit(False)))
+    counts = {**SHOPPERS, **(NEW_SHOPPERS if with_years else {})}
+    members = ops.member_segments(
+        ops.registered_by_city(tables["member"], bands),
+        known,
+        ops.located_registrants(tables["located"], tables["member"]),
+        "city",
+        tuple(counts),
+    )
+    return members.withColumnsRenamed(counts)
 
 
-def maturity_members(tables: Tables, profile: DataFrame) -> DataFrame:
-    """Member base and kids/adult shoppers per maturity band, also of cities without one."""
-    maturity = city_maturity(tables["store"], tables["city_type"])
+def maturity_members(tables: Tables, profile: DataFrame, bands: CityBands) -> DataFrame:
+    """Member base and shopper counts per maturity band, also of cities without one."""
     registered = with_labels(
         ops.registered_in_stores(tables["member"]).select(
             F.col("member_detail_id").cast("string").alias("omni_member_id"), "eff_reg_store"
         ),
-        store_maturity(tables["store"], tables["city_type"]),
+        bands.by_store,
         fact_key="eff_reg_store",
         lookup_key="store_code",
         lookup_label="city_maturity_type",
         label="city_maturity_type",
         missing_label=fixed.UNSPECIFIED_BAND,
     )
-    return ops.member_segments(
+    located = ops.located_registrants(tables["located"], tables["member"])
+    members = ops.member_segments(
         registered,
-        maturity_labelled(profile, maturity, city="city", total=False),
-        maturity_labelled(located_members(tables, profile), maturity, city="city", total=False),
+        maturity_labelled(profile, bands, city="city", total=False).withColumn("counted", F.lit(True)),
+        maturity_labelled(located, bands, city="city", total=False),
         "city_maturity_type",
+        tuple(SHOPPERS),
     )
+    return members.withColumnsRenamed(SHOPPERS)
 
 
 def member_kpis_city(tables: Tables, as_of: date, agg_type: str) -> DataFrame:
     """Member base, shoppers, stores, footfall growth, registration rate and new-shopper share per city."""
+    bands = city_bands(tables["store"], tables["city_type"])
     profile = buyers(tables, as_of, ops.adult_skus(tables["product"]), with_years=True)
-    maturity = city_maturity(tables["store"], tables["city_type"])
-    in_typed = in_cities(profile, typed_cities(maturity))
-    visitors = ops.footfall(tables["traffic"], as_of, agg_type)
-    parts = [
-        ops.new_shopper_share(in_typed, "city"),
-        ops.open_stores(tables["store"]).withColumnRenamed("city_cn", "city"),
-        visitors.withColumnRenamed("city_cn", "city"),
-        ops.new_registrations(tables["member"], tables["store"], as_of).withColumnRenamed("city_cn", "city"),
-    ]
-    report = city_members(tables, profile)
-    for part in parts:
-        report = report.join(part, "city", "left")
+    report = city_members(tables, profile, bands, with_years=True)
+    for part in (
+        ops.open_stores(tables["store"]),
+        ops.footfall(tables["traffic"], as_of, agg_type),
+        ops.new_registrations(tables["member"], tables["store"], as_of),
+    ):
+        report = report.join(part.withColumnRenamed("city_cn", "city"), "city", "left")
     return report.select(
         F.col("city").alias("city_cn"),
         "ttl_member_base",
-        "ttl_kids_member_shopper",
-        "ttl_adult_member_shopper",
+        *SHOPPERS.values(),
         "current_LCS_store_count",
-        ops.change_ratio(F.col("traffic_TY_YTD"), F.col("traffic_LY_YTD")).alias("LCS_YTD_traffic_growth"),
-        ops.safe_div(F.col("LCS_new_reg"), F.col("traffic_TY_YTD")).alias("LCS_YTD_regisration_rate"),
-        "new_member_shopper_share_YTD",
+        change_ratio(F.col("traffic_TY_YTD"), F.col("traffic_LY_YTD")).alias("LCS_YTD_traffic_growth"),
+        safe_div(F.col("LCS_new_reg"), F.col("traffic_TY_YTD")).alias("LCS_YTD_regisration_rate"),
+        safe_div(F.col("_new_shoppers_ty"), F.col("_shoppers_ty")).alias("new_member_shopper_share_YTD"),
     )
 
 
 def penetration_city(tables: Tables, as_of: date) -> DataFrame:
     """Penetration of every city with a population."""
-    members = city_members(tables, buyers(tables, as_of, ops.adult_skus(tables["product"])))
+    profile = buyers(tables, as_of, ops.adult_skus(tables["product"]))
+    members = city_members(tables, profile, city_bands(tables["store"], tables["city_type"]))
     cities = tables["population"]
     joined = cities.join(members, cities.city_cn == members.city, "left")
     band = band_of_level(F.col("city_maturity_level"), fixed.OTHERS).alias("city_maturity_level")
@@ -124,7 +117,8 @@ def penetration_maturity(tables: Tables, as_of: date) -> DataFrame:
     The first total adds the bands up, so a member of two bands counts twice; the second counts all
     members and all linked accounts without a member.
     """
-    members = maturity_members(tables, buyers(tables, as_of, ops.adult_portfolio(tables["portfolio"])))
+    profile = buyers(tables, as_of, ops.adult_portfolio(tables["portfolio"]))
+    members = maturity_members(tables, profile, city_bands(tables["store"], tables["city_type"]))
     return with_total_rows(members, tables)
 
 

@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from loyaltylens.functions import fixed
 from loyaltylens.functions.periods import ytd_window
 from loyaltylens.operators import kpis
-from loyaltylens.operators.cities import city_maturity, city_tiers, maturity_labelled, tier_labelled
+from loyaltylens.operators.cities import city_bands, city_maturity, city_tiers, maturity_labelled, tier_labelled
 from loyaltylens.operators.cohorts import new_accounts, new_members
-from loyaltylens.operators.joins import lookup_join
 
 Tables = Mapping[str, DataFrame]
 
@@ -31,11 +30,9 @@ def labeller(tables: Tables, grain: str, channel: str, *, total: bool = True) ->
         tiers = city_tiers(tables["city_tier"])
         return lambda facts: tier_labelled(facts, tiers, city="city", total=total)
     if grain == "maturity":
-        maturity = city_maturity(tables["store"], tables["city_type"])
+        bands = city_bands(tables["store"], tables["city_type"])
         missing_city = fixed.NO_ORDER_CITY if channel == "online" else None
-        return lambda facts: maturity_labelled(
-            facts, maturity, city="city", missing_city=missing_city, total=total
-        )
+        return lambda facts: maturity_labelled(facts, bands, city="city", missing_city=missing_city, total=total)
     raise ValueError(f"unknown grain: {grain}")
 
 
@@ -83,7 +80,7 @@ def _add_band(cities: DataFrame, tables: Tables, channel: str) -> DataFrame:
     else:
         missing, no_city = fixed.UNSPECIFIED_BAND, fixed.UNSPECIFIED_BAND
     maturity = city_maturity(tables["store"], tables["city_type"]).withColumnRenamed("city_cn", "_city")
-    joined = lookup_join(cities, maturity, {"city": "_city"})
+    joined = cities.join(maturity, cities.city == maturity["_city"], "left").drop("_city")
     band = F.when(F.col("city").isNull(), F.lit(no_city)).otherwise(
         F.coalesce("city_maturity_type", F.lit(missing))
     )

@@ -198,9 +198,9 @@ class RetailBinding(Mapping[str, DataFrame]):
         return self.raw("orders").selectExpr("cast(o_orderdate as date) date_id").distinct().selectExpr(
             "date_id",
             f"'{fixed.DAY_ROW}' date_type",
-            "year(date_id) fiscal_year",
-            "quarter(date_id) fiscal_quarter",
-            "month(date_id) fiscal_month",
+            "cast(year(date_id) as bigint) fiscal_year",
+            "cast(quarter(date_id) as bigint) fiscal_quarter",
+            "cast(month(date_id) as bigint) fiscal_month",
         )
 
     def _product(self) -> DataFrame:

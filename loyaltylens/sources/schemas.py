@@ -29,7 +29,7 @@ SCHEMAS: dict[str, str] = {
     "gmv_rsp decimal(18,2), return_gmv_rsp decimal(18,2)",
     "traffic": "city_cn string, date_id date, traffic_amt decimal(18,2), agg_type string, distributor string",
     # Calendar and products
-    "calendar": "date_id date, date_type string, fiscal_year int, fiscal_quarter int, fiscal_month int",
+    "calendar": "date_id date, date_type string, fiscal_year bigint, fiscal_quarter bigint, fiscal_month bigint",
     "product": "sku_id bigint, age_mark string",
     "portfolio": "sku_id bigint, kids_vs_adult string",
 }
