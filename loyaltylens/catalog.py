@@ -325,7 +325,7 @@ def _buyers(t: RetailBinding, *, with_years: bool = False) -> DataFrame:
 
 
 def _typed_buyers(t: RetailBinding, *, with_years: bool = False) -> DataFrame:
-    typed = _bands(t).typed_cities()
+    typed = _bands(t).typed_cities
     return lookup_join(_buyers(t, with_years=with_years), typed, {"city": "city_cn"}, how="left_semi")
 
 
@@ -355,7 +355,7 @@ def member_base_maturity(t: RetailBinding) -> DataFrame:
 
 @query
 def adult_sku_from_age(t: RetailBinding) -> DataFrame:
-    return ops.adult_skus(t["product"]).rows
+    return ops.adult_skus(t["product"]).found.distinct()
 
 
 @query

@@ -13,45 +13,39 @@ from loyaltylens.operators.joins import Lookup, checked, lookup_join
 
 @dataclass(frozen=True)
 class CityBands:
-    """Maturity bands of the cities that have a store."""
+    """Maturity bands of the cities that have a store, in the forms that joins need.
+
+    No form has more keys than there are stores.
+    """
 
     by_city: Lookup  # city_cn, city_maturity_type
     by_store: Lookup  # store_code, city_maturity_type
-
-    def typed_cities(self) -> Lookup:
-        """Cities that have a band."""
-        return self.by_city.of_same_size(_with_band(self.by_city.rows).select("city_cn").distinct())
-
-    def typed_stores(self) -> Lookup:
-        """Stores of cities that have a band."""
-        return self.by_store.of_same_size(_with_band(self.by_store.rows).select("store_code").distinct())
-
-
-def _with_band(rows: DataFrame) -> DataFrame:
-    return rows.filter(F.col("city_maturity_type").isNotNull())
+    typed_cities: Lookup  # city_cn of cities with a band
+    typed_stores: Lookup  # store_code of stores in such cities
 
 
 def city_maturity(stores: DataFrame, city_type: DataFrame) -> DataFrame:
     """Maturity band of every city that has a store; NULL for a city without a band."""
-    return _banded(stores.select("city_cn").distinct(), city_type, "city_cn")
-
+    return _banded(stores.select("city_cn").distinct(), city_type).distinct()
 
-def store_maturity(stores: DataFrame, city_type: DataFrame) -> DataFrame:
-    """Maturity band of every store."""
-    return _banded(stores.select("store_code", "city_cn").distinct(), city_type, "store_code")
 
-
-def _banded(places: DataFrame, city_type: DataFrame, key: str) -> DataFrame:
+def _banded(places: DataFrame, city_type: DataFrame) -> DataFrame:
     bands = city_type.select("city_chn", F.col("city_type").alias("city_maturity_type"))
-    joined = places.join(bands, places.city_cn == bands.city_chn, "left")
-    return joined.select(key, "city_maturity_type").distinct()
+    return places.join(bands, places.city_cn == bands.city_chn, "left").drop("city_chn")
 
 
 def city_bands(stores: DataFrame, city_type: DataFrame) -> CityBands:
-    """Both lookups; there are no more cities than stores, so one count is enough for both."""
-    by_store = checked(store_maturity(stores, city_type), bound=stores)
-    by_city = city_maturity(stores, city_type)
-    return CityBands(by_store.of_same_size(by_city) if by_store.small else checked(by_city), by_store)
+    """All forms of the lookup, after one check of its size."""
+    places = stores.select("store_code", "city_cn")
+    typed = city_type.filter(F.col("city_type").isNotNull())
+    in_typed = places.join(typed, places.city_cn == typed.city_chn, "left_semi")
+    size = checked(places.distinct(), bound=stores)
+    return CityBands(
+        by_city=size.of_same_size(city_maturity(stores, city_type)),
+        by_store=size.of_same_size(_banded(places, city_type).select("store_code", "city_maturity_type")),
+        typed_cities=size.of_same_size(in_typed.select("city_cn").distinct()),
+        typed_stores=size.of_same_size(in_typed.select("store_code").distinct()),
+    )
 
 
 def city_tiers(city_tier: DataFrame) -> Lookup:

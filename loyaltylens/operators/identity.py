@@ -83,7 +83,7 @@ def omni_fact(omni: DataFrame, crm: DataFrame, calendar: DataFrame, as_of: date,
 
 def member_transactions(omni: DataFrame, crm: DataFrame, calendar: DataFrame, bands: CityBands, as_of: date) -> DataFrame:
     """Distinct member purchases (city, member, product, fiscal years) in cities with a band."""
-    lines = lookup_join(eligible_orders(omni, as_of), bands.typed_cities(), {"order_city": "city_cn"}, how="left_semi")
+    lines = lookup_join(eligible_orders(omni, as_of), bands.typed_cities, {"order_city": "city_cn"}, how="left_semi")
     days = calendar_days(calendar, as_of)
     dated = with_calendar(lines, days, "order_paid_date", "trans")
     purchases = dated.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,38 +25,48 @@ from loyaltylens.operators.joins import Lookup, checked, lookup_join
 # -- adult products -------------------------------------------------------------------------------
 
 
-def adult_skus(products: DataFrame, min_age: int = fixed.ADULT_MIN_AGE) -> Lookup:
+@dataclass(frozen=True)
+class AdultList:
+    """Product ids for adults: as found, and as a lookup of the distinct ids."""
+
+    found: DataFrame  # sku_id, may repeat and may be missing
+    listed: Lookup  # sku
+
+    def state(self) -> Column:
+        """``empty``, ``has missing`` or ``complete``, as a scalar subquery."""
+        missing = F.max(F.col("sku_id").isNull())
+        label = F.when(missing.isNull(), F.lit("empty")).when(missing, F.lit("has missing")).otherwise(F.lit("complete"))
+        return self.found.agg(label).scalar()
+
+
+def _adult_list(products: DataFrame, is_adult: Column) -> AdultList:
+    found = products.filter(is_adult).select("sku_id")
+    ids = found.filter(F.col("sku_id").isNotNull()).select(F.col("sku_id").cast("string").alias("sku")).distinct()
+    return AdultList(found, checked(ids, bound=products))
+
+
+def adult_skus(products: DataFrame, min_age: int = fixed.ADULT_MIN_AGE) -> AdultList:
     """Products whose age mark says ``min_age`` or older; marks that cannot be read do not count."""
-    old_enough = products.filter(age_years(F.col("age_mark")) >= min_age)
-    return checked(old_enough.select("sku_id").distinct(), bound=products)
+    return _adult_list(products, age_years(F.col("age_mark")) >= min_age)
 
 
-def adult_portfolio(portfolio: DataFrame) -> Lookup:
+def adult_portfolio(portfolio: DataFrame) -> AdultList:
     """Products labelled for adults."""
-    labelled = portfolio.filter(F.col("kids_vs_adult") == fixed.ADULT_PRODUCT)
-    return checked(labelled.select("sku_id").distinct(), bound=portfolio)
+    return _adult_list(portfolio, F.col("kids_vs_adult") == fixed.ADULT_PRODUCT)
 
 
-def with_buyer_flags(lines: DataFrame, adult: Lookup) -> DataFrame:
+def with_buyer_flags(lines: DataFrame, adult: AdultList) -> DataFrame:
     """Add ``is_adult`` (product is in the list) and ``is_kids`` (it is not).
 
     The second follows SQL's NOT IN: a list with a missing id, or a line without a product, makes "not in
     the list" unknown, and unknown does not count; an empty list holds nothing for certain.
     """
-    listed = adult.rows.filter(F.col("sku_id").isNotNull()).select(
-        F.col("sku_id").cast("string").alias("_sku"), F.lit(True).alias("_listed")
-    )
-    keyed = lines.withColumn("_line_sku", F.col("sku_id").cast("string"))
-    flagged = lookup_join(keyed, adult.of_same_size(listed), {"_line_sku": "_sku"})
-    list_state = adult.rows.agg(
-        F.when(F.count(F.lit(1)) == 0, F.lit("empty"))
-        .when(F.max(F.col("sku_id").isNull()), F.lit("has missing"))
-        .otherwise(F.lit("complete"))
-    ).scalar()
+    listed = adult.listed.of_same_size(adult.listed.rows.withColumn("_listed", F.lit(True)))
+    flagged = lookup_join(lines.withColumn("_line_sku", F.col("sku_id").cast("string")), listed, {"_line_sku": "sku"})
     is_adult = F.coalesce(F.col("_listed"), F.lit(False))
     absent = F.col("_line_sku").isNotNull() & ~is_adult
     return (
-        flagged.withColumn("_state", list_state)
+        flagged.withColumn("_state", adult.state())
         .withColumn("is_adult", is_adult)
         .withColumn("is_kids", (F.col("_state") == "empty") | ((F.col("_state") == "complete") & absent))
         .drop("_listed", "_line_sku", "_state")
@@ -63,7 +74,7 @@ def with_buyer_flags(lines: DataFrame, adult: Lookup) -> DataFrame:
 
 
 def buyer_profile(
-    orders: DataFrame, crm: DataFrame, adult: Lookup, *, calendar: DataFrame | None = None, as_of: date | None = None
+    orders: DataFrame, crm: DataFrame, adult: AdultList, *, calendar: DataFrame | None = None, as_of: date | None = None
 ) -> DataFrame:
     """One row per order city and member id, with flags for what the member did there.
 
@@ -124,7 +135,7 @@ def registered_in_stores(members: DataFrame) -> DataFrame:
 def registered_by_city(members: DataFrame, bands: CityBands) -> DataFrame:
     """(city of the member, member id) of those who registered in a store of a city with a band."""
     kept = lookup_join(
-        registered_in_stores(members), bands.typed_stores(), {"eff_reg_store": "store_code"}, how="left_semi"
+        registered_in_stores(members), bands.typed_stores, {"eff_reg_store": "store_code"}, how="left_semi"
     )
     return kept.select(F.col("city_cn").alias("city"), F.col("member_detail_id").cast("string").alias("omni_member_id"))
 

@@ -13,7 +13,7 @@ from loyaltylens.functions.exprs import band_of_level, change_ratio, safe_div
 from loyaltylens.operators import penetration as ops
 from loyaltylens.operators.cities import CityBands, city_bands, maturity_labelled, with_labels
 from loyaltylens.operators.identity import eligible_orders
-from loyaltylens.operators.joins import Lookup, lookup_join
+from loyaltylens.operators.joins import lookup_join
 
 Tables = Mapping[str, DataFrame]
 
@@ -29,7 +29,7 @@ SHOPPERS = {"bought_kids": "ttl_kids_member_shopper", "bought_adult": "ttl_adult
 NEW_SHOPPERS = {"shopped_ty": "_shoppers_ty", "new_ty": "_new_shoppers_ty"}
 
 
-def buyers(tables: Tables, as_of: date, adult: Lookup, *, with_years: bool = False) -> DataFrame:
+def buyers(tables: Tables, as_of: date, adult: ops.AdultList, *, with_years: bool = False) -> DataFrame:
     """What every member bought in every order city."""
     orders = eligible_orders(tables["omni"], as_of)
     calendar = tables["calendar"] if with_years else None
@@ -41,7 +41,7 @@ def city_members(tables: Tables, profile: DataFrame, bands: CityBands, *, with_y
 
     Registrations and purchases count in cities with a band; located members count in any city.
     """
-    typed = bands.typed_cities()
+    typed = bands.typed_cities
     marked = typed.of_same_size(typed.rows.withColumn("counted", F.lit(True)))
     known = lookup_join(profile, marked, {"city": "city_cn"}).withColumn("counted", F.coalesce("counted", F.lit(False)))
     counts = {**SHOPPERS, **(NEW_SHOPPERS if with_years else {})}

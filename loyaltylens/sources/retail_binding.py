@@ -17,6 +17,20 @@ from loyaltylens.functions.exprs import MONEY
 from loyaltylens.plans.location import segment_members
 
 AS_OF = date(2001, 6, 15)
+
+# Stated, so that planning a query reads no file footers.
+RAW_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 FOOTFALL_ROWS = "brand"
 
 _JOINED = "date '1995-01-01' + cast(c_custkey * 37 % 2400 as int)"
@@ -52,7 +66,7 @@ class RetailBinding(Mapping[str, DataFrame]):
         return len(self._names)
 
     def raw(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{self._dir}/{name}.parquet")
 
     # -- cities and stores ---------------------------------------------------------------------
 
