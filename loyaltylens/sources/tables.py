@@ -62,15 +62,20 @@ def with_audit_columns(df: DataFrame, as_of: date) -> DataFrame:
 def refresh(df: DataFrame, target: str, *, as_table: bool = False, as_of: date | None = None) -> None:
     """Replace the whole content of ``target``, a Parquet folder or a catalog table.
 
-    An existing table keeps its column order: columns are matched by name, never by position.  Spark
-    refuses to overwrite a place that the same job reads from.
+    The new content is first written out beside the target.  A report that fails leaves the old content as it
+    was, and a report may read the table it replaces.  An existing table keeps its column order: columns are
+    matched by name, never by position.
     """
     out = with_audit_columns(df, as_of) if as_of is not None else df
+    spark = df.sparkSession
     if not as_table:
-        out.write.mode("overwrite").parquet(target)
+        staging = f"{target.rstrip('/')}__staging"
+        out.write.mode("overwrite").parquet(staging)
+        spark.read.schema(out.schema).parquet(staging).write.mode("overwrite").parquet(target)
         return
-    spark = df.sparkSession
-    if spark.catalog.tableExists(target):
-        out.select(*spark.table(target).columns).write.mode("overwrite").insertInto(target)
-    else:
+    if not spark.catalog.tableExists(target):
         out.write.format("parquet").saveAsTable(target)
+        return
+    staging = f"{target}__staging"
+    out.write.format("parquet").mode("overwrite").saveAsTable(staging)
+    spark.table(staging).select(*spark.table(target).columns).write.mode("overwrite").insertInto(target)

@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="8",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__driver__memory="8g",
+        spark__sql__maxMetadataStringLength="10000",
+        spark__sql__debug__maxToStringFields="500",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
