@@ -432,12 +432,12 @@ def _flag_counts(orders: DataFrame) -> DataFrame:
 
 @query
 def new_member_flag_offline(t: RetailBinding) -> DataFrame:
-    return _flag_counts(scorecards.offline_orders(t, AS_OF, "tier"))
+    return _flag_counts(scorecards.flagged_orders(t, "offline", "tier", AS_OF))
 
 
 @query
 def new_member_flag_online(t: RetailBinding) -> DataFrame:
-    return _flag_counts(scorecards.online_orders(t, AS_OF))
+    return _flag_counts(scorecards.flagged_orders(t, "online", "tier", AS_OF))
 
 
 @query

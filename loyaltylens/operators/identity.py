@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loyaltylens.functions import fixed
 from loyaltylens.functions.exprs import canonical_id, effective_member_order, eligible, known_kind
 from loyaltylens.operators.cities import CityBands
-from loyaltylens.operators.joins import Lookup, checked, lookup_join, spread_missing
+from loyaltylens.operators.joins import Lookup, checked, left_join_on_optional_key, lookup_join
 
 
 def eligible_orders(omni: DataFrame, as_of: date, *, members_only: bool = True) -> DataFrame:
@@ -25,15 +25,10 @@ def resolve_identity(orders: DataFrame, crm: DataFrame, spread: tuple[str, ...]
     Orders without a CRM reference match nothing; they are spread over all tasks of the join by the
     ``spread`` columns.  Callers that only need distinct members deduplicate the orders first.
     """
-    people = crm.filter(F.col("member_id").isNotNull()).select(
-        F.col("member_id").cast("string").alias("_crm_key"), F.col("id").cast("string").alias("_crm_id"), "join_time"
-    )
-    keyed = orders.withColumn("_order_key", spread_missing("crm_member_detail_id", *spread))
-    matched = keyed.join(
-        people, (F.col("_order_key") == F.col("_crm_key")) & F.col("crm_member_detail_id").isNotNull(), "left"
-    )
+    people = crm.select(F.col("member_id").alias("_crm_key"), F.col("id").cast("string").alias("_crm_id"), "join_time")
+    matched = left_join_on_optional_key(orders, "crm_member_detail_id", people, "_crm_key", spread=list(spread))
     resolved = F.when(known_kind(F.col("type_name")), F.coalesce("_crm_id", "type_value"))
-    return matched.withColumn("omni_member_id", resolved).drop("_order_key", "_crm_key", "_crm_id")
+    return matched.withColumn("omni_member_id", resolved).drop("_crm_key", "_crm_id")
 
 
 def member_references(orders: DataFrame, *also: str) -> DataFrame:

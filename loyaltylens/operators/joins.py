@@ -13,8 +13,8 @@ SALTS = 64
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count at most ``max_rows + 1`` rows of ``df``."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Count the rows; only one number per task is shuffled, however large ``df`` is."""
+    return df.count() <= max_rows
 
 
 @dataclass(frozen=True)
@@ -63,13 +63,37 @@ def _all_equal(pairs: dict[str, str]) -> Column:
     return condition
 
 
-def spread_missing(key: str, *by: str) -> Column:
+def spread_missing(key: Column, *by: str, numeric: bool = False) -> Column:
     """Join key of the preserved side of a left join.
 
     Missing keys match nothing but would all land in one partition; each gets a stand-in made from the
     ``by`` columns.  Pair it with a not-null test on ``key`` so that a stand-in can never match.
     """
-    return F.coalesce(F.col(key).cast("string"), F.concat(F.lit("missing:"), F.xxhash64(*by).cast("string")))
+    if numeric:
+        return F.coalesce(key, F.xxhash64(*by))
+    return F.coalesce(key.cast("string"), F.concat(F.lit("missing:"), F.xxhash64(*by).cast("string")))
+
+
+def left_join_on_optional_key(
+    facts: DataFrame,
+    key: str,
+    others: DataFrame,
+    other_key: str,
+    *,
+    spread: list[str],
+    also: dict[str, str] | None = None,
+) -> DataFrame:
+    """Left join where many facts may have no ``key``; the columns of ``others`` stay.
+
+    Keys are compared as numbers when both are numbers, else as text.  ``also`` maps further columns that
+    must be equal.  ``spread`` are fact columns that tell apart facts without a key.
+    """
+    numeric = dict(facts.dtypes)[key] == "bigint" == dict(others.dtypes)[other_key]
+    kind = "bigint" if numeric else "string"
+    right = others.filter(F.col(other_key).isNotNull()).withColumn("_other_key", F.col(other_key).cast(kind))
+    left = facts.withColumn("_fact_key", spread_missing(F.col(key), *spread, numeric=numeric))
+    condition = (F.col("_fact_key") == F.col("_other_key")) & F.col(key).isNotNull() & _all_equal(also or {})
+    return left.join(right, condition, "left").drop("_fact_key", "_other_key")
 
 
 def flag_join(
@@ -82,14 +106,6 @@ def flag_join(
     """
     names = {right: f"_flag_{right}" for right in on.values()}
     known = members.select(*on.values()).distinct().withColumnsRenamed(names).withColumn(flag, F.lit(True))
-    known = known.withColumn("_flag_key", F.col(names[on[key]]).cast("string"))
-    prepared = facts.withColumn("_fact_key", spread_missing(key, *spread))
-    others = {left: names[right] for left, right in on.items() if left != key}
-    condition = (
-        (F.col("_fact_key") == F.col("_flag_key")) & F.col(key).isNotNull() & _all_equal(others)
-    )
-    return (
-        prepared.join(known, condition, "left")
-        .withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-        .drop("_fact_key", "_flag_key", *names.values())
-    )
+    also = {left: names[right] for left, right in on.items() if left != key}
+    joined = left_join_on_optional_key(facts, key, known, names[on[key]], spread=spread, also=also)
+    return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).drop(*names.values())

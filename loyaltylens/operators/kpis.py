@@ -35,7 +35,7 @@ EXISTING_SHARES = ("existing_member_sales_share", "existing_member_shopper_share
 # -- one row per order and member -----------------------------------------------------------------
 
 
-def _per_order(lines: DataFrame) -> DataFrame:
+def per_order(lines: DataFrame) -> DataFrame:
     """Add up lines per city, period, order and member; lines of one order are combined map-side."""
     return lines.groupBy("city", "period", "order_id", "member_id", "is_member").agg(
         F.sum("amount").alias("net"), F.max("effective").alias("effective")
@@ -75,24 +75,20 @@ def offline_lines(member_orders: DataFrame, window: YtdWindow) -> DataFrame:
     )
 
 
-def online_orders(omni: DataFrame, accounts: DataFrame, as_of: date, window: YtdWindow) -> DataFrame:
+def flag_new_accounts(orders: DataFrame, accounts: DataFrame) -> DataFrame:
     """Online orders with the flag ``is_new``; ``accounts`` are (kyid, period)."""
-    orders = _per_order(online_lines(omni, as_of, window))
-    return flag_join(
-        orders, accounts, {"member_id": "kyid", "period": "period"}, "member_id", "is_new", ["order_id", "city"]
-    )
+    on = {"member_id": "kyid", "period": "period"}
+    return flag_join(orders, accounts, on, "member_id", "is_new", ["order_id", "city"])
 
 
-def offline_orders(member_orders: DataFrame, cohort: DataFrame, window: YtdWindow) -> DataFrame:
-    """Offline member orders with the flag ``is_new``; ``cohort`` is (member_id, period).
+def flag_new_members(orders: DataFrame, cohort: DataFrame) -> DataFrame:
+    """Offline orders with the flag ``is_new``; ``cohort`` is (member_id, period).
 
     Members are matched as numbers but counted as they are written.
     """
-    orders = _per_order(offline_lines(member_orders, window)).withColumn(
-        "_member_number", whole_number_id(F.col("member_id"))
-    )
+    numbered = orders.withColumn("_member_number", whole_number_id(F.col("member_id")))
     on = {"_member_number": "member_id", "period": "period"}
-    return flag_join(orders, cohort, on, "_member_number", "is_new", ["order_id", "city"]).drop("_member_number")
+    return flag_join(numbered, cohort, on, "_member_number", "is_new", ["order_id", "city"]).drop("_member_number")
 
 
 # -- measures -------------------------------------------------------------------------------------

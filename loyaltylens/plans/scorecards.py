@@ -36,23 +36,33 @@ def labeller(tables: Tables, grain: str, channel: str, *, total: bool = True) ->
     raise ValueError(f"unknown grain: {grain}")
 
 
-def online_orders(tables: Tables, as_of: date) -> DataFrame:
-    """Orders stop before ``as_of``; an account is new when it was bound at any time of the year."""
-    accounts = new_accounts(tables["ec_bind"], ytd_window(as_of))
-    return kpis.online_orders(tables["omni"], accounts, as_of, kpis.online_window(as_of))
+def orders_of(tables: Tables, channel: str, as_of: date) -> DataFrame:
+    """Both windows of a channel, one row per order and member; the same for every grain."""
+    if channel == "online":
+        return kpis.per_order(kpis.online_lines(tables["omni"], as_of, kpis.online_window(as_of)))
+    return kpis.per_order(kpis.offline_lines(tables["member_orders"], kpis.offline_window(as_of)))
+
 
+def flagged_orders(tables: Tables, channel: str, grain: str, as_of: date, orders: DataFrame | None = None) -> DataFrame:
+    """Orders with the flag ``is_new``.
 
-def offline_orders(tables: Tables, as_of: date, grain: str) -> DataFrame:
-    """New members are those of any channel by city, and those of the store channel by band or tier."""
-    window = kpis.offline_window(as_of)
-    channel = None if grain == "city" else fixed.STORE_MARK
-    return kpis.offline_orders(tables["member_orders"], new_members(tables["member"], window, channel), window)
+    Online, an account is new when it was first bound in the period, at any time of the year.  Offline, new
+    members are those of any channel by city, and those of the store channel by band or tier.
+    """
+    orders = orders if orders is not None else orders_of(tables, channel, as_of)
+    window = ytd_window(as_of)
+    if channel == "online":
+        return kpis.flag_new_accounts(orders, new_accounts(tables["ec_bind"], window))
+    through = None if grain == "city" else fixed.STORE_MARK
+    return kpis.flag_new_members(orders, new_members(tables["member"], window, through))
 
 
-def order_measures(tables: Tables, channel: str, grain: str, as_of: date) -> DataFrame:
+def order_measures(
+    tables: Tables, channel: str, grain: str, as_of: date, orders: DataFrame | None = None
+) -> DataFrame:
     """Sums and distinct counts of a channel per segment and period."""
-    orders = online_orders(tables, as_of) if channel == "online" else offline_orders(tables, as_of, grain)
-    return kpis.order_measures(labeller(tables, grain, channel)(orders), SEGMENT_COLUMN[grain])
+    flagged = flagged_orders(tables, channel, grain, as_of, orders)
+    return kpis.order_measures(labeller(tables, grain, channel)(flagged), SEGMENT_COLUMN[grain])
 
 
 def sales(tables: Tables, channel: str, grain: str, as_of: date) -> DataFrame:
@@ -87,14 +97,23 @@ def _add_band(cities: DataFrame, tables: Tables, channel: str) -> DataFrame:
     return joined.withColumn("city_maturity_type", band)
 
 
-def scorecard(tables: Tables, channel: str, grain: str, as_of: date, *, as_published: bool = False) -> DataFrame:
+def scorecard(
+    tables: Tables,
+    channel: str,
+    grain: str,
+    as_of: date,
+    *,
+    orders: DataFrame | None = None,
+    as_published: bool = False,
+) -> DataFrame:
     """Sales of this year against last year, with member KPIs, one row per segment.
 
     ``channel`` is ``online`` or ``offline``; ``grain`` is ``city``, ``maturity`` or ``tier``.
-    ``as_published`` keeps the divergent change formula of the older online reports.
+    ``orders`` are the channel's :func:`orders_of` where they are at hand already.  ``as_published`` keeps the
+    divergent change formula of the older online reports.
     """
     segment = SEGMENT_COLUMN[grain]
-    measures = order_measures(tables, channel, grain, as_of)
+    measures = order_measures(tables, channel, grain, as_of, orders)
     kpi_columns = kpis.kpi_growth_columns()
     if channel == "online":
         # Sales and KPIs come from the same orders, so they share the one aggregation.

@@ -44,7 +44,7 @@ def test_hot_member_is_split_in_the_flag_join(spark, skew_settings):
 
 def test_missing_members_are_spread(spark):
     facts = spark.range(10_000).select(F.col("id").alias("order_id"), F.lit(None).cast("string").alias("member"))
-    keys = facts.select(joins.spread_missing("member", "order_id").alias("key"))
+    keys = facts.select(joins.spread_missing(F.col("member"), "order_id").alias("key"))
     assert keys.distinct().count() == 10_000
 
 
