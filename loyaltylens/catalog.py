@@ -416,7 +416,8 @@ def penetration_maturity(t: RetailBinding) -> DataFrame:
 @query
 def totals_rows(t: RetailBinding) -> DataFrame:
     profile = penetration.buyers(t, AS_OF, ops.adult_portfolio(t["portfolio"]))
-    return penetration.total_rows(penetration.maturity_members(t, profile, _bands(t)), t)
+    report = penetration.with_total_rows(penetration.maturity_members(t, profile, _bands(t)), t)
+    return report.filter(F.col("city_maturity_type").isin(fixed.ALL_WITH_CITY, fixed.ALL_MEMBERS))
 
 
 # -- sales and member KPIs -------------------------------------------------------------------------

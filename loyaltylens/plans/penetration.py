@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loyaltylens.functions import fixed
@@ -122,28 +122,27 @@ def penetration_maturity(tables: Tables, as_of: date) -> DataFrame:
     return with_total_rows(members, tables)
 
 
-def with_total_rows(members: DataFrame, tables: Tables) -> DataFrame:
-    population = ops.population_by_maturity(tables["population"])
-    bands = members.join(population, members.city_maturity_type == population.city_maturity_level, "left")
-    report = bands.withColumns(ops.penetration_columns()).select("city_maturity_type", *REPORT_COLUMNS)
-    return report.unionByName(total_rows(members, tables))
+COUNTS = ("ttl_member_base", *SHOPPERS.values())
 
 
-def total_rows(members: DataFrame, tables: Tables) -> DataFrame:
-    """The two total rows; figures that make no sense for a total are NULL."""
-    counts = ("ttl_member_base", "ttl_kids_member_shopper", "ttl_adult_member_shopper")
-    summed = members.agg(*(F.sum(c).alias(c) for c in counts))
-    everyone = ops.all_members(tables["member"], tables["belong"])
-    return _placed(summed, fixed.ALL_WITH_CITY).unionByName(_placed(everyone, fixed.ALL_MEMBERS))
+def with_total_rows(members: DataFrame, tables: Tables) -> DataFrame:
+    population = ops.population_by_maturity(tables["population"])
+    everyone = ops.all_members(tables["member"], tables["belong"]).select(
+        F.lit(fixed.ALL_MEMBERS).alias("city_maturity_type"), "ttl_member_base", *_unknown(COUNTS[1:])
+    )
+    rows = with_band_total(members).unionByName(everyone)
+    # The labels of the total rows have no population, so their ratios are NULL.
+    joined = rows.join(population, rows.city_maturity_type == population.city_maturity_level, "left")
+    return joined.withColumns(ops.penetration_columns()).select("city_maturity_type", *REPORT_COLUMNS)
 
 
-def _placed(totals: DataFrame, label: str) -> DataFrame:
-    """A total row in the report's layout."""
+def with_band_total(members: DataFrame) -> DataFrame:
+    """The bands, and the sum of their counts as one more row; that row is there even without any band."""
+    label = "city_maturity_type"
+    total = members.sparkSession.range(1).select(F.lit(fixed.ALL_WITH_CITY).alias(label), *_unknown(COUNTS))
+    repeated = members.select(F.explode(F.array(label, F.lit(fixed.ALL_WITH_CITY))).alias(label), *COUNTS)
+    return repeated.unionByName(total).groupBy(label).agg(*(F.sum(c).alias(c) for c in COUNTS))
 
-    def column(name: str):
-        if name in totals.columns:
-            return F.col(name)
-        kind = "bigint" if name in ("target_kids_population", "adult_shopper_population") or name.startswith("ttl_") else "double"
-        return F.lit(None).cast(kind).alias(name)
 
-    return totals.select(F.lit(label).alias("city_maturity_type"), *(column(c) for c in REPORT_COLUMNS))
+def _unknown(names: tuple[str, ...]) -> list[Column]:
+    return [F.lit(None).cast("bigint").alias(name) for name in names]

@@ -10,7 +10,7 @@ from conftest import rows_of
 from loyaltylens.operators import cities, identity, joins
 from loyaltylens.operators import penetration as ops
 from loyaltylens.operators.latest import latest_batch, latest_row
-from loyaltylens.plans import location
+from loyaltylens.plans import location, penetration
 
 NOON, LATER = datetime(2024, 1, 1, 12), datetime(2024, 1, 2, 12)
 
@@ -211,3 +211,13 @@ def test_population_by_maturity(table):
     rows = [("A", "Mature", 1, 2), ("B", "Mature", 3, 4), ("C", None, 5, 6), ("D", "Odd", 7, 8)]
     population = table("population", [dict(zip(("city_cn", "city_maturity_level", "target_kids_population", "adult_shopper_population"), r, strict=True)) for r in rows])
     assert rows_of(ops.population_by_maturity(population)) == {("1_mature", 4, 6), ("4_unspecified", 12, 14)}
+
+
+def test_band_total_is_there_without_bands(spark):
+    schema = "city_maturity_type string, ttl_member_base bigint, ttl_kids_member_shopper bigint, ttl_adult_member_shopper bigint"
+    empty = penetration.with_band_total(spark.createDataFrame([], schema))
+    assert rows_of(empty) == {("all_have_city_information", None, None, None)}
+    bands = spark.createDataFrame([("1_mature", 2, 1, None), ("2_core", 3, None, None)], schema)
+    assert rows_of(penetration.with_band_total(bands)) == {
+        ("1_mature", 2, 1, None), ("2_core", 3, None, None), ("all_have_city_information", 5, 1, None)
+    }

@@ -41,21 +41,13 @@ def test_online_scorecard_reads_the_orders_once(spark, grain):
     assert "l_discount" not in lines[0] and "l_shipdate" not in lines[0]
 
 
-@pytest.mark.parametrize("name", ["penetration_city", "member_kpis_city"])
+@pytest.mark.parametrize("name", ["penetration_city", "penetration_maturity", "totals_rows", "member_kpis_city"])
 def test_penetration_reads_the_orders_once(spark, name):
     plan = initial_plan(spark, name)
     per_fact = [line for line in scans(plan, "lineitem") if "l_partkey" in line]
     assert len(per_fact) == 1
 
 
-def test_penetration_total_rows_reuse_the_band_rows(spark):
-    df = QUERIES["penetration_maturity"](spark, SF_DIR)
-    df.collect()
-    final = re.split(r"(?m)^\+- == Initial Plan ==", plan_of(df))[0]
-    assert "ReusedExchange" in final
-    assert len(scans(final, "lineitem")) == 1
-
-
 def test_both_windows_reach_the_scan(spark):
     plan = initial_plan(spark, "scorecard_online_tier")
     pushed = scans(plan, "orders")[0]
