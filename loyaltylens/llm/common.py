@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def pieces(batches: Iterator[pa.RecordBatch], max_bytes: int = 1 << 20) -> Itera
     or are a single text."""
     for batch in batches:
         ids, column = batch.column(0), batch.column(1)
-        lengths = pa.compute.binary_length(column).to_pylist()
+        lengths = pc.binary_length(column).to_pylist()
         start = total = 0
         for row, length in enumerate(lengths):
             if row > start and total + length > max_bytes:

@@ -4,12 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loyaltylens.llm import exact_dedup, secrets
+from loyaltylens.llm import bpe_codec, exact_dedup, secrets, token_counts
 from loyaltylens.llm.common import documents
 
 
+VOCABULARY = "word_bpe_49k.json"
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
+    return token_counts.over_limit(counts)
+
+
+def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.codec_digests(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_report(documents(spark, sf_dir))
 
@@ -19,7 +32,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_secret_scan, op9_exact_dedup)
+    f.__name__: f for f in (op2_token_counts, op4_secret_scan, op7_bpe_codec, op9_exact_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {"op9_exact_dedup": exact_dedup.ORACLE}
