@@ -19,6 +19,8 @@ LOWER = UPPER.lower()
 # Private-use characters that mark matches inside a text; those of the text itself become SPARE first.
 OPEN, CLOSE, SPARE = "\ue000", "\ue001", "\ue002"
 
+SPAN_BLOCK = 128
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -75,18 +77,35 @@ def match_spans(text: Column, pattern: str, screen: str = "") -> Column:
     plain = F.translate(text, OPEN + CLOSE, SPARE * 2)
     marked = F.regexp_replace(plain, F.lit(f"({pattern})"), F.lit(f"{OPEN}$1{CLOSE}"))
     parts = F.split(marked, OPEN, -1)
-    kind = "array<struct<start:bigint,end:bigint,found:string>>"
+    span_type = "struct<start:bigint,end:bigint,found:string>"
+    none = F.array().cast(f"array<{span_type}>")
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans"))
 
-    def step(acc: Column, part: Column) -> Column:
+    def one(acc: Column, part: Column) -> Column:
         found = F.substring_index(part, CLOSE, 1)
         end = acc["at"] + F.length(found)
-        span = F.struct(acc["at"].alias("start"), end.alias("end"), found.alias("found"))
+        span = F.struct(acc["at"].alias("start"), end.alias("end"), found.alias("found")).cast(span_type)
         after = (acc["at"] + F.length(part) - 1).cast("bigint")
-        return F.struct(after.alias("at"), F.concat(acc["spans"], F.array(span)).cast(kind).alias("spans"))
-
-    first = F.struct(F.length(parts[0]).cast("bigint").alias("at"), F.array().cast(kind).alias("spans"))
-    spans = F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), first, step)["spans"]
-    return F.when(text.rlike(screen or pattern), spans).otherwise(F.array().cast(kind))
+        return F.struct(after.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+
+    def block(n: Column) -> Column:
+        return F.aggregate(F.slice(parts, n * SPAN_BLOCK + 2, F.lit(SPAN_BLOCK)), start, one)
+
+    def add(acc: Column, own: Column) -> Column:
+        moved = F.transform(
+            own["spans"],
+            lambda s: F.struct(
+                (s["start"] + acc["at"]).alias("start"), (s["end"] + acc["at"]).alias("end"), s["found"].alias("found")
+            ).cast(span_type),
+        )
+        at = (acc["at"] + own["at"]).cast("bigint")
+        return F.struct(at.alias("at"), F.concat(acc["spans"], moved).alias("spans"))
+
+    # Positions are added up within blocks of matches, then over the blocks, so that long lists are copied rarely.
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / SPAN_BLOCK).cast("int")), block)
+    first = F.struct(F.length(parts[0]).cast("bigint").alias("at"), none.alias("spans"))
+    spans = F.aggregate(blocks, first, add)["spans"]
+    return F.when(text.rlike(screen or pattern), spans).otherwise(none)
 
 
 def span_text(spans: Column) -> Column:
