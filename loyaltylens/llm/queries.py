@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loyaltylens.llm import bpe_codec, exact_dedup, pii, secrets, token_counts
+from loyaltylens.llm import bpe_codec, exact_dedup, pii, quality, secrets, token_counts
 from loyaltylens.llm.common import documents
 
 
@@ -27,6 +27,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_report(documents(spark, sf_dir))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(documents(spark, sf_dir))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -36,7 +40,7 @@ def op10_pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op4_secret_scan, op7_bpe_codec, op9_exact_dedup, op10_pii_scan)
+    f.__name__: f for f in (op2_token_counts, op4_secret_scan, op7_bpe_codec, op8_quality_rules, op9_exact_dedup, op10_pii_scan)
 }
 
 ORACLE_SQL: dict[str, str] = {"op9_exact_dedup": exact_dedup.ORACLE}
