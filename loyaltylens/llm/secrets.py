@@ -11,7 +11,7 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loyaltylens.llm.common import ascii_lower, keep, match_spans, span_text, tagged, texts
+from loyaltylens.llm.common import keep, match_spans, span_text, tagged, texts
 
 
 @dataclass(frozen=True)
@@ -102,9 +102,9 @@ def _sequence(items) -> list[str]:
 
 def postings(rows: DataFrame, grams: list[str]) -> DataFrame:
     """The inverted index of the trigrams that any rule asks for: (gram, doc_id, text_hash)."""
-    low = ascii_lower("text")
-    present = F.array_compact(F.array(*(F.when(F.contains(low, F.lit(g)), F.lit(g)) for g in grams)))
-    return rows.select("doc_id", "text_hash", F.explode(present).alias("gram"))
+    low = rows.select("doc_id", "text_hash", F.lower("text").alias("low"))
+    present = F.array_compact(F.array(*(F.when(F.contains("low", F.lit(g)), F.lit(g)) for g in grams)))
+    return low.select("doc_id", "text_hash", F.explode(present).alias("gram"))
 
 
 def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> DataFrame:
