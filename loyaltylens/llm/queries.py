@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loyaltylens.llm import bpe_codec, exact_dedup, pii, quality, secrets, token_counts
+from loyaltylens.llm import bpe_codec, exact_dedup, licenses, pii, quality, secrets, token_counts
 from loyaltylens.llm.common import documents
 
 
@@ -23,6 +23,10 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.codec_digests(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(documents(spark, sf_dir))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_report(documents(spark, sf_dir))
 
@@ -40,7 +44,7 @@ def op10_pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op4_secret_scan, op7_bpe_codec, op8_quality_rules, op9_exact_dedup, op10_pii_scan)
+    f.__name__: f for f in (op2_token_counts, op3_license_scan, op4_secret_scan, op7_bpe_codec, op8_quality_rules, op9_exact_dedup, op10_pii_scan)
 }
 
 ORACLE_SQL: dict[str, str] = {"op9_exact_dedup": exact_dedup.ORACLE}
