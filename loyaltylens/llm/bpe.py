@@ -9,7 +9,7 @@ import heapq
 import json
 import re
 from collections.abc import Iterable
-from functools import cached_property
+from functools import cache, cached_property
 
 import numpy as np
 from tokenizers import Regex, Tokenizer, pre_tokenizers
@@ -211,10 +211,24 @@ class PieceCounts(dict):
         self.vocabulary = WordVocabulary(path)
         self.arrays = RankArrays(self.vocabulary)
 
+    def known(self, cut: list[list[str]]) -> list[str]:
+        """Learn what is new in some texts' pieces; returns the new ones that are too long to be held for others."""
+        new = set().union(*cut).difference(self)
+        if len(self) + len(new) > CACHE_PIECES:
+            self.clear()
+            new = set().union(*cut)
+        self.learn(new)
+        return [p for p in new if len(p) > LONG_PIECE]
+
+    def forget(self, pieces: list[str]) -> None:
+        for piece in pieces:
+            del self[piece]
+
     def learn(self, pieces: Iterable[str]) -> None:
         special = [p for p in pieces if p in self.vocabulary.special]
         plain = [p for p in pieces if p not in self.vocabulary.special]
-        self.update(dict.fromkeys(special, 1))
+        for piece in special:
+            self[piece] = self.held(np.array([self.vocabulary.special[piece]]), np.array([1]))[0]
         if plain:
             coded = [p.encode() for p in plain]
             data = np.frombuffer(b"".join(coded), np.uint8)
@@ -222,8 +236,36 @@ class PieceCounts(dict):
             symbols = self.vocabulary.inner[data]
             ends = np.cumsum(lengths) - 1
             symbols[ends] = self.vocabulary.last[data[ends]]
-            _, owner = self.arrays.merge(symbols, np.repeat(np.arange(len(plain)), lengths))
-            self.update(zip(plain, np.bincount(owner, minlength=len(plain)).tolist()))
+            symbols, owner = self.arrays.merge(symbols, np.repeat(np.arange(len(plain)), lengths))
+            self.update(zip(plain, self.held(symbols, np.bincount(owner, minlength=len(plain)))))
+
+    def held(self, symbols: np.ndarray, counts: np.ndarray) -> list:
+        """What is held of each piece, from all their symbols in a row and the number of each."""
+        return counts.tolist()
+
+
+class PieceBytes(PieceCounts):
+    """Token ids by piece, as packed numbers of ``kind``."""
+
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        self.kind = np.dtype("<u2" if self.vocabulary.size <= 1 << 16 else "<u4")
+
+    def held(self, symbols: np.ndarray, counts: np.ndarray) -> list:
+        data = symbols.astype(self.kind).tobytes()
+        ends = (np.cumsum(counts) * self.kind.itemsize).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+
+@cache
+def piece_counts(path: str) -> PieceCounts:
+    """One per Python worker, so that the tasks that run in it share what is held."""
+    return PieceCounts(path)
+
+
+@cache
+def piece_bytes(path: str) -> PieceBytes:
+    return PieceBytes(path)
 
 
 class PieceIds(dict):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loyaltylens.llm import bpe_codec, exact_dedup, licenses, lm_score, pii, quality, secrets, token_counts
+from loyaltylens.llm import bpe_codec, exact_dedup, licenses, lm_score, packing, pii, quality, secrets, token_counts
 from loyaltylens.llm.common import documents
 
 
@@ -23,6 +23,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.over_limit(counts)
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(packing.pack(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY)))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.codec_digests(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
 
@@ -48,7 +52,7 @@ def op10_pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lm_score, op2_token_counts, op3_license_scan, op4_secret_scan, op7_bpe_codec, op8_quality_rules, op9_exact_dedup, op10_pii_scan)
+    f.__name__: f for f in (op1_lm_score, op2_token_counts, op3_license_scan, op4_secret_scan, op5_packing, op7_bpe_codec, op8_quality_rules, op9_exact_dedup, op10_pii_scan)
 }
 
 ORACLE_SQL: dict[str, str] = {"op9_exact_dedup": exact_dedup.ORACLE}

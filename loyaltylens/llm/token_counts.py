@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loyaltylens.llm.bpe import CACHE_PIECES, LONG_PIECE, PieceCounts
+from loyaltylens.llm.bpe import piece_counts
 from loyaltylens.llm.common import pieces, texts
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint"
@@ -23,17 +23,12 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = PieceCounts(vocabulary)
+        known = piece_counts(vocabulary)
         for ids, found in pieces(batches):
             cut = [known.vocabulary.pieces(t.decode()) for t in found]
-            new = set().union(*cut).difference(known)
-            if len(known) + len(new) > CACHE_PIECES:
-                known.clear()
-                new = set().union(*cut)
-            known.learn(new)
+            long = known.known(cut)
             totals = [sum(map(known.__getitem__, c)) for c in cut]
-            for piece in [p for p in new if len(p) > LONG_PIECE]:
-                del known[piece]
+            known.forget(long)
             yield pa.RecordBatch.from_arrays(
                 [ids.cast(pa.int64()), pa.array(list(map(len, found)), pa.int64()), pa.array(totals, pa.int64())],
                 ["doc_id", "n_bytes", "n_tokens"],
