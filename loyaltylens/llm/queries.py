@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loyaltylens.llm import bpe_codec, exact_dedup, licenses, lm_score, packing, pii, quality, secrets, token_counts
+from loyaltylens.llm import bpe_codec, exact_dedup, licenses, lm_score, ngram_join, packing, pii, quality, secrets, token_counts
 from loyaltylens.llm.common import documents
 
 
@@ -27,6 +27,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY)))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = ngram_join.similar_groups(documents(spark, sf_dir), ngram_join.Similarity(4, 85, 100))
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.codec_digests(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
 
@@ -52,7 +57,7 @@ def op10_pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lm_score, op2_token_counts, op3_license_scan, op4_secret_scan, op5_packing, op7_bpe_codec, op8_quality_rules, op9_exact_dedup, op10_pii_scan)
+    f.__name__: f for f in (op1_lm_score, op2_token_counts, op3_license_scan, op4_secret_scan, op5_packing, op6_ngram_join, op7_bpe_codec, op8_quality_rules, op9_exact_dedup, op10_pii_scan)
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_exact_dedup": exact_dedup.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op6_ngram_join": ngram_join.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}
