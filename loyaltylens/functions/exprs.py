@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loyaltylens.functions import fixed
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(18,6)"
 
 
 def as_double(value: Column) -> Column:
@@ -80,18 +80,11 @@ def age_years(age_mark: Column) -> Column:
 
     Marks without a leading digit give NULL; a mark that starts with a digit but cannot be read gives 0.
     """
-    mark = F.trim(age_mark)
-    fraction = F.split_part(mark, F.lit(" "), F.lit(2))
-
-    def number(text: Column) -> Column:
-        return text.try_cast("decimal(18,4)").cast("double")
-
-    mixed = number(F.split_part(mark, F.lit(" "), F.lit(1))) + safe_div(
-        number(F.split_part(fraction, F.lit("/"), F.lit(1))),
-        number(F.split_part(fraction, F.lit("/"), F.lit(2))),
+    whole, top, bottom = (
+        F.regexp_extract(F.trim(age_mark), fixed.AGE_MARK_PATTERN, n).try_cast("decimal(18,4)") for n in (1, 2, 3)
     )
-    leading = number(F.regexp_replace(mark, fixed.AFTER_LEADING_DIGITS, ""))
-    years = F.when(mark.rlike(fixed.MIXED_FRACTION_PATTERN), mixed).otherwise(leading)
+    fraction = F.when(F.regexp_extract(F.trim(age_mark), fixed.AGE_MARK_PATTERN, 2) == "", 0.0)
+    years = as_double(whole) + fraction.otherwise(safe_div(top, bottom))
     return F.when(has_age(age_mark), F.coalesce(years, F.lit(0.0)))
 
 

@@ -46,6 +46,4 @@ ALL_WITH_CITY = "all_have_city_information"
 ALL_MEMBERS = "TTL_member_base"
 
 # Age marks
-AGE_MARK_PATTERN = "^[0-9]+([ ]*[0-9]*/[0-9]+)?"
-MIXED_FRACTION_PATTERN = "^[0-9]+ [0-9]+/[0-9]+"
-AFTER_LEADING_DIGITS = "[^0-9]+.*"
+AGE_MARK_PATTERN = "^([0-9]+)(?: ([0-9]+)/([0-9]+[^ /]*))?"

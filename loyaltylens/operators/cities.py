@@ -8,20 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loyaltylens.functions import fixed
-from loyaltylens.operators.joins import Lookup, checked, lookup_join
+from loyaltylens.operators.joins import lookup_join
 
 
 @dataclass(frozen=True)
 class CityBands:
-    """Maturity bands of the cities that have a store, in the forms that joins need.
+    """Maturity bands of the cities that have a store, in the forms that joins need."""
 
-    No form has more keys than there are stores.
-    """
-
-    by_city: Lookup  # city_cn, city_maturity_type
-    by_store: Lookup  # store_code, city_maturity_type
-    typed_cities: Lookup  # city_cn of cities with a band
-    typed_stores: Lookup  # store_code of stores in such cities
+    by_city: DataFrame  # city_cn, city_maturity_type
+    by_store: DataFrame  # store_code, city_maturity_type
+    typed_cities: DataFrame  # city_cn of cities with a band
+    typed_stores: DataFrame  # store_code of stores in such cities
 
 
 def city_maturity(stores: DataFrame, city_type: DataFrame) -> DataFrame:
@@ -35,23 +32,20 @@ def _banded(places: DataFrame, city_type: DataFrame) -> DataFrame:
 
 
 def city_bands(stores: DataFrame, city_type: DataFrame) -> CityBands:
-    """All forms of the lookup, after one check of its size."""
     places = stores.select("store_code", "city_cn")
     typed = city_type.filter(F.col("city_type").isNotNull())
     in_typed = places.join(typed, places.city_cn == typed.city_chn, "left_semi")
-    size = checked(places.distinct(), bound=stores)
     return CityBands(
-        by_city=size.of_same_size(city_maturity(stores, city_type)),
-        by_store=size.of_same_size(_banded(places, city_type).select("store_code", "city_maturity_type")),
-        typed_cities=size.of_same_size(in_typed.select("city_cn").distinct()),
-        typed_stores=size.of_same_size(in_typed.select("store_code").distinct()),
+        by_city=city_maturity(stores, city_type),
+        by_store=_banded(places, city_type).select("store_code", "city_maturity_type"),
+        typed_cities=in_typed.select("city_cn").distinct(),
+        typed_stores=in_typed.select("store_code").distinct(),
     )
 
 
-def city_tiers(city_tier: DataFrame) -> Lookup:
+def city_tiers(city_tier: DataFrame) -> DataFrame:
     """city_cn, city_tier"""
-    tiers = city_tier.select(F.col("city_chn").alias("city_cn"), "city_tier").distinct()
-    return checked(tiers, bound=city_tier)
+    return city_tier.select(F.col("city_chn").alias("city_cn"), "city_tier").distinct()
 
 
 def label_sets(lookup: DataFrame, key: str, label: str, missing: str) -> DataFrame:
@@ -62,7 +56,7 @@ def label_sets(lookup: DataFrame, key: str, label: str, missing: str) -> DataFra
 
 def with_labels(
     facts: DataFrame,
-    lookup: Lookup,
+    lookup: DataFrame,
     *,
     fact_key: str,
     lookup_key: str,
@@ -77,8 +71,8 @@ def with_labels(
     A key without a label gets ``missing_label`` and a missing key ``missing_key_label`` (the same by
     default).  A key with several labels counts under each of them but once in the total.
     """
-    sets = label_sets(lookup.rows, lookup_key, lookup_label, missing_label)
-    joined = lookup_join(facts, lookup.of_same_size(sets), {fact_key: lookup_key})
+    sets = label_sets(lookup, lookup_key, lookup_label, missing_label)
+    joined = lookup_join(facts, sets, {fact_key: lookup_key})
     found = F.coalesce(F.col("_labels"), F.array(F.lit(missing_label)))
     if missing_key_label is not None:
         found = F.when(F.col(fact_key).isNull(), F.array(F.lit(missing_key_label))).otherwise(found)
@@ -103,7 +97,7 @@ def maturity_labelled(
     )
 
 
-def tier_labelled(facts: DataFrame, tiers: Lookup, *, city: str, total: bool = True) -> DataFrame:
+def tier_labelled(facts: DataFrame, tiers: DataFrame, *, city: str, total: bool = True) -> DataFrame:
     return with_labels(
         facts,
         tiers,

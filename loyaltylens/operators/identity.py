@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loyaltylens.functions import fixed
 from loyaltylens.functions.exprs import canonical_id, effective_member_order, eligible, known_kind
 from loyaltylens.operators.cities import CityBands
-from loyaltylens.operators.joins import Lookup, checked, left_join_on_optional_key, lookup_join
+from loyaltylens.operators.joins import left_join_on_optional_key, lookup_join
 
 
 def eligible_orders(omni: DataFrame, as_of: date, *, members_only: bool = True) -> DataFrame:
@@ -25,7 +25,7 @@ def resolve_identity(orders: DataFrame, crm: DataFrame, spread: tuple[str, ...]
     Orders without a CRM reference match nothing; they are spread over all tasks of the join by the
     ``spread`` columns.  Callers that only need distinct members deduplicate the orders first.
     """
-    people = crm.select(F.col("member_id").alias("_crm_key"), F.col("id").cast("string").alias("_crm_id"), "join_time")
+    people = crm.select(F.col("member_id").alias("_crm_key"), F.col("id").alias("_crm_id"), "join_time")
     matched = left_join_on_optional_key(orders, "crm_member_detail_id", people, "_crm_key", spread=list(spread))
     resolved = F.when(known_kind(F.col("type_name")), F.coalesce("_crm_id", "type_value"))
     return matched.withColumn("omni_member_id", resolved).drop("_crm_key", "_crm_id")
@@ -47,19 +47,19 @@ def member_cities(orders: DataFrame, crm: DataFrame) -> DataFrame:
     return resolve_identity(references, crm).select("order_city", "omni_member_id").distinct()
 
 
-def calendar_days(calendar: DataFrame, as_of: date) -> Lookup:
+def calendar_days(calendar: DataFrame, as_of: date) -> DataFrame:
     """Fiscal periods of the days before ``as_of``."""
     days = calendar.filter((F.col("date_type") == fixed.DAY_ROW) & (F.col("date_id") < F.lit(as_of)))
-    return checked(days.select("date_id", "fiscal_year", "fiscal_quarter", "fiscal_month").distinct(), bound=calendar)
+    return days.select("date_id", "fiscal_year", "fiscal_quarter", "fiscal_month").distinct()
 
 
-def with_calendar(df: DataFrame, days: Lookup, date_col: str, prefix: str) -> DataFrame:
+def with_calendar(df: DataFrame, days: DataFrame, date_col: str, prefix: str) -> DataFrame:
     """Fiscal year, quarter and month of ``date_col``, NULL for a day outside ``days``.
 
     Call it once per role of the calendar, with a prefix each.
     """
     periods = {f"fiscal_{part}": f"{prefix}_fiscal_{part}" for part in ("year", "quarter", "month")}
-    return lookup_join(df, days.of_same_size(days.rows.withColumnsRenamed(periods)), {date_col: "date_id"})
+    return lookup_join(df, days.withColumnsRenamed(periods), {date_col: "date_id"})
 
 
 def omni_fact(omni: DataFrame, crm: DataFrame, calendar: DataFrame, as_of: date, channels: tuple[str, ...]) -> DataFrame:
@@ -80,7 +80,7 @@ def member_transactions(omni: DataFrame, crm: DataFrame, calendar: DataFrame, ba
     """Distinct member purchases (city, member, product, fiscal years) in cities with a band."""
     lines = lookup_join(eligible_orders(omni, as_of), bands.typed_cities, {"order_city": "city_cn"}, how="left_semi")
     days = calendar_days(calendar, as_of)
-    dated = with_calendar(lines, days, "order_paid_date", "trans")
+    dated = with_calendar(lines.withColumn("paid_day", F.col("order_paid_time").cast("date")), days, "paid_day", "trans")
     purchases = dated.select(
         "order_city", "type_name", "type_value", "crm_member_detail_id", "sku_id", "trans_fiscal_year",
         "first_bind_time",

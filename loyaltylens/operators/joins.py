@@ -2,58 +2,19 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A lookup is broadcast only when a count has shown that it has no more rows than this.
-BROADCAST_ROWS = 200_000
-SALTS = 64
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count the rows; only one number per task is shuffled, however large ``df`` is."""
-    return df.count() <= max_rows
-
-
-@dataclass(frozen=True)
-class Lookup:
-    """A lookup table, and whether a count has shown that it is small enough to be broadcast."""
-
-    rows: DataFrame
-    small: bool
-
-    def of_same_size(self, rows: DataFrame) -> Lookup:
-        """Another form of this lookup that has no more rows."""
-        return Lookup(rows, self.small)
-
-
-def checked(rows: DataFrame, bound: DataFrame | None = None) -> Lookup:
-    """Check the size of a lookup.
-
-    ``bound`` is a table that cannot have fewer rows than ``rows`` and is cheaper to count; when it is small
-    the lookup itself need not be computed.
-    """
-    return Lookup(rows, (bound is not None and fits_broadcast(bound)) or fits_broadcast(rows))
-
 
-def lookup_join(facts: DataFrame, lookup: Lookup, on: dict[str, str], *, how: str = "left") -> DataFrame:
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: dict[str, str], *, how: str = "left") -> DataFrame:
     """Join facts to a lookup; ``on`` maps fact columns to lookup columns, which are dropped.
 
-    A small lookup is broadcast, so the facts are not shuffled.  A larger one is repeated once per salt and
-    joined on key and salt, so that a key that holds a large share of the facts is spread over ``SALTS``
-    tasks.
+    A plain equi-join, so nothing runs while a report is built.  Spark broadcasts the lookup if its size, known or
+    measured at run time, is small, and else shuffles both sides and splits partitions that turn out too large.
     """
     keys = {right: f"_lookup_{right}" for right in on.values()}
-    right = lookup.rows.withColumnsRenamed(keys)
     condition = _all_equal({left: keys[r] for left, r in on.items()})
-    if lookup.small:
-        return facts.join(F.broadcast(right), condition, how).drop(*keys.values())
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)))
-    repeated = right.withColumn("_lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-    condition = condition & (F.col("_salt") == F.col("_lookup_salt"))
-    return salted.join(repeated, condition, how).drop("_salt", "_lookup_salt", *keys.values())
+    return facts.join(lookup.withColumnsRenamed(keys), condition, how).drop(*keys.values())
 
 
 def _all_equal(pairs: dict[str, str]) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loyaltylens.functions import fixed
 from loyaltylens.functions.exprs import age_years, as_double, band_of_level, canonical_id, change_ratio, safe_div
-from loyaltylens.functions.periods import in_last_year, in_this_year, ytd_window
+from loyaltylens.functions.periods import in_last_year, in_this_year, in_window, ytd_window
 from loyaltylens.operators.cities import CityBands
 from loyaltylens.operators.identity import (
     calendar_days,
@@ -19,7 +19,7 @@ from loyaltylens.operators.identity import (
     resolve_identity,
     with_calendar,
 )
-from loyaltylens.operators.joins import Lookup, checked, lookup_join
+from loyaltylens.operators.joins import lookup_join
 
 
 # -- adult products -------------------------------------------------------------------------------
@@ -30,7 +30,7 @@ class AdultList:
     """Product ids for adults: as found, and as a lookup of the distinct ids."""
 
     found: DataFrame  # sku_id, may repeat and may be missing
-    listed: Lookup  # sku
+    listed: DataFrame  # sku
 
     def state(self) -> Column:
         """``empty``, ``has missing`` or ``complete``, as a scalar subquery."""
@@ -42,7 +42,7 @@ class AdultList:
 def _adult_list(products: DataFrame, is_adult: Column) -> AdultList:
     found = products.filter(is_adult).select("sku_id")
     ids = found.filter(F.col("sku_id").isNotNull()).select(F.col("sku_id").cast("string").alias("sku")).distinct()
-    return AdultList(found, checked(ids, bound=products))
+    return AdultList(found, ids)
 
 
 def adult_skus(products: DataFrame, min_age: int = fixed.ADULT_MIN_AGE) -> AdultList:
@@ -61,7 +61,7 @@ def with_buyer_flags(lines: DataFrame, adult: AdultList) -> DataFrame:
     The second follows SQL's NOT IN: a list with a missing id, or a line without a product, makes "not in
     the list" unknown, and unknown does not count; an empty list holds nothing for certain.
     """
-    listed = adult.listed.of_same_size(adult.listed.rows.withColumn("_listed", F.lit(True)))
+    listed = adult.listed.withColumn("_listed", F.lit(True))
     flagged = lookup_join(lines.withColumn("_line_sku", F.col("sku_id").cast("string")), listed, {"_line_sku": "sku"})
     is_adult = F.coalesce(F.col("_listed"), F.lit(False))
     absent = F.col("_line_sku").isNotNull() & ~is_adult
@@ -86,7 +86,8 @@ def buyer_profile(
     years: tuple[str, ...] = ()
     if calendar is not None:
         days = calendar_days(calendar, as_of)
-        lines = with_calendar(lines, days, "order_paid_date", "trans")
+        paid_day = F.col("order_paid_time").cast("date")
+        lines = with_calendar(lines.withColumn("paid_day", paid_day), days, "paid_day", "trans")
         years = ("first_bind_time", "trans_fiscal_year")
     keys = ("order_city", "type_name", "type_value", "crm_member_detail_id", *years)
     references = (
@@ -107,6 +108,24 @@ def buyer_profile(
     )
 
 
+def buyer_profiles(orders: DataFrame, crm: DataFrame, lists: dict[str, AdultList]) -> DataFrame:
+    """One row per order city and member id, with ``<name>_bought_kids`` and ``<name>_bought_adult`` for each list."""
+    lines, flags = orders, []
+    for name, adult in lists.items():
+        named = {"is_kids": f"{name}_bought_kids", "is_adult": f"{name}_bought_adult"}
+        lines = with_buyer_flags(lines, adult).withColumnsRenamed(named)
+        flags += named.values()
+    references = (
+        member_references(lines, *flags)
+        .groupBy("order_city", "type_name", "type_value", "crm_member_detail_id")
+        .agg(*(F.max(f).alias(f) for f in flags))
+    )
+    people = resolve_identity(references, crm)
+    return people.groupBy(F.col("order_city").alias("city"), "omni_member_id").agg(
+        *(F.max(F.coalesce(f, F.lit(False))).alias(f) for f in flags)
+    )
+
+
 def _distinct_members(condition: str) -> Column:
     return F.expr(f"count(distinct omni_member_id) filter (where {condition})")
 
@@ -197,10 +216,14 @@ def open_stores(stores: DataFrame) -> DataFrame:
     return kept.groupBy("city_cn").agg(F.count_distinct("store_code").alias("current_LCS_store_count"))
 
 
+def _counted(daily: DataFrame, agg_type: str) -> DataFrame:
+    return daily.filter((F.col("agg_type") == agg_type) & F.col("distributor").contains(fixed.STORE_MARK))
+
+
 def footfall(daily: DataFrame, as_of: date, agg_type: str) -> DataFrame:
-    """Visitors of this year and of last year to 365 days ago.
+    """Visitors of this year and of last year to 365 days ago, of cities with a counted row in either.
 
-    Every city with a counted row of any year is listed, with 0 where a window holds none.
+    Only the two windows are read.
     """
     window = ytd_window(as_of, ly_days=365)
     day = F.col("date_id")
@@ -208,7 +231,7 @@ def footfall(daily: DataFrame, as_of: date, agg_type: str) -> DataFrame:
     def visitors(within: Column) -> Column:
         return F.sum(F.when(within, F.col("traffic_amt")).otherwise(F.lit(0)))
 
-    kept = daily.filter((F.col("agg_type") == agg_type) & F.col("distributor").contains(fixed.STORE_MARK))
+    kept = _counted(daily, agg_type).filter(in_window(day, window))
     return kept.groupBy("city_cn").agg(
         visitors(in_this_year(day, window)).alias("traffic_TY_YTD"),
         visitors(in_last_year(day, window)).alias("traffic_LY_YTD"),
@@ -216,7 +239,12 @@ def footfall(daily: DataFrame, as_of: date, agg_type: str) -> DataFrame:
 
 
 def traffic_growth(daily: DataFrame, as_of: date, agg_type: str) -> DataFrame:
-    counted = footfall(daily, as_of, agg_type)
+    """Footfall of both windows and its change; cities that were only counted in other years are listed with 0."""
+    visitors = footfall(daily, as_of, agg_type).withColumnRenamed("city_cn", "_city")
+    cities = _counted(daily, agg_type).select("city_cn").distinct()
+    counted = cities.join(visitors, cities.city_cn.eqNullSafe(visitors["_city"]), "left").fillna(
+        0, ["traffic_TY_YTD", "traffic_LY_YTD"]
+    )
     return counted.select(
         "city_cn",
         as_double(F.col("traffic_TY_YTD")).alias("traffic_TY_YTD"),
@@ -233,9 +261,7 @@ def new_registrations(members: DataFrame, stores: DataFrame, as_of: date) -> Dat
     joined_ty = registered_in_stores(members).filter(in_this_year(F.col("join_time"), ytd_window(as_of)))
     places = stores.select("store_code", F.col("city_cn").alias("store_city")).distinct()
     located = lookup_join(
-        joined_ty.select("member_detail_id", "eff_reg_store"),
-        checked(places, bound=stores),
-        {"eff_reg_store": "store_code"},
+        joined_ty.select("member_detail_id", "eff_reg_store"), places, {"eff_reg_store": "store_code"}
     )
     return located.groupBy(F.col("store_city").alias("city_cn")).agg(
         F.count_distinct("member_detail_id").alias("LCS_new_reg")
@@ -280,12 +306,11 @@ def penetration_columns() -> dict[str, Column]:
 def all_members(members: DataFrame, belong: DataFrame) -> DataFrame:
     """One row: members, plus linked accounts without a member, counted per marketplace."""
     registered = members.agg(F.count("member_detail_id").alias("member_count"))
-    unlinked = belong.filter((F.col("belong_type") == fixed.LINK_BELONG_TYPE) & F.col("member_detail_id").isNull())
-    counts = [registered]
-    for channel in fixed.LINK_CHANNELS:
-        rows = unlinked.filter(F.col("eff_belong_channel") == channel)
-        counts.append(rows.agg(F.count_distinct("platform_id_value").alias("member_count")))
-    every = counts[0]
-    for part in counts[1:]:
-        every = every.unionByName(part)
-    return every.agg(F.sum("member_count").alias("ttl_member_base"))
+    unlinked = belong.filter(
+        (F.col("belong_type") == fixed.LINK_BELONG_TYPE)
+        & F.col("member_detail_id").isNull()
+        & F.col("eff_belong_channel").isin(*fixed.LINK_CHANNELS)
+    )
+    linked = unlinked.select("eff_belong_channel", "platform_id_value").distinct()
+    counts = registered.unionByName(linked.agg(F.count("platform_id_value").alias("member_count")))
+    return counts.agg(F.sum("member_count").alias("ttl_member_base"))

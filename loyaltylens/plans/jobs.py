@@ -10,48 +10,42 @@ from pyspark.sql import DataFrame
 
 from loyaltylens.plans import location, penetration, scorecards
 from loyaltylens.sources.schemas import LOCATED_SCHEMA
-from loyaltylens.sources.tables import refresh
+from loyaltylens.sources.tables import refresh, saved
 
 CHANNELS = ("online", "offline")
 GRAINS = ("city", "maturity", "tier")
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the shared folder that ``spark.checkpoint.dir`` names, so that its readers do not
-    compute it again.
-
-    Without such a folder the plan is returned as it is, and every reader computes it.
-    """
-    context = df.sparkSession.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir")
-    if folder and context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return df.checkpoint() if context.getCheckpointDir() else df
-
-
 def refresh_reports(
-    tables: Mapping[str, DataFrame], folder: str, as_of: date, *, as_published: bool = False
+    tables: Mapping[str, DataFrame], target: str, as_of: date, *, as_tables: bool = False, as_published: bool = False
 ) -> list[str]:
-    """Write every report below ``folder`` and return their names.
+    """Write every report and return their names.
 
-    The located members come first, as the penetration reports read them.  The three scorecards of a channel
-    share one pass over its order lines.
+    ``target`` is a folder or, with ``as_tables``, a schema of the catalog.  The located members come first, as the
+    penetration reports read them.  The two penetration reports share one pass over the order history, the three
+    scorecards of a channel one over its order lines; what they share is removed at the end.
     """
     written = []
 
+    def place(name: str) -> str:
+        return f"{target}.{name}" if as_tables else f"{target}/{name}"
+
     def write(name: str, report: DataFrame, *, audited: bool = False) -> None:
-        refresh(report, f"{folder}/{name}", as_of=as_of if audited else None)
+        refresh(report, place(name), as_table=as_tables, as_of=as_of if audited else None)
         written.append(name)
 
     located = location.segment_members(tables["prop_log"], tables["segment_map"])
     write("located_members", located)
-    saved = located.sparkSession.read.schema(LOCATED_SCHEMA).parquet(f"{folder}/located_members")
-    tables = ChainMap({"located": saved}, tables)
-    write("penetration_city", penetration.penetration_city(tables, as_of))
-    write("penetration_maturity", penetration.penetration_maturity(tables, as_of), audited=True)
+    spark = located.sparkSession
+    read = spark.table(place("located_members")) if as_tables else spark.read.schema(LOCATED_SCHEMA).parquet(place("located_members"))
+    tables = ChainMap({"located": read}, tables)
+    with saved(penetration.both_profiles(tables, as_of)) as both:
+        write("penetration_city", penetration.penetration_city(tables, as_of, penetration.profile_by_age(both)))
+        by_portfolio = penetration.profile_by_portfolio(both)
+        write("penetration_maturity", penetration.penetration_maturity(tables, as_of, by_portfolio), audited=True)
     for channel in CHANNELS:
-        orders = keep(scorecards.orders_of(tables, channel, as_of))
-        for grain in GRAINS:
-            report = scorecards.scorecard(tables, channel, grain, as_of, orders=orders, as_published=as_published)
-            write(f"performance_{channel}_{grain}", report)
+        with saved(scorecards.orders_of(tables, channel, as_of)) as orders:
+            for grain in GRAINS:
+                report = scorecards.scorecard(tables, channel, grain, as_of, orders=orders, as_published=as_published)
+                write(f"performance_{channel}_{grain}", report)
     return written

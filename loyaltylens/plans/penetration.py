@@ -36,13 +36,28 @@ def buyers(tables: Tables, as_of: date, adult: ops.AdultList, *, with_years: boo
     return ops.buyer_profile(orders, tables["crm"], adult, calendar=calendar, as_of=as_of)
 
 
+def both_profiles(tables: Tables, as_of: date) -> DataFrame:
+    """What every member bought in every order city, by either list of adult products, from one pass."""
+    orders = eligible_orders(tables["omni"], as_of)
+    lists = {"age": ops.adult_skus(tables["product"]), "portfolio": ops.adult_portfolio(tables["portfolio"])}
+    return ops.buyer_profiles(orders, tables["crm"], lists)
+
+
+def profile_by_age(both: DataFrame) -> DataFrame:
+    return both.select("city", "omni_member_id", *(F.col(f"age_{f}").alias(f) for f in SHOPPERS))
+
+
+def profile_by_portfolio(both: DataFrame) -> DataFrame:
+    return both.select("city", "omni_member_id", *(F.col(f"portfolio_{f}").alias(f) for f in SHOPPERS))
+
+
 def city_members(tables: Tables, profile: DataFrame, bands: CityBands, *, with_years: bool = False) -> DataFrame:
     """Member base and shopper counts per city.
 
     Registrations and purchases count in cities with a band; located members count in any city.
     """
     typed = bands.typed_cities
-    marked = typed.of_same_size(typed.rows.withColumn("counted", F.lit(True)))
+    marked = typed.withColumn("counted", F.lit(True))
     known = lookup_join(profile, marked, {"city": "city_cn"}).withColumn("counted", F.coalesce("counted", F.lit(False)))
     counts = {**SHOPPERS, **(NEW_SHOPPERS if with_years else {})}
     members = ops.member_segments(
@@ -101,9 +116,10 @@ def member_kpis_city(tables: Tables, as_of: date, agg_type: str) -> DataFrame:
     )
 
 
-def penetration_city(tables: Tables, as_of: date) -> DataFrame:
-    """Penetration of every city with a population."""
-    profile = buyers(tables, as_of, ops.adult_skus(tables["product"]))
+def penetration_city(tables: Tables, as_of: date, profile: DataFrame | None = None) -> DataFrame:
+    """Penetration of every city with a population; ``profile`` is :func:`profile_by_age` where it is at hand."""
+    if profile is None:
+        profile = buyers(tables, as_of, ops.adult_skus(tables["product"]))
     members = city_members(tables, profile, city_bands(tables["store"], tables["city_type"]))
     cities = tables["population"]
     joined = cities.join(members, cities.city_cn == members.city, "left")
@@ -111,13 +127,14 @@ def penetration_city(tables: Tables, as_of: date) -> DataFrame:
     return joined.withColumns(ops.penetration_columns()).select(band, "city_cn", *REPORT_COLUMNS)
 
 
-def penetration_maturity(tables: Tables, as_of: date) -> DataFrame:
-    """Penetration of every maturity band, and two total rows.
+def penetration_maturity(tables: Tables, as_of: date, profile: DataFrame | None = None) -> DataFrame:
+    """Penetration of every maturity band, and two total rows.  ``profile`` is :func:`profile_by_portfolio`.
 
     The first total adds the bands up, so a member of two bands counts twice; the second counts all
     members and all linked accounts without a member.
     """
-    profile = buyers(tables, as_of, ops.adult_portfolio(tables["portfolio"]))
+    if profile is None:
+        profile = buyers(tables, as_of, ops.adult_portfolio(tables["portfolio"]))
     members = maturity_members(tables, profile, city_bands(tables["store"], tables["city_type"]))
     return with_total_rows(members, tables)
 

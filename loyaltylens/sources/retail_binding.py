@@ -35,6 +35,8 @@ FOOTFALL_ROWS = "brand"
 
 _JOINED = "date '1995-01-01' + cast(c_custkey * 37 % 2400 as int)"
 _SIGNED = "case when l_returnflag = 'R' then -{0} else {0} end"
+_QUANTITY = f"case l_linenumber when 6 then 0 when 7 then null else {_SIGNED.format('l_quantity')} end"
+_EFFECTIVE = "case when o_orderkey % 19 <> 0 then o_orderstatus <> 'P' end"
 _DISTRIBUTOR = "case {0} % 3 when 0 then 'LCS-A' when 1 then 'LCS-B' else 'LBR' end"
 
 
@@ -84,7 +86,7 @@ class RetailBinding(Mapping[str, DataFrame]):
     def _store(self) -> DataFrame:
         nation = self.raw("nation")
         return self.raw("supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).selectExpr(
-            "s_suppkey store_code",
+            "cast(s_suppkey as string) store_code",
             "n_name city_cn",
             f"case when s_acctbal > 0 then '{fixed.OPEN_STATUS}' else 'closed' end store_status",
             f"{_DISTRIBUTOR.format('s_suppkey')} distributor",
@@ -109,12 +111,15 @@ class RetailBinding(Mapping[str, DataFrame]):
             "n_name city_cn",
             "case c_mktsegment when 'HOUSEHOLD' then 'LCS' when 'BUILDING' then 'LCS,WMP' when 'MACHINERY' then 'WMP'"
             " when 'FURNITURE' then 'TMALL' else 'DOUYIN' end eff_reg_channel",
-            "c_custkey % 100 eff_reg_store",
+            "cast(c_custkey div 15 as string) eff_reg_store",
             f"{_JOINED} join_time",
         )
 
     def _crm(self) -> DataFrame:
-        return self.raw("customer").selectExpr("c_custkey id", "c_custkey member_id", f"{_JOINED} join_time")
+        """Keys that are no numbers, other join dates than the members', and members that are missing here."""
+        return self.raw("customer").filter("c_custkey % 13 <> 0").selectExpr(
+            "cast(c_custkey as string) id", "concat('K', cast(c_custkey as string)) member_id", f"{_JOINED} + 200 join_time"
+        )
 
     def _belong(self) -> DataFrame:
         return self.raw("customer").selectExpr(
@@ -148,17 +153,18 @@ class RetailBinding(Mapping[str, DataFrame]):
             "case o_orderkey % 4 when 0 then 'CRM_memberid' when 1 then 'DY_openid' when 2 then 'TMALL_kyid'"
             " else 'other' end type_name",
             "concat('ext-', cast(o_custkey as string)) type_value",
-            "case when o_custkey % 5 <> 0 then o_custkey end crm_member_detail_id",
+            "case when o_custkey % 5 <> 0 then concat('K', cast(o_custkey as string)) end crm_member_detail_id",
             "cast(o_orderdate as date) order_paid_date",
+            "o_orderdate + make_dt_interval(if(o_orderkey % 6 = 0, 40, 0), 0, if(o_orderkey % 6 = 0, 0, 10)) order_paid_time",
             "l_linenumber sales_type",
             "case when l_linestatus = 'F' then 'normal' else 'presale' end order_type",
-            "o_custkey % 4 <> 0 is_member_order",
-            "o_orderstatus <> 'P' if_eff_order_tag",
-            "l_partkey sku_id",
+            "case when o_custkey % 17 <> 0 then o_custkey % 4 <> 0 end is_member_order",
+            f"{_EFFECTIVE} if_eff_order_tag",
+            "cast(l_partkey as string) sku_id",
             "date '1995-01-01' + cast(o_custkey * 53 % 2400 as int) first_bind_time",
             "cast(o_custkey as string) kyid",
-            "o_orderkey parent_order_id",
-            f"{_SIGNED.format('l_quantity')} sales_qty",
+            "cast(o_orderkey as string) parent_order_id",
+            f"{_QUANTITY} sales_qty",
             f"cast({_SIGNED.format('l_extendedprice')} as {MONEY}) order_rrp_amt",
         )
 
@@ -166,10 +172,10 @@ class RetailBinding(Mapping[str, DataFrame]):
         return self._sold_lines().selectExpr(
             "n_name city_cn",
             "case when o_custkey % 7 <> 0 then cast(o_custkey as string) end crm_member_id",
-            f"{_SIGNED.format('l_quantity')} sales_qty",
+            f"{_QUANTITY} sales_qty",
             f"cast({_SIGNED.format('l_extendedprice')} as {MONEY}) order_rrp_amt",
-            "o_orderstatus <> 'P' if_eff_order_tag",
-            "o_orderkey original_order_id",
+            f"{_EFFECTIVE} if_eff_order_tag",
+            "cast(o_orderkey as string) original_order_id",
             "case when l_linenumber = 3 then 0 else 1 end is_rrp_sales_type",
             f"{_DISTRIBUTOR.format('l_suppkey')} distributor_name",
             "cast(o_orderdate as date) date_id",
@@ -219,7 +225,7 @@ class RetailBinding(Mapping[str, DataFrame]):
 
     def _product(self) -> DataFrame:
         return self.raw("part").selectExpr(
-            "p_partkey sku_id",
+            "cast(p_partkey as string) sku_id",
             "case p_partkey % 6 when 0 then concat(cast(p_size as string), '+')"
             " when 1 then concat(cast(p_size as string), '-', cast(p_size + 3 as string))"
             " when 2 then '1 1/2' when 3 then 'N/A' when 5 then cast(p_size as string) end age_mark",
@@ -227,7 +233,7 @@ class RetailBinding(Mapping[str, DataFrame]):
 
     def _portfolio(self) -> DataFrame:
         return self.raw("part").selectExpr(
-            "p_partkey sku_id",
+            "cast(p_partkey as string) sku_id",
             f"case when p_size >= 25 then '{fixed.ADULT_PRODUCT}' else 'kids product' end kids_vs_adult",
         )
 
@@ -235,7 +241,7 @@ class RetailBinding(Mapping[str, DataFrame]):
 
     def _prop_log(self) -> DataFrame:
         return self.raw("events").selectExpr(
-            "user_id gio_id",
+            "cast(user_id as string) gio_id",
             f"case when event_type = 'signup' then '{fixed.CRM_ID_PROPERTY}' else event_type end prop_key",
             "case when event_type = 'signup' then cast(user_id as string) when event_id % 2 = 0 then '1' else '0' end"
             " prop_value",

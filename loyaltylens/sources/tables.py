@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,20 +64,88 @@ def with_audit_columns(df: DataFrame, as_of: date) -> DataFrame:
 def refresh(df: DataFrame, target: str, *, as_table: bool = False, as_of: date | None = None) -> None:
     """Replace the whole content of ``target``, a Parquet folder or a catalog table.
 
-    The new content is first written out beside the target.  A report that fails leaves the old content as it
-    was, and a report may read the table it replaces.  An existing table keeps its column order: columns are
-    matched by name, never by position.
+    The new content is written once, beside the target, and takes its place by renaming at the end.  Until then,
+    and if anything fails, the old content stays where it is; nothing else is left behind.  So a report may read
+    the table it replaces.  An existing table keeps its column order: columns are matched by name, never by position.
     """
     out = with_audit_columns(df, as_of) if as_of is not None else df
+    target = target.rstrip("/")
+    run = uuid.uuid4().hex[:12]
+    place = _TablePlace(df.sparkSession) if as_table else _FolderPlace(df.sparkSession, target)
+    new, old = f"{target}__new_{run}", f"{target}__old_{run}"
+    replaced = place.exists(target)
+    try:
+        place.write(out.select(*place.columns(target)) if as_table and replaced else out, new)
+        if replaced:
+            place.rename(target, old)
+        place.rename(new, target)
+    except BaseException:
+        if replaced and not place.exists(target):
+            place.rename(old, target)
+        place.drop(new)
+        raise
+    place.drop(old)
+
+
+class _FolderPlace:
+    """Parquet folders, moved by the file system that holds them."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        jvm = spark.sparkContext._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._files = self._path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def write(self, df: DataFrame, folder: str) -> None:
+        df.write.parquet(folder)
+
+    def exists(self, folder: str) -> bool:
+        return self._files.exists(self._path(folder))
+
+    def rename(self, folder: str, to: str) -> None:
+        if not self._files.rename(self._path(folder), self._path(to)):
+            raise OSError(f"{folder} could not be renamed to {to}")
+
+    def drop(self, folder: str) -> None:
+        self._files.delete(self._path(folder), True)
+
+
+class _TablePlace:
+    """Catalog tables."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+
+    def write(self, df: DataFrame, table: str) -> None:
+        df.write.format("parquet").saveAsTable(table)
+
+    def exists(self, table: str) -> bool:
+        return self._spark.catalog.tableExists(table)
+
+    def columns(self, table: str) -> list[str]:
+        return self._spark.table(table).columns
+
+    def rename(self, table: str, to: str) -> None:
+        self._spark.sql(f"ALTER TABLE {table} RENAME TO {to}")
+
+    def drop(self, table: str) -> None:
+        self._spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+@contextmanager
+def saved(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder that ``spark.checkpoint.dir`` names, for as long as it is needed.
+
+    Without such a folder ``df`` is returned as it is, and every reader computes it.
+    """
     spark = df.sparkSession
-    if not as_table:
-        staging = f"{target.rstrip('/')}__staging"
-        out.write.mode("overwrite").parquet(staging)
-        spark.read.schema(out.schema).parquet(staging).write.mode("overwrite").parquet(target)
-        return
-    if not spark.catalog.tableExists(target):
-        out.write.format("parquet").saveAsTable(target)
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        yield df
         return
-    staging = f"{target}__staging"
-    out.write.format("parquet").mode("overwrite").saveAsTable(staging)
-    spark.table(staging).select(*spark.table(target).columns).write.mode("overwrite").insertInto(target)
+    folder = f"{shared}/saved_{uuid.uuid4().hex}"
+    place = _FolderPlace(spark, folder)
+    try:
+        place.write(df, folder)
+        yield spark.read.schema(df.schema).parquet(folder)
+    finally:
+        place.drop(folder)

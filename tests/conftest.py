@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Iterable
+from datetime import datetime, time
 
 import pytest
 
@@ -30,12 +31,22 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def table(spark):
-    """Build a canonical table from rows given as dicts; missing columns are NULL."""
+    """Build a canonical table from rows given as dicts; missing columns are NULL, ids may be given as numbers.
+
+    The paid time is noon of the paid day where it is not given.
+    """
 
     def build(name: str, rows: Iterable[dict]):
         schema = LOCATED_SCHEMA if name == "located" else SCHEMAS[name]
-        names = [part.split()[0] for part in schema.replace("decimal(18,2)", "decimal").split(", ")]
-        return spark.createDataFrame([tuple(row.get(n) for n in names) for row in rows], schema)
+        kinds = dict(part.split() for part in schema.split(", "))
+
+        def value(row: dict, column: str):
+            found = row.get(column)
+            if column == "order_paid_time" and column not in row and row.get("order_paid_date"):
+                found = datetime.combine(row["order_paid_date"], time(12))
+            return str(found) if kinds[column] == "string" and isinstance(found, int) else found
+
+        return spark.createDataFrame([tuple(value(row, n) for n in kinds) for row in rows], schema)
 
     return build
 

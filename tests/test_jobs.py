@@ -32,3 +32,12 @@ def test_refresh_reports(spark, tmp_path, checkpoint_folder):
     audited = spark.read.parquet(f"{folder}/penetration_maturity")
     assert audited.columns[-2:] == ["dl_batch_date", "dl_load_time"]
     assert {r.dl_batch_date for r in audited.collect()} == {"20010615"}
+
+
+def test_refresh_reports_into_the_catalog(spark, checkpoint_folder):
+    spark.sql("create database reports_db")
+    written = refresh_reports(RetailBinding(spark, SF_DIR), "reports_db", AS_OF, as_tables=True)
+    assert {t.name for t in spark.catalog.listTables("reports_db")} == set(written) and len(written) == 9
+    expected = contract.queries()["penetration_city"](spark, SF_DIR)
+    assert sorted(map(str, spark.table("reports_db.penetration_city").collect())) == sorted(map(str, expected.collect()))
+    spark.sql("drop database reports_db cascade")

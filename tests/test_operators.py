@@ -23,21 +23,15 @@ def log_rows(*rows):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
-def test_salted_lookup_join_equals_broadcast(spark, how):
+def test_lookup_join_is_the_same_shuffled_and_broadcast(spark, how):
     facts = spark.range(3000).selectExpr("id", "case when id % 3 = 0 then 'hot' when id % 50 = 0 then null else concat('k', id % 40) end key")
     lookup = spark.createDataFrame([("hot", "H"), *((f"k{i}", f"v{i}") for i in range(20))], "name string, label string")
-    small = joins.lookup_join(facts, joins.Lookup(lookup, True), {"key": "name"}, how=how)
-    large = joins.lookup_join(facts, joins.Lookup(lookup, False), {"key": "name"}, how=how)
+    small = joins.lookup_join(facts, lookup.hint("broadcast"), {"key": "name"}, how=how)
+    large = joins.lookup_join(facts, lookup.hint("merge"), {"key": "name"}, how=how)
     assert small.columns == large.columns
     assert rows_of(small) == rows_of(large)
 
 
-def test_size_check_counts_rows(spark):
-    assert joins.fits_broadcast(spark.range(10), 10)
-    assert not joins.fits_broadcast(spark.range(11), 10)
-    assert joins.checked(spark.range(5)).small
-
-
 def test_flag_join_keeps_every_fact_once(spark):
     facts = spark.createDataFrame([(1, "a", "TY"), (2, None, "TY"), (3, "a", "LY"), (4, "b", "TY")], "order_id int, m string, period string")
     members = spark.createDataFrame([("a", "TY"), ("a", "TY"), (None, "TY"), ("b", "LY")], "member string, period string")
@@ -52,15 +46,15 @@ def test_latest_batch_keeps_ties_and_looks_at_the_flag_afterwards(table):
     log = table("prop_log", log_rows((1, "s", "1", NOON), (2, "s", "0", LATER), (3, "s", "1", LATER), (4, "s", "1", None), (5, "other", "1", NOON)))
     segments = table("segment_map", [{"prop_key": "s", "city_cn": "X"}, {"prop_key": "empty", "city_cn": "Y"}])
     newest = latest_batch(log, "prop_key", "update_time", segments)
-    assert {r.gio_id for r in newest.collect()} == {2, 3}
-    assert {r.gio_id for r in location.newest_segment_rows(log, segments).collect()} == {3}
+    assert {r.gio_id for r in newest.collect()} == {"2", "3"}
+    assert {r.gio_id for r in location.newest_segment_rows(log, segments).collect()} == {"3"}
 
 
 def test_latest_row_breaks_ties_the_same_way(table):
     rows = log_rows((1, "p", "b", LATER), (1, "p", "a", LATER), (1, "p", "c", NOON), (2, "p", "z", None))
     for order in (rows, rows[::-1]):
         newest = latest_row(table("prop_log", order), ["gio_id"], "update_time", ["prop_value"])
-        assert [(r.gio_id, r.prop_value) for r in newest.collect()] == [(1, "a")]
+        assert [(r.gio_id, r.prop_value) for r in newest.collect()] == [("1", "a")]
 
 
 def test_segment_members_takes_one_city_per_segment_and_user(table):
@@ -122,7 +116,23 @@ def test_resolve_identity(table):
     )
     crm = table("crm", [{"id": 100, "member_id": 10, "join_time": date(2000, 1, 1)}, {"id": 101, "member_id": None}])
     found = {r.parent_order_id: r.omni_member_id for r in identity.resolve_identity(omni, crm).collect()}
-    assert found == {1: "100", 2: "v2", 3: "v3", 4: None, 5: None}
+    assert found == {"1": "100", "2": "v2", "3": "v3", "4": None, "5": None}
+
+
+def test_ids_are_compared_as_text(table):
+    omni = table("omni", [{"parent_order_id": n, "type_name": "CRM_memberid", "type_value": "v", "crm_member_detail_id": i} for n, i in enumerate(("007", "7", "M001"))])
+    crm = table("crm", [{"id": "a", "member_id": "7"}, {"id": "b", "member_id": "M001"}])
+    found = {r.parent_order_id: r.omni_member_id for r in identity.resolve_identity(omni, crm).collect()}
+    assert found == {"0": "v", "1": "a", "2": "b"}
+
+
+def test_transactions_are_dated_by_the_paid_time(table):
+    order = {"order_city": "A", "type_name": "CRM_memberid", "type_value": "m", "sku_id": 1, "source_channel": "LCS", "sales_type": 1, "is_member_order": True, "if_eff_order_tag": True}
+    orders = table("omni", [{**order, "order_paid_date": date(2000, 12, 31), "order_paid_time": datetime(2001, 1, 1, 0, 5)}])
+    days = table("calendar", [{"date_id": d, "date_type": "day", "fiscal_year": d.year} for d in (date(2000, 12, 31), date(2001, 1, 1))])
+    bands = bands_of(table, [(1, "A")], [("A", "1_mature")])
+    found = identity.member_transactions(orders, table("crm", []), days, bands, date(2001, 6, 15)).collect()
+    assert [r.trans_fiscal_year for r in found] == [2001]
 
 
 def test_registered_not_purchased(spark, table):
@@ -166,7 +176,7 @@ def test_buyer_flags_follow_not_in(spark, table, adult, expected):
 def test_adult_skus(table):
     marks = ["13+", "12", "1 1/2", "N/A", None, "18"]
     products = table("product", [{"sku_id": i, "age_mark": m} for i, m in enumerate(marks)])
-    assert rows_of(ops.adult_skus(products).found) == {(0,), (5,)}
+    assert rows_of(ops.adult_skus(products).found) == {("0",), ("5",)}
 
 
 # -- member base -----------------------------------------------------------------------------------

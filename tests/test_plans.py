@@ -6,10 +6,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
+from loyaltylens.catalog import registered
 
 SF_DIR = "/root/testdata/sf0.01"
-QUERIES = contract.queries()
+QUERIES = registered()
 REPORTS = [n for n in QUERIES if n.startswith(("scorecard_", "penetration_", "member_kpi", "lbs_"))]
 
 
@@ -55,10 +55,27 @@ def test_both_windows_reach_the_scan(spark):
         assert bound in pushed
 
 
-def test_latest_rows_are_limited_before_the_shuffle(spark):
+def test_location_log_is_read_for_rows_once_and_for_batch_times_once(spark):
     plan = initial_plan(spark, "lbs_city_member")
-    assert plan.count("WindowGroupLimit") == 4
-    assert "rank(" not in plan
+    read = scans(plan, "events")
+    assert len(read) == 2 and sum("user_id" in line.split("ReadSchema")[1] for line in read) == 1
+    assert len(scans(initial_plan(spark, "latest_attribute"), "events")) == 1
+
+
+def test_footfall_windows_reach_the_scan(spark):
+    for name in ("member_kpis_city", "registration_rate"):
+        pushed = [line for line in scans(initial_plan(spark, name), "lineitem") if "l_shipdate" in line]
+        for bound in ("2000-01-01", "2000-06-15", "2001-01-01", "2002-01-01"):
+            assert all(bound in line for line in pushed) and pushed
+
+
+def test_no_job_runs_while_a_query_is_built(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    for name in QUERIES:
+        QUERIES[name](spark, SF_DIR)
+    assert not list(tracker.getJobIdsForGroup("building"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_order_measures_shuffle_two_distinct_sets(spark):
@@ -67,9 +84,3 @@ def test_order_measures_shuffle_two_distinct_sets(spark):
     expand = next(line for line in plan.splitlines() if " Expand [" in line)
     projections = expand.split("]], [")[0]
     assert len(re.findall(r"\[city_tier#", projections)) == 3
-
-
-@pytest.mark.parametrize("name", REPORTS)
-def test_lookups_do_not_shuffle_the_lines(spark, name):
-    """Nothing below the first aggregation of the order lines sorts or shuffles for a city, day or product."""
-    assert "_salt" not in initial_plan(spark, name)

@@ -157,12 +157,19 @@ def test_penetration_total_adds_bands_up(case):
     assert report["1_mature"].member_base_penetration_target_kids_shopper == report["1_mature"].ttl_member_base / 100
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_large_lookups_give_the_same_scorecard(case, small, monkeypatch):
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_large_lookups_give_the_same_scorecard(case, limit, spark):
     rows, tables = case
-    monkeypatch.setattr("loyaltylens.operators.joins.fits_broadcast", lambda df: small)
     expected = brute.scorecard(rows, "online", "maturity", AS_OF)
-    found = scorecards.scorecard(tables, "online", "maturity", AS_OF)
-    assert ("_salt" in found._jdf.queryExecution().toString()) is not small
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(key, limit)
+    try:
+        _same_scorecard(scorecards.scorecard(tables, "online", "maturity", AS_OF), expected)
+    finally:
+        for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(key)
+
+
+def _same_scorecard(found, expected):
     for row in found.collect():
         assert all(same(row[n], v) for n, v in expected[row.city_maturity_type].items())

@@ -16,6 +16,8 @@ def skew_settings(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "60KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "60KB",
+        # The code must not depend on it.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
     }
     before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
@@ -48,10 +50,11 @@ def test_missing_members_are_spread(spark):
     assert keys.distinct().count() == 10_000
 
 
-def test_hot_city_is_salted_when_the_lookup_is_large(spark):
-    facts = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise("cold").alias("city"))
-    lookup = spark.createDataFrame([("hot", 1), ("cold", 2)], "name string, value int")
-    joined = joins.lookup_join(facts, joins.Lookup(lookup, False), {"city": "name"})
-    assert joined.groupBy("value").count().orderBy("value").collect() == [(1, 10_000), (2, 20_000)]
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "xxhash64" in plan and "broadcast" not in plan
+def test_hot_city_is_split_in_the_lookup_join(spark, skew_settings):
+    facts = spark.range(0, 300_000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 500)).alias("city"))
+    lookup = spark.range(500).select(F.concat(F.lit("c"), F.col("id")).alias("name"), F.col("id").alias("value"))
+    joined = joins.lookup_join(facts, lookup.unionAll(spark.createDataFrame([("hot", -1)], "name string, value bigint")), {"city": "name"})
+    assert joined.filter("value = -1").count() == 100_000 and joined.count() == 300_000
+    plan = joined._jdf.queryExecution()
+    joined.collect()
+    assert "skew=true" in plan.executedPlan().toString()

@@ -8,7 +8,8 @@ import pytest
 from conftest import rows_of
 
 from loyaltylens.sources.schemas import SCHEMAS
-from loyaltylens.sources.tables import Tables, refresh
+from loyaltylens.sources import tables as tables_module
+from loyaltylens.sources.tables import Tables, conform, refresh, saved
 
 
 def test_tables_from_folder_with_other_names(spark, tmp_path):
@@ -45,7 +46,7 @@ def test_refresh_matches_table_columns_by_name(spark):
     refresh(spark.createDataFrame([(2, "B")], "n int, city string"), "report_table", as_table=True)
     assert rows_of(spark.table("report_table")) == {("B", 2)}
     spark.sql("drop table report_table")
-    spark.sql("drop table report_table__staging")
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("report_table")] == []
 
 
 def test_refresh_may_read_its_target(spark, tmp_path):
@@ -61,3 +62,60 @@ def test_failed_refresh_keeps_the_old_content(spark, tmp_path):
     with pytest.raises(Exception, match="stop here"):
         refresh(spark.range(3).selectExpr("if(id = 2, cast(raise_error('stop here') as bigint), id) as id"), target)
     assert rows_of(spark.read.parquet(target)) == {(0,), (1,), (2,)}
+
+
+def left_in(folder) -> set[str]:
+    return {p.name for p in folder.iterdir() if not p.name.startswith(".")}
+
+
+def test_refresh_leaves_nothing_behind(spark, tmp_path):
+    for n in (3, 4):
+        refresh(spark.range(n), str(tmp_path / "data"))
+    assert left_in(tmp_path) == {"data"} and spark.read.parquet(str(tmp_path / "data")).count() == 4
+
+
+@pytest.mark.parametrize("as_table", [False, True])
+def test_failed_switch_keeps_the_old_content(spark, tmp_path, monkeypatch, as_table):
+    target = "switched" if as_table else str(tmp_path / "data")
+    refresh(spark.range(3), target, as_table=as_table)
+    place = tables_module._TablePlace if as_table else tables_module._FolderPlace
+    rename = place.rename
+
+    def failing(self, old, to):
+        if "__new_" in old:
+            raise OSError("stop between the steps")
+        rename(self, old, to)
+
+    monkeypatch.setattr(place, "rename", failing)
+    with pytest.raises(OSError, match="between the steps"):
+        refresh(spark.range(9), target, as_table=as_table)
+    kept = spark.table(target) if as_table else spark.read.parquet(target)
+    assert rows_of(kept) == {(0,), (1,), (2,)}
+    if as_table:
+        assert [t.name for t in spark.catalog.listTables() if t.name.startswith("switched")] == ["switched"]
+        spark.sql("drop table switched")
+    else:
+        assert left_in(tmp_path) == {"data"}
+
+
+def test_saved_tables_go_away(spark, tmp_path):
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(str(tmp_path / "checkpoints"))
+    with saved(spark.range(5)) as kept:
+        path = kept.inputFiles()[0]
+        assert kept.count() == 5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(path).count()
+
+
+def test_ids_stay_text_and_amounts_unrounded(spark):
+    spark.sql("create table crm_source using parquet as select 'M001' id, '007' member_id union all select '7', '7'")
+    spark.sql("create table line_source using parquet as select cast(1.0049 as decimal(10,4)) order_rrp_amt, 5 original_order_id")
+    tables = Tables(spark, location={"crm": "crm_source", "member_orders": "line_source"})
+    ids = conform(spark.table("crm_source"), "id string, member_id string")
+    assert rows_of(ids) == {("M001", "007"), ("7", "7")}
+    assert SCHEMAS["crm"].startswith("id string, member_id string")
+    line = conform(spark.table("line_source"), "original_order_id string, order_rrp_amt decimal(18,6)").first()
+    assert (line.original_order_id, float(line.order_rrp_amt)) == ("5", 1.0049)
+    spark.sql("drop table crm_source")
+    spark.sql("drop table line_source")
