@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +15,7 @@ from loyaltylens.operators import penetration as ops
 from loyaltylens.operators.joins import lookup_join
 from loyaltylens.plans import location, penetration, scorecards
 from loyaltylens.sources.retail_binding import AS_OF, FOOTFALL_ROWS, RetailBinding
-from loyaltylens.sources.tables import with_audit_columns
+from loyaltylens.sources.tables import refresh, with_audit_columns
 
 Query = Callable[[RetailBinding], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -554,3 +556,22 @@ def scorecard_online_city_as_published(t: RetailBinding) -> DataFrame:
 @query
 def scorecard_online_tier_as_published(t: RetailBinding) -> DataFrame:
     return scorecards.scorecard(t, "online", "tier", AS_OF, as_published=True)
+
+
+# -- writing ---------------------------------------------------------------------------------------
+
+
+@query
+def refresh_round_trip(t: RetailBinding) -> DataFrame:
+    """A report written twice and read back: the second content replaces the first one whole.
+
+    Unlike the other queries this one writes while it is built, in the folder that ``spark.checkpoint.dir`` names.
+    """
+    tiers = cities.city_tiers(t["city_tier"])
+    spark = tiers.sparkSession
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="refresh-")
+    target = f"{shared}/refresh_{uuid.uuid4().hex}"
+    refresh(tiers.filter("city_tier = 'T1'"), target, as_of=AS_OF)
+    refresh(tiers, target, as_of=AS_OF)
+    loaded = F.col("dl_load_time").isNotNull().cast("bigint").alias("loaded")
+    return spark.read.parquet(target).select("city_cn", "city_tier", "dl_batch_date", loaded)
