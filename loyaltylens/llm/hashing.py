@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import xxhash
 
@@ -40,3 +42,46 @@ def windows(words: np.ndarray, size: int) -> np.ndarray:
     for n in range(1, size):
         found = joined(found, words[n : n + len(found)])
     return found
+
+
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+BYTE_VALUES = np.random.default_rng(64).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+
+
+@cache
+def powers(base: int, count: int) -> np.ndarray:
+    """The first ``count`` powers of an odd number, modulo 2**64."""
+    found = np.ones(count, np.uint64)
+    done = 1
+    while done < count:
+        more = min(done, count - done)
+        found[done : done + more] = found[:more] * np.uint64(pow(base, done, 1 << 64))
+        done += more
+    return found
+
+
+def word_hashes(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of some texts, A-Z lower-cased, one text behind the other, and how many each text has.
+
+    All words are hashed at once: a running sum of byte values times powers of a base gives the hash of a word as
+    a difference, shifted back to the word's start.
+    """
+    data = np.frombuffer(b"\n" + b"\n".join(found).lower() + b"\n", np.uint8)
+    space = IS_SPACE[data]
+    change = np.flatnonzero(space[1:] != space[:-1]) + 1
+    starts, ends = change[::2], change[1::2]
+    size = 1 << (len(data) - 1).bit_length()
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(BYTE_VALUES[data] * powers(BASE, size)[: len(data)], out=sums[1:])
+    hashes = mixed((sums[ends] - sums[starts]) * powers(INVERSE, size)[starts] + (ends - starts).astype(np.uint64))
+    after = np.cumsum([len(t) + 1 for t in found]) + 1
+    return hashes, np.diff(np.r_[0, np.searchsorted(starts, after)])
+
+
+def split_words(found: list[bytes]) -> list[np.ndarray]:
+    """The word hashes of each text."""
+    hashes, counts = word_hashes(found)
+    return np.split(hashes, np.cumsum(counts)[:-1]) if len(counts) else []

@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 
 from loyaltylens.llm.common import keep, pieces
 from loyaltylens.llm.components import connected_components
-from loyaltylens.llm.hashing import WordHashes, joined, mixed, windows
+from loyaltylens.llm.hashing import joined, mixed, split_words, windows
 
-SKETCH_WORDS = 8  # a sketch has 64 bits each
+SKETCH_BITS, FOLDED_WORDS = 2048, 8  # least bits of a sketch, and 64-bit words of its short form
+BROADCAST_KEYS = 1_000_000  # a list of keys is broadcast up to this many (8 MB); a longer one is shuffled
 SEEN = 200_000  # sets a task remembers as done already
 
 
@@ -82,11 +83,11 @@ class Scheme:
         return np.r_[full, joined(name[segment[inside]], sums[segment[inside]] - value[inside])]
 
 
-def allocate(counts: dict[int, int], similarity: Similarity, pair_cost: float = 4.0) -> dict[int, Scheme]:
+def allocate(counts: dict[int, int], similarity: Similarity, pair_cost: float = 0.05) -> dict[int, Scheme]:
     """The cheapest scheme of each band, given the number of sets in it.
 
     A cost is the number of entries, plus that of the pairs that meet by chance, which grow with the square of the
-    sets: unrelated sets agree in a segment mostly when it is empty in both (or all but empty, where one element may
+    sets but of which only sketches are compared: unrelated sets agree in a segment mostly when it is empty in both (or all but empty, where one element may
     be left out).  Cut segments need fewer, larger segments but many more entries, so they pay where sets are many.
     """
     edges = band_edges()
@@ -110,30 +111,57 @@ def allocate(counts: dict[int, int], similarity: Similarity, pair_cost: float =
     return found
 
 
+def sketch(elements: np.ndarray) -> np.ndarray:
+    """Bit i tells whether the number of elements hashed to i is odd; as many bits as elements, rounded up to a power
+    of two.  Two sketches differ in no more bits than the sets in elements; folded by XOR, a sketch is a shorter one
+    of the same set."""
+    bits = max(SKETCH_BITS, 1 << (len(elements) - 1).bit_length() if len(elements) else 0)
+    odd = np.bincount((mixed(elements) >> np.uint64(20)).astype(np.int64) % bits, minlength=bits) & 1
+    return np.packbits(odd.astype(bool)).view(np.uint64)
+
+
+def folded(found: np.ndarray, words: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(found.reshape(-1, words), axis=0)
+
+
+def bits_apart(p: bytes, q: bytes) -> int:
+    words = min(len(p), len(q)) // 8
+    return int(np.bitwise_count(folded(np.frombuffer(p, np.uint64), words) ^ folded(np.frombuffer(q, np.uint64), words)).sum())
+
+
+FOLDED = [f"s{i}" for i in range(FOLDED_WORDS)]
+
+
 def hashed_sets(rows: DataFrame, size: int, salt: int) -> DataFrame:
-    """doc_id, text_key, n, node and check (two hashes of the set) and band of each text."""
+    """doc_id, text_key, n, node and check (two hashes of the set), band and sketch, whole and folded, of each text."""
+    names = ["doc_id", "text_key", "n", "node", "check", "band", "sketch", *FOLDED]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, edges = WordHashes(), band_edges()
+        edges = band_edges()
         for batch in batches:
             keys = batch.column("text_key")
             start = 0
             for ids, found in pieces([batch.select(["doc_id", "text"])]):
-                sets = [shingles(hashes.of(data.lower().split()), size) for data in found]
+                sets = [shingles(words, size) for words in split_words(found)]
                 sizes = np.array([len(s) for s in sets])
                 node = np.array([_set_hash(s, 2 * salt + 1) for s in sets], dtype=np.uint64)
                 check = np.array([_set_hash(s, 2 * salt + 2) for s in sets], dtype=np.uint64)
+                sketches = [sketch(s) for s in sets]
+                short = np.array([folded(s, FOLDED_WORDS) for s in sketches]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids, keys.slice(start, len(found)), pa.array(sizes, pa.int64()), pa.array(node.view(np.int64)),
                         pa.array(check.view(np.int64)),
                         pa.array(np.searchsorted(edges, sizes, side="right") - 1, pa.int32()),
+                        pa.array([s.tobytes() for s in sketches], pa.binary()),
+                        *(pa.array(np.ascontiguousarray(short[:, i])) for i in range(FOLDED_WORDS)),
                     ],
-                    ["doc_id", "text_key", "n", "node", "check", "band"],
+                    names,
                 )
                 start += len(found)
 
-    return rows.mapInArrow(run, "doc_id bigint, text_key bigint, n bigint, node bigint, check bigint, band int")
+    kinds = ["bigint"] * 5 + ["int", "binary"] + ["bigint"] * FOLDED_WORDS
+    return rows.mapInArrow(run, ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds)))
 
 
 def _set_hash(elements: np.ndarray, salt: int) -> np.uint64:
@@ -145,11 +173,11 @@ def index_entries(rows: DataFrame, size: int, salt: int, schemes: dict[int, Sche
     """(entry, node) of every set, in the scheme of its own band and, if it is small enough, of the band below."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, edges, seen = WordHashes(), band_edges(), set()
+        edges, seen = band_edges(), set()
         for _, found in pieces(batches):
             entries, nodes = [], []
-            for data in found:
-                elements = shingles(hashes.of(data.lower().split()), size)
+            for words in split_words(found):
+                elements = shingles(words, size)
                 n = len(elements)
                 node = _set_hash(elements, 2 * salt + 1)
                 if not n or node in seen:
@@ -170,36 +198,11 @@ def index_entries(rows: DataFrame, size: int, salt: int, schemes: dict[int, Sche
     return rows.select("doc_id", "text").mapInArrow(run, "entry bigint, node bigint")
 
 
-def sketched(rows: DataFrame, size: int) -> DataFrame:
-    """node, n, text and a sketch: bit i tells whether the number of elements hashed to i is odd.  Two sketches
-    differ in no more bits than the sets in elements."""
-    bits = SKETCH_WORDS * 64
-    schema = "node bigint, n bigint, text string, " + ", ".join(f"s{i} bigint" for i in range(SKETCH_WORDS))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            sketches = []
-            for value in batch.column("text").cast(pa.binary()):
-                elements = shingles(hashes.of(value.as_py().lower().split()), size)
-                odd = np.bincount((mixed(elements) >> np.uint64(20)).astype(np.int64) % bits, minlength=bits) & 1
-                sketches.append(np.packbits(odd.astype(bool)).view(np.int64))
-            words = np.array(sketches).reshape(-1, SKETCH_WORDS)
-            columns = [batch.column(c) for c in ("node", "n", "text")]
-            columns += [pa.array(np.ascontiguousarray(words[:, i])) for i in range(SKETCH_WORDS)]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "text", *(f"s{i}" for i in range(SKETCH_WORDS))])
-
-    return rows.select("node", "n", "text").mapInArrow(run, schema)
-
-
-SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
-
-
 def may_be_similar(similarity: Similarity) -> Column:
-    """Sizes and sketches of sides a and b allow the pair to be similar; true for every pair that is."""
+    """Sizes and folded sketches of sides a and b allow the pair to be similar; true for every pair that is."""
     total = F.col("a.n") + F.col("b.n")
     close = F.greatest("a.n", "b.n") * similarity.part <= F.least("a.n", "b.n") * similarity.whole
-    apart = sum((F.bit_count(F.col(f"a.{s}").bitwiseXOR(F.col(f"b.{s}"))) for s in SKETCH), F.lit(0))
+    apart = sum((F.bit_count(F.col(f"a.{s}").bitwiseXOR(F.col(f"b.{s}"))) for s in FOLDED), F.lit(0))
     return close & (apart * (similarity.whole + similarity.part) <= total * (similarity.whole - similarity.part))
 
 
@@ -210,15 +213,37 @@ def word_sets(text: str, size: int) -> set[tuple[bytes, ...]]:
     return set(zip(*(words[i:] for i in range(size))))
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, similarity: Similarity) -> DataFrame:
-    """Those of the pairs (a, b) whose sets of n-grams, as words, are similar.  Pairs that sizes and sketches rule
-    out are dropped before any text is moved."""
-    light = nodes.select("node", "n", *SKETCH)
-    left, right = light.alias("a"), light.alias("b")
-    near = pairs.join(left, F.col("x") == F.col("a.node")).join(right, F.col("y") == F.col("b.node"))
-    near = keep(near.filter(may_be_similar(similarity)).select("x", "y"))
-    first = nodes.select(F.col("node").alias("x"), F.col("text").alias("text_x"))
-    second = nodes.select(F.col("node").alias("y"), F.col("text").alias("text_y"))
+def near_pairs(pairs: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
+    """Pairs (x, y) whose sizes and sketches allow them to be similar."""
+    light = sets.select("node", "n", "sketch", *FOLDED)
+    near = pairs.join(light.alias("a"), F.col("x") == F.col("a.node"))
+    near = near.join(light.alias("b"), F.col("y") == F.col("b.node")).filter(may_be_similar(similarity))
+    near = near.select(
+        "x", "y", (F.col("a.n") + F.col("b.n")).alias("total"), F.col("a.sketch").alias("p"), F.col("b.sketch").alias("q")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            apart = np.array([bits_apart(*x) for x in zip(batch.column("p").to_pylist(), batch.column("q").to_pylist())])
+            total = batch.column("total").to_numpy()
+            close = apart * (similarity.whole + similarity.part) <= total * (similarity.whole - similarity.part)
+            yield batch.select(["x", "y"]).filter(pa.array(close))
+
+    return near.mapInArrow(run, "x bigint, y bigint")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, similarity: Similarity) -> DataFrame:
+    """Those of the pairs (x, y) whose sets of n-grams, as words, are similar.  Only texts of pairs that sizes and
+    sketches leave are moved."""
+    near = keep(near_pairs(pairs, sets, similarity))
+    nodes = near.select(F.col("x").alias("node")).unionAll(near.select("y")).distinct()
+    wanted = keep(nodes.join(sets.select("node", "text_key"), "node"))
+    listed = F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted
+    found = keep(rows.select("text_key", "text").join(listed, "text_key").dropDuplicates(["node"]))
+    first = found.select(F.col("node").alias("x"), F.col("text").alias("text_x"))
+    second = found.select(F.col("node").alias("y"), F.col("text").alias("text_y"))
     size, part, whole = similarity.size, similarity.part, similarity.whole
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +284,8 @@ def similar_groups(
         sets = members.filter("n > 0").groupBy("node", "check", "n", "band").agg(
             F.min("text_key").alias("text_key"),
             F.min(F.struct(F.isnull("doc_id"), "doc_id", F.col("text_key").alias("own"))).alias("first"),
-        )
+            F.first("sketch").alias("sketch"), *(F.first(s).alias(s) for s in FOLDED),
+        )
         sets = keep(sets)
         # Different sets with one hash are hashed anew.
         if sets.groupBy("node").count().filter("count > 1").isEmpty():
@@ -272,25 +298,20 @@ def similar_groups(
     shared = shared.filter("pivot <> top").select("entry", "pivot").hint("shuffle_hash")
     buckets = keep(dealt.join(shared, "entry").select("entry", "node", "pivot").distinct())
 
-    wanted = buckets.select("node").distinct().join(sets, "node").select("node", "n", "text_key")
-    wanted = keep(wanted)
-    found = rows.select("text_key", "text").join(wanted, "text_key").dropDuplicates(["node"])
-    nodes = keep(sketched(found, similarity.size))
-
     stars = buckets.filter("node <> pivot").select(F.col("pivot").alias("x"), F.col("node").alias("y")).distinct()
-    links = keep(verified(stars, nodes, similarity))
+    links = keep(verified(stars, sets, rows, similarity))
     roots = keep(connected_components(links))
 
     labelled = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_entries = labelled.groupBy("entry").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
     open_entries = open_entries.filter("r0 <> r1").select("entry")
-    rest = keep(labelled.join(open_entries, "entry", "left_semi").join(nodes.drop("text"), "node"))
+    rest = keep(labelled.join(open_entries, "entry", "left_semi").join(sets.select("node", "n", *FOLDED), "node"))
     left, right = rest.alias("a"), rest.alias("b")
     across = (F.col("a.entry") == F.col("b.entry")) & (F.col("a.root") < F.col("b.root"))
     unseen = (F.col("a.node") != F.col("a.pivot")) & (F.col("b.node") != F.col("b.pivot"))
     more = left.join(right, across & unseen & may_be_similar(similarity))
     more = more.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")).distinct()
-    more = keep(verified(more, nodes, similarity))
+    more = keep(verified(more, sets, rows, similarity))
     if not more.isEmpty():
         kept = roots.filter("node <> root").select(F.col("root").alias("x"), F.col("node").alias("y"))
         roots = keep(connected_components(kept.unionAll(more)))
