@@ -266,7 +266,7 @@ def similar_groups(
     Words are runs of anything but ASCII space, with A-Z lower-cased.  Documents are linked when their sets of
     n-grams are similar; component_id is the smallest id that links reach.  Texts without words have no links.
 
-    Equal sets are one node.  In each entry of the index, all nodes are first compared with the smallest one; what
+    Equal sets are one node.  In each entry of the index, all nodes are first compared with the one that has most entries in common with others; what
     that links needs no further pair.  Entries that still hold nodes of several components then give all pairs
     across components, whose sizes and sketches are compared within the join, so that only near pairs leave it.
     Every similar pair is linked directly or lies in one component.
@@ -294,9 +294,13 @@ def similar_groups(
     counts = {r["band"]: r["count"] for r in sets.groupBy("band").count().collect()}
     schemes = allocate(counts, similarity)
     dealt = index_entries(rows, similarity.size, salt, schemes).repartition("entry")
-    shared = dealt.groupBy("entry").agg(F.min("node").alias("pivot"), F.max("node").alias("top"))
-    shared = shared.filter("pivot <> top").select("entry", "pivot").hint("shuffle_hash")
-    buckets = keep(dealt.join(shared, "entry").select("entry", "node", "pivot").distinct())
+    shared = dealt.groupBy("entry").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    shared = shared.filter("low <> high").select("entry").hint("shuffle_hash")
+    found = keep(dealt.join(shared, "entry").select("entry", "node").distinct())
+    # The node with most entries in common with others is closest to what a group of near copies was made from.
+    uses = found.groupBy("node").agg(F.count(F.lit(1)).alias("uses"))
+    pivots = found.join(uses, "node").groupBy("entry").agg(F.max(F.struct("uses", "node"))["node"].alias("pivot"))
+    buckets = keep(found.join(pivots, "entry").select("entry", "node", "pivot"))
 
     stars = buckets.filter("node <> pivot").select(F.col("pivot").alias("x"), F.col("node").alias("y")).distinct()
     links = keep(verified(stars, sets, rows, similarity))
