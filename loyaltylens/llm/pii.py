@@ -128,7 +128,8 @@ class Bootstrap:
 def cue_counts(rows: DataFrame, cues: DataFrame) -> DataFrame:
     """How often each cue occurs as a word of the corpus: (cue, uses)."""
     words = rows.select(F.explode(F.split(ascii_lower("text"), f"[{SPACE_CLASS}]+")).alias("cue"))
-    return words.groupBy("cue").agg(F.count(F.lit(1)).alias("uses")).join(cues, "cue", "left_semi")
+    # An inner join stays above the aggregation, so words are added up per task before anything is shuffled.
+    return words.groupBy("cue").agg(F.count(F.lit(1)).alias("uses")).join(cues, "cue")
 
 
 def trusted(occurrences: DataFrame, rows: DataFrame, settings: Bootstrap) -> DataFrame:
@@ -142,7 +143,9 @@ def trusted(occurrences: DataFrame, rows: DataFrame, settings: Bootstrap) -> Dat
         F.count(F.lit(1)).alias("times"), F.max(F.col("seed").cast("int")).alias("known")
     )
     edges = keep(edges)
-    uses = keep(cue_counts(rows, edges.select("cue").distinct()))
+    # A cue of fewer instances can never have enough seeds.
+    wide = edges.groupBy("cue").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= settings.min_seeds)
+    uses = keep(cue_counts(rows, keep(wide.select("cue"))))
     found = None
     for _ in range(settings.rounds):
         scores = edges.groupBy("cue").agg(
