@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loyaltylens.llm.common import keep, pieces
-from loyaltylens.llm.hashing import WordHashes, joined, mixed
+from loyaltylens.llm.hashing import joined, mixed, word_hashes
 
 END = np.uint64(0x5BD1E9955BD1E995)  # stands for the end of a text, and for what is before its first token
 STEPS = np.array(sorted({1, 3} | {2**i for i in range(1, 60)} | {3 * 2**i for i in range(60)}), dtype=np.float64)
@@ -56,25 +56,23 @@ def ngram_keys(tokens: np.ndarray, ends: np.ndarray, order: int) -> list[np.ndar
     return keys
 
 
-def tokenised(found: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+def tokenised(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of all texts, each with its end token, and the places of the end tokens."""
-    each = [hashes.of(data.lower().split()) for data in found]
-    ends = np.cumsum([len(e) + 1 for e in each]) - 1
-    tokens = np.empty(int(ends[-1]) + 1, dtype=np.uint64)
-    tokens[ends] = END
+    words, counts = word_hashes(found)
+    ends = np.cumsum(counts + 1) - 1
+    tokens = np.full(len(words) + len(found), END, dtype=np.uint64)
     inner = np.ones(len(tokens), bool)
     inner[ends] = False
-    tokens[inner] = np.concatenate(each)
+    tokens[inner] = words
     return tokens, ends
 
 
 def counted(rows: DataFrame, shards: int, settings: Settings) -> DataFrame:
-    """Counts of all n-grams, packed: (shard, n, keys, counts).  Equal n-grams meet per piece of about 4 MB first."""
+    """Counts of all n-grams, packed: (shard, n, keys, counts).  Equal n-grams meet per piece of about 2 MB first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for _, found in pieces(batches, 4 << 20):
-            tokens, ends = tokenised(found, hashes)
+        for _, found in pieces(batches, 2 << 20):
+            tokens, ends = tokenised(found)
             out = []
             for n, keys in enumerate(ngram_keys(tokens, ends, settings.order), 1):
                 keys, counts = np.unique(keys, return_counts=True)
@@ -236,11 +234,10 @@ def looked_up(state: DataFrame, model_slice, order: int) -> DataFrame:
     """``state`` with the counts and steps that a broadcast slice knows added."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             for start, length in _cuts(batch.column("text")):
                 part = batch.slice(start, length)
-                times, steps, ends = _probe(part, model_slice.value, hashes, order)
+                times, steps, ends = _probe(part, model_slice.value, order)
                 starts = [0, *(ends[:-1] + 1).tolist()]
                 cut = list(zip(starts, (ends + 1).tolist()))
                 columns = {
@@ -265,10 +262,10 @@ def _cuts(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
         yield start, len(column) - start
 
 
-def _probe(part: pa.RecordBatch, known: Slice | None, hashes: WordHashes, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _probe(part: pa.RecordBatch, known: Slice | None, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Token counts, steps per longer order, and places of the end tokens; what earlier slices said is added."""
     found = part.column("text").cast(pa.binary()).to_pylist()
-    tokens, ends = tokenised(found, hashes)
+    tokens, ends = tokenised(found)
     times, steps = np.zeros(len(tokens), np.int64), np.zeros((order - 1, len(tokens)), np.uint8)
     if known is not None:
         keys = ngram_keys(tokens, ends, order)
@@ -290,11 +287,10 @@ def tuned(state: DataFrame, last, model: Model) -> Model:
     order = model.order
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         tally = np.zeros((order - 1, CONTEXT_BINS, RATIO_BINS), np.int64)
         for batch in batches:
             for start, length in _cuts(batch.column("text")):
-                times, steps, ends = _probe(batch.slice(start, length), last.value, hashes, order)
+                times, steps, ends = _probe(batch.slice(start, length), last.value, order)
                 p = model.unigram(np.maximum(times - 1, 0))
                 for n, context in enumerate(model.contexts(times, steps, ends)):
                     count = STEPS[np.maximum(steps[n], 1) - 1] * (steps[n] > 0)
@@ -362,11 +358,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", setti
     model = tuned(sample, last, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             for start, length in _cuts(batch.column("text")):
                 part = batch.slice(start, length)
-                times, steps, ends = _probe(part, last.value, hashes, model.order)
+                times, steps, ends = _probe(part, last.value, model.order)
                 starts = np.r_[0, ends[:-1] + 1]
                 base = np.add.reduceat(np.log10(model.unigram(times)), starts)
                 mixed_score = np.add.reduceat(model.log_probability(times, steps, ends), starts)
