@@ -17,9 +17,10 @@ from tokenizers import Regex, Tokenizer, pre_tokenizers
 CACHE_PIECES = 250_000  # results held per task; the cache starts anew beyond it
 LONG_PIECE = 256  # only shorter pieces are held
 
-# Up to U+024F, but for U+0130, lower-casing and composition change nothing that the plain expression
-# below does not see.  Letters, digits and space there are these.
-PLAIN_ONLY = re.compile("[^\u0000-įı-ɏ]")
+# Up to U+024F, but for characters whose lower case reaches beyond it, lower-casing and composition
+# change nothing that the plain expression below does not see.  Letters, digits and space there are these.
+LEAVING = "".join(c for c in map(chr, range(0x250)) if max(c.lower()) > "\u024f")
+PLAIN_ONLY = re.compile(f"[{LEAVING}\u0250-\U0010ffff]")
 LETTERS = "a-zªµºß-öø-ɏ"
 DIGITS = "0-9²³¹¼-¾"
 SPACES = "\t-\r\x20\u0085 "

@@ -41,6 +41,12 @@ def test_all_ways_agree_with_the_library(texts):
         assert sum(map(COUNTS.__getitem__, pieces)) == len(ids_of(text))
 
 
+def test_every_character_of_the_plain_range_is_cut_as_by_the_library():
+    for c in map(chr, range(0x250)):
+        for text in (c, f"a{c}b", f"!{c}?", f"1{c}2", f" {c} ", f"{c}{c}", f"'{c}s"):
+            assert [i for p in VOCABULARY.pieces(text) for i in IDS[p]] == ids_of(text), (hex(ord(c)), text)
+
+
 IDS, COUNTS = PieceIds(PATH), PieceCounts(PATH)
 
 
