@@ -29,14 +29,12 @@ RATIO_BINS, CONTEXT_BINS = 160, 24
 @dataclass(frozen=True)
 class Settings:
     """``order``: longest n-gram.  ``probes``: bits asked per step; a missing step is taken for there once in
-    2**probes.  ``shard_bytes``: text counted per shard.  ``slice_bytes``: most that is broadcast at a time.
-    ``tune_rows``: about how many training texts set the weights of the orders."""
+    2**probes.  ``shard_bytes``: text counted per shard.  ``slice_bytes``: most that is broadcast at a time."""
 
     order: int = 2
     probes: int = 6
     shard_bytes: int = 16 << 20
     slice_bytes: int = 192 << 20
-    tune_rows: int = 2000
 
 
 def ngram_keys(tokens: np.ndarray, ends: np.ndarray, order: int) -> list[np.ndarray]:
@@ -280,7 +278,7 @@ def _probe(part: pa.RecordBatch, known: Slice | None, order: int) -> tuple[np.nd
 
 
 def tuned(state: DataFrame, last, model: Model) -> Model:
-    """The model with weights that make training texts likely when each n-gram is counted once less.
+    """The model with weights that make all training texts likely when each n-gram is counted once less.
 
     Per order and size of context, tasks only return how often each ratio to the order below occurs.
     """
@@ -296,7 +294,8 @@ def tuned(state: DataFrame, last, model: Model) -> Model:
                     count = STEPS[np.maximum(steps[n], 1) - 1] * (steps[n] > 0)
                     ratio = np.maximum(count - 1, 0) / np.maximum(context - 1, 1) / p
                     place = np.where(ratio > 0, np.clip(4 * np.log2(np.maximum(ratio, 1e-9)) + 40, 1, RATIO_BINS - 1), 0)
-                    np.add.at(tally[n], (context_bin(context), place.astype(np.int64)), 1)
+                    cell = context_bin(context) * RATIO_BINS + place.astype(np.int64)
+                    tally[n] += np.bincount(cell, minlength=CONTEXT_BINS * RATIO_BINS).reshape(CONTEXT_BINS, RATIO_BINS)
         n, context, ratio = np.nonzero(tally)
         yield _batch(
             list(zip(n.tolist(), context.tolist(), ratio.tolist(), tally[n, context, ratio].tolist())),
@@ -312,9 +311,11 @@ def tuned(state: DataFrame, last, model: Model) -> Model:
     for _ in range(50):
         own = weights[:, :, None] * ratio / (weights[:, :, None] * ratio + 1 - weights[:, :, None])
         uses = tally.sum(axis=2)
-        # Three uses at the first guess stand in for contexts that the sample lacks.
+        # Three uses at the first guess stand in for contexts that the training texts lack.
         weights = ((tally * own).sum(axis=2) + 0.9) / (uses + 3)
     weights = np.clip(weights, 1e-4, 0.9999)
+    # The first bin is the count 0: after a context never seen, the order below has the whole say.
+    weights[:, 0] = 0.0
     return Model(order, model.total, model.distinct, model.texts, tuple(map(tuple, weights.tolist())))
 
 
@@ -343,19 +344,18 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", setti
     model = Model(settings.order, int(sums[0]), int(sums[1]), int(size[0]))
 
     state, last = _state(rows), None
-    sample = state.filter(~F.col("held_out")).sample(min(1.0, settings.tune_rows / max(1, size[0])), seed=11)
     loaded, held = [], 0
     for row in models.orderBy("shard").toLocalIterator():
         if loaded and held + row["bytes"] > settings.slice_bytes:
             last = spark.sparkContext.broadcast(Slice(loaded, shards, settings.probes))
-            state, sample = (keep(looked_up(s, last, settings.order)) for s in (state, sample))
+            state = keep(looked_up(state, last, settings.order))
             last.unpersist()
             loaded, held = [], 0
         loaded.append(row.asDict())
         held += row["bytes"]
     last = spark.sparkContext.broadcast(Slice(loaded, shards, settings.probes) if loaded else None)
     del loaded
-    model = tuned(sample, last, model)
+    model = tuned(state.filter(~F.col("held_out")), last, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

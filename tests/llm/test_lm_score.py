@@ -59,6 +59,22 @@ def test_slices_do_not_change_scores(docs):
     assert {i: round(r["score"], 6) for i, r in one.items()} == {i: round(r["score"], 6) for i, r in many.items()}
 
 
+def test_all_training_texts_set_the_weights_whatever_the_files(docs):
+    # More texts than the 2,000 that once set the weights, so that a sample of them would depend on the files.
+    rows = [(i, chain(4)) for i in range(6000)]
+    by_order = [by_id(score(docs(order).repartition(n))) for order, n in ((rows, 2), (rows[::-1], 5))]
+    assert {i: round(r["score"], 9) for i, r in by_order[0].items()} == {i: round(r["score"], 9) for i, r in by_order[1].items()}
+
+
+def test_a_token_after_an_unknown_word_falls_back_whole(docs):
+    held = [i for i in range(30) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    learnt = next(i for i in range(30) if zlib.crc32(str(i).encode()) % 5 != 1)
+    got = by_id(score(docs([(held[0], "unseen"), (held[1], "unseen other"), *((learnt, "a b c") for _ in range(5))])))
+    # The texts differ by one token after a word never seen; it has its whole probability of a token never seen.
+    alone = math.log10(0.5 / (got[learnt]["train_tokens"] + 0.5 * (4 + 1)))
+    assert got[held[1]]["score"] - got[held[0]]["score"] == pytest.approx(alone, rel=1e-9)
+
+
 def test_filter_returns_every_step_and_few_others():
     rng = np.random.default_rng(2)
     keys = rng.integers(0, 1 << 63, 20_000, dtype=np.uint64)
