@@ -37,3 +37,25 @@ TEMPLATES = {
         of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
     "unlicense": "This is free and unencumbered software released into the public domain.",
 }
+
+# What decides on the license: these phrases have to stand in a match without other words in between.
+DECIDING = {
+    "all-rights-reserved": ("all rights reserved",),
+    "apache-2.0": ("apache license version 2 0",),
+    "apache-2.0-notice": ("apache license version 2 0",),
+    "cc-by-4.0": ("cc by 4 0",),
+    "cc-by-nc-4.0": ("cc by nc 4 0",),
+    "cc-by-sa-4.0": ("cc by sa 4 0",),
+    "cc0-1.0": ("has waived all copyright",),
+    "gpl-2.0": ("gnu general public license version 2",),
+    "gpl-3.0": ("gnu general public license version 3",),
+    "gpl-notice": ("gnu general public license", "version 3 of the license"),
+    "isc": ("this permission notice appear in all copies",),
+    "mit": ("mit license",),
+    "mit-text": ("the above copyright notice and this permission notice shall be included",),
+    "mpl-2.0-notice": ("mozilla public license v 2 0",),
+    "unlicense": ("free and unencumbered software",),
+}
+
+# Phrases in or right after a match that make it another license.
+ABSENT = {"bsd-2-clause": ("neither the name of", "all advertising materials")}

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from loyaltylens.llm.common import pieces, texts
 from loyaltylens.llm.hashing import windows
-from loyaltylens.llm.license_texts import TEMPLATES
+from loyaltylens.llm.license_texts import ABSENT, DECIDING, TEMPLATES
 
 GRAM, WINDOW = 3, 4  # words of a fingerprint, fingerprints of which the lowest is kept
+SHORT = 15  # a template of fewer words that names no deciding words has to be there as a whole
+NEAR = 12  # so many words after a match still belong to it when absent words are looked for
 WORD = re.compile(r"[a-z0-9]+")
 WORD_BYTES = re.compile(rb"[a-z0-9]+")
 UPPER_TO_LOWER = {c: c + 32 for c in range(65, 91)}
@@ -34,6 +36,13 @@ def winnowed(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return np.unique(np.arange(len(views)) + window - 1 - views[:, ::-1].argmin(axis=1))
 
 
+def holds(words: np.ndarray, phrase: np.ndarray) -> bool:
+    """Does the phrase stand in the words, without others in between?"""
+    if len(phrase) > len(words):
+        return False
+    return bool((np.lib.stride_tricks.sliding_window_view(words, len(phrase)) == phrase).all(axis=1).any())
+
+
 @dataclass(frozen=True)
 class Match:
     license: str
@@ -51,22 +60,37 @@ class Match:
 class TemplateIndex:
     """Inverted index of the templates' kept fingerprints; its size depends on the templates only."""
 
-    def __init__(self, templates: dict[str, str], min_coverage: float) -> None:
+    def __init__(
+        self, templates: dict[str, str], min_coverage: float, deciding: dict[str, tuple[str, ...]] | None = None,
+        absent: dict[str, tuple[str, ...]] | None = None,
+    ) -> None:
         self.min_coverage = min_coverage
+        deciding, absent = deciding or {}, absent or {}
         self.names = sorted(templates)
         self.numbers: dict[bytes, int] = {}
-        self.words = []
+        self.words, self.deciding, self.absent = [], [], []
         postings = defaultdict(list)
         for n, name in enumerate(self.names):
-            found = WORD_BYTES.findall(templates[name].encode().lower())
-            coded = np.array([self.numbers.setdefault(w, len(self.numbers) + 1) for w in found], dtype=np.uint64)
+            coded = self._numbered(templates[name])
             self.words.append(coded)
+            phrases = deciding.get(name) or ([templates[name]] if len(coded) < SHORT else [])
+            self.deciding.append([self._numbered(p) for p in phrases])
+            self.absent.append([self._numbered(p) for p in absent.get(name, ())])
             grams = windows(coded, min(GRAM, len(coded)))
             for place in winnowed(grams):
                 postings[int(grams[place])].append((n, int(place)))
         self.postings = dict(postings)
         self.known = np.sort(np.fromiter(self.postings, np.uint64, len(self.postings)))
 
+    def _numbered(self, text: str) -> np.ndarray:
+        found = WORD_BYTES.findall(text.encode().lower())
+        return np.array([self.numbers.setdefault(w, len(self.numbers) + 1) for w in found], dtype=np.uint64)
+
+    def _decided(self, n: int, coded: np.ndarray, first: int, last: int) -> bool:
+        """Are the deciding words there, each phrase in one piece, and those that name another license not?"""
+        inside, near = coded[first : last + 1], coded[first : last + 1 + NEAR]
+        return all(holds(inside, p) for p in self.deciding[n]) and not any(holds(near, p) for p in self.absent[n])
+
     def code(self, words: list[bytes]) -> np.ndarray:
         """The words as numbers; 0 for a word of no template."""
         get = self.numbers.get
@@ -137,6 +161,8 @@ class TemplateIndex:
             else:
                 i -= 1
                 matched.append(i + start - reach + b)
+        if not self._decided(n, coded, matched[-1], matched[0]):
+            return []
         return [Match(self.names[n], words, words / len(template), matched[-1], matched[0])]
 
 
@@ -147,14 +173,17 @@ def find_licenses(
     """doc_id, license, matched_words, coverage of the template, start and end in code points, one row per match.
 
     Words are runs of ASCII letters and digits, in any case.  A template is tried where the text has one of its
-    kept fingerprints.  Matches of one template do not overlap; of different ones, a
+    kept fingerprints.  What names the license has to be there word for word (``DECIDING``), and what names another
+    one must not be (``ABSENT``); of ``templates`` given here, those of fewer than 15 words have to be there as a whole.
+    Matches of one template do not overlap; of different ones, a
     match gives way to an overlapping one with more words and no less coverage.  A missing or empty
     text has no match; rows that repeat an id come back as often as they are there.
     """
     known = templates or TEMPLATES
+    deciding, absent = ({}, {}) if templates else (DECIDING, ABSENT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = TemplateIndex(known, min_coverage)
+        index = TemplateIndex(known, min_coverage, deciding, absent)
         for ids, found in pieces(batches):
             rows = []
             for doc_id, data in zip(ids.to_pylist(), found):

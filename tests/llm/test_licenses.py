@@ -33,6 +33,23 @@ def test_exact_and_edited_statements(docs):
     ]
 
 
+def test_the_words_that_name_the_license_decide(docs):
+    gpl = "This work is licensed under the GNU {}General Public License, version 3."
+    wrong = [
+        "Released under the BSD License.", "Released under the Apache License", "it was released under the old license",
+        gpl.format("Lesser "), gpl.format("Affero "), "Licensed under CC BY-ND 4.0.", "Licensed under CC BY-NC-ND 4.0.",
+        "Licensed under the Apache License, Version 1.1.", "all of the rights are reserved",
+    ]
+    right = ["Released under the same MIT License", gpl.format(""), "Licensed under CC BY 4.0", "under the MIT License"]
+    got = rows(find_licenses(docs(wrong + right)))
+    named = [(i, n) for i, n, *_ in got]
+    own = {"mit", "gpl-3.0", "cc-by-4.0", "apache-2.0", "all-rights-reserved", "cc-by-nc-4.0", "cc-by-sa-4.0"}
+    assert not [x for x in named if x[0] < len(wrong) and x[1] in own]
+    assert {x for x in named if x[0] >= len(wrong)} == {(9, "mit"), (10, "gpl-3.0"), (11, "cc-by-4.0"), (12, "mit")}
+    alone = find_licenses(docs(["use of the red license", "use of the blue license"]), templates={"red": "Use of the red license"})
+    assert [(x[0], x[1]) for x in rows(alone)] == [(0, "red")]
+
+
 def lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
