@@ -1,4 +1,6 @@
-"""Published license statements and short license texts."""
+"""Published license statements, notices and license texts."""
+
+from importlib.resources import files
 
 TEMPLATES = {
     "all-rights-reserved": "All rights reserved.",
@@ -59,3 +61,92 @@ DECIDING = {
 
 # Phrases in or right after a match that make it another license.
 ABSENT = {"bsd-2-clause": ("neither the name of", "all advertising materials")}
+
+# Whole texts lie beside this module; their title and version decide, so that texts built on them are told apart.
+WHOLE = {
+    "apache-2.0": ("license version 2 0 january 2004",),
+    "cc0-1.0": ("cc0 1 0 universal",),
+    "gpl-2.0": ("general public license version 2 june 1991",),
+    "gpl-3.0": ("general public license version 3 29 june 2007",),
+    "lgpl-2.1": ("lesser general public license version 2 1 february 1999",),
+    "lgpl-3.0": ("lesser general public license version 3 29 june 2007",),
+    "mpl-2.0": ("public license version 2 0",),
+}
+for _name, _phrases in WHOLE.items():
+    TEMPLATES[f"{_name}-text"] = files("loyaltylens.llm").joinpath("license_data", f"{_name}.txt").read_text("utf-8")
+    DECIDING[f"{_name}-text"] = _phrases
+
+_AS_IS = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
+    THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS
+    OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+    OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_BSD_AS_IS = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+    WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR
+    PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT,
+    INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE
+    GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+    LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+    OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_BSD_3 = (
+    TEMPLATES["bsd-2-clause"]
+    + """ 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+    products derived from this software without specific prior written permission."""
+)
+TEMPLATES |= {
+    "bsd-2-clause-text": f"{TEMPLATES['bsd-2-clause']} {_BSD_AS_IS}",
+    "bsd-3-clause": _BSD_3,
+    "bsd-3-clause-name": "BSD 3-Clause License",
+    "bsd-3-clause-text": f"{_BSD_3} {_BSD_AS_IS}",
+    "bsd-2-clause-name": "BSD 2-Clause License",
+    "epl-2.0-notice": """This program and the accompanying materials are made available under the terms of the Eclipse
+        Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/""",
+    "isc-text": f"""{TEMPLATES["isc"]} THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD
+        TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE
+        LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF
+        USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN
+        CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "mit-full-text": f"{TEMPLATES['mit-text']} {_AS_IS}",
+    "mit-terms": "Released under the terms of the MIT License.",
+}
+DECIDING |= {
+    "bsd-3-clause": ("neither the name of",),
+    "bsd-3-clause-name": ("bsd 3 clause",),
+    "bsd-3-clause-text": ("neither the name of",),
+    "bsd-2-clause-name": ("bsd 2 clause",),
+    "epl-2.0-notice": ("eclipse public license 2 0",),
+    "isc-text": DECIDING["isc"],
+    "mit-full-text": DECIDING["mit-text"],
+    "mit-terms": ("mit license",),
+}
+ABSENT["bsd-2-clause-text"] = ABSENT["bsd-2-clause"]
+ABSENT["bsd-3-clause"] = ABSENT["bsd-3-clause-text"] = ("all advertising materials",)
+
+# Statements and notices of families of licenses.
+for _code, _kind, _version in (
+    ("lgpl-2.1", "Lesser ", "2.1"), ("lgpl-3.0", "Lesser ", "3"), ("agpl-3.0", "Affero ", "3"), ("gpl-2.0", "", "2")
+):
+    _title = f"GNU {_kind}General Public License"
+    if _kind:
+        TEMPLATES[_code] = f"This work is licensed under the {_title}, version {_version}."
+        DECIDING[_code] = (f"{_title} version {_version}",)
+    TEMPLATES[f"{_code}-notice"] = (
+        TEMPLATES["gpl-notice"].replace("version 3", f"version {_version}").replace("the GNU\n        General Public License", f"the {_title}")
+    )
+    DECIDING[f"{_code}-notice"] = (_title, f"version {_version} of the license")
+for _code, _title in {
+    "by": "Attribution", "by-sa": "Attribution-ShareAlike", "by-nd": "Attribution-NoDerivatives",
+    "by-nc": "Attribution-NonCommercial", "by-nc-sa": "Attribution-NonCommercial-ShareAlike",
+    "by-nc-nd": "Attribution-NonCommercial-NoDerivatives",
+}.items():
+    _name = f"cc-{_code}-4.0"
+    TEMPLATES[_name] = f"Licensed under CC {_code.upper()} 4.0."
+    DECIDING[_name] = (f"CC {_code} 4.0",)
+    TEMPLATES[f"{_name}-notice"] = f"This work is licensed under a Creative Commons {_title} 4.0 International License."
+    DECIDING[f"{_name}-notice"] = (f"Creative Commons {_title} 4.0",)
+# Longer identifiers that begin with another one outbid it.
+SPDX = """0BSD AGPL-3.0 Apache-2.0 BSD-2-Clause BSD-2-Clause-Patent BSD-3-Clause BSD-3-Clause-Clear BSD-3-Clause-LBNL
+    BSD-4-Clause BSL-1.0 CC-BY-4.0 CC-BY-NC-4.0 CC-BY-NC-ND-4.0 CC-BY-NC-SA-4.0 CC-BY-ND-4.0 CC-BY-SA-4.0 CC0-1.0 EPL-1.0
+    EPL-2.0 GPL-2.0 GPL-3.0 ISC LGPL-2.1 LGPL-3.0 MIT MIT-0 MIT-CMU MPL-2.0 Unlicense Zlib"""
+for _name in SPDX.split():
+    TEMPLATES[f"{_name.lower()}-spdx"] = f"SPDX-License-Identifier: {_name}"
+    DECIDING[f"{_name.lower()}-spdx"] = (TEMPLATES[f"{_name.lower()}-spdx"],)

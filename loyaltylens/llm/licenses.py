@@ -68,11 +68,13 @@ class TemplateIndex:
         deciding, absent = deciding or {}, absent or {}
         self.names = sorted(templates)
         self.numbers: dict[bytes, int] = {}
+        self.least: list[float] = []  # words that a match has at least
         self.words, self.deciding, self.absent = [], [], []
         postings = defaultdict(list)
         for n, name in enumerate(self.names):
             coded = self._numbered(templates[name])
             self.words.append(coded)
+            self.least.append(max(min(GRAM, len(coded)), min_coverage * len(coded)))
             phrases = deciding.get(name) or ([templates[name]] if len(coded) < SHORT else [])
             self.deciding.append([self._numbered(p) for p in phrases])
             self.absent.append([self._numbered(p) for p in absent.get(name, ())])
@@ -113,7 +115,8 @@ class TemplateIndex:
         diagonals: dict[int, set[int]] = defaultdict(set)
         for place, gram in self.hits(coded):
             for n, at in self.postings[gram]:
-                diagonals[n].add(place - at)
+                if self.least[n] <= len(coded):
+                    diagonals[n].add(place - at)
         found = []
         for n, starts in diagonals.items():
             band = self._band(n)
@@ -145,12 +148,14 @@ class TemplateIndex:
         there = (places >= 0) & (places < len(coded))
         text = np.where(there, coded[np.clip(places, 0, len(coded) - 1)], 0)
         equal = (text == template[:, None]) & there
+        if np.count_nonzero(equal.any(axis=1)) < self.least[n]:
+            return []  # no common subsequence has more words than rows that have an equal word
         score = np.zeros((len(template) + 1, width + 1), np.int32)
         for i in range(len(template)):
             best = np.maximum(score[i, :width] + equal[i], score[i, 1:])
             score[i + 1, :width] = np.maximum.accumulate(best)
         words = int(score[-1].max())
-        if words < max(min(GRAM, len(template)), self.min_coverage * len(template)):
+        if words < self.least[n]:
             return []
         matched, i, b = [], len(template), int(score[-1].argmax())
         while i and score[i, b]:

@@ -50,6 +50,25 @@ def test_the_words_that_name_the_license_decide(docs):
     assert [(x[0], x[1]) for x in rows(alone)] == [(0, "red")]
 
 
+def test_texts_notices_and_identifiers_of_common_licenses(docs):
+    holder = TEMPLATES["bsd-3-clause-text"].replace("copyright holder nor", "University nor")
+    lines = {
+        "SPDX-License-Identifier: MIT": {"mit-spdx"}, "// SPDX-License-Identifier: MIT-0": {"mit-0-spdx"},
+        "BSD 3-Clause License": {"bsd-3-clause-name"}, "Licensed under CC BY-NC-SA 4.0.": {"cc-by-nc-sa-4.0"},
+        "Licensed under CC BY-ND 4.0.": {"cc-by-nd-4.0"}, "Licensed under CC BY-NC-ND 4.0.": {"cc-by-nc-nd-4.0"},
+        "This work is licensed under the GNU Affero General Public License, version 3.": {"agpl-3.0"},
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.": {"lgpl-2.1"},
+        "Released under the terms of the MIT License": {"mit-terms"}, PAD + holder + PAD: {"bsd-3-clause-text"},
+        TEMPLATES["agpl-3.0-notice"]: {"agpl-3.0-notice"}, TEMPLATES["gpl-2.0-notice"]: {"gpl-2.0-notice"},
+        PAD + TEMPLATES["gpl-3.0-text"] + PAD: {"gpl-3.0-text"}, PAD + TEMPLATES["apache-2.0-text"]: {"apache-2.0-text"},
+        TEMPLATES["lgpl-2.1-text"]: {"lgpl-2.1-text"}, TEMPLATES["epl-2.0-notice"]: {"epl-2.0-notice"},
+    }
+    got = [set() for _ in lines]
+    for i, name, *_ in rows(find_licenses(docs(list(lines)))):
+        got[i].add(name)
+    assert dict(zip(lines, got)) == lines
+
+
 def lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
