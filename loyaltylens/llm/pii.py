@@ -120,7 +120,6 @@ class Bootstrap:
     uses in the corpus are followed by a known one.
     """
 
-    rounds: int = 2
     min_seeds: int = 5
     trust: float = 0.5
 
@@ -135,7 +134,7 @@ def cue_counts(rows: DataFrame, cues: DataFrame) -> DataFrame:
 def trusted(occurrences: DataFrame, rows: DataFrame, settings: Bootstrap) -> DataFrame:
     """Occurrences that are no seeds but follow a trusted cue: doc_id, text_hash, start, end.
 
-    The graph of cues and instances is scored in rounds.  A cue's score is the share of its uses that known
+    The graph of cues and instances is scored in rounds until no further cue is trusted.  A cue's score is the share of its uses that known
     instances follow; an instance is known if it is a seed or follows a trusted cue.  Edges are added up per
     task first, so a cue with a third of all edges is no burden; only edges and scores are shuffled.
     """
@@ -146,17 +145,21 @@ def trusted(occurrences: DataFrame, rows: DataFrame, settings: Bootstrap) -> Dat
     # A cue of fewer instances can never have enough seeds.
     wide = edges.groupBy("cue").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= settings.min_seeds)
     uses = keep(cue_counts(rows, keep(wide.select("cue"))))
-    found = None
-    for _ in range(settings.rounds):
-        scores = edges.groupBy("cue").agg(
+    found, size, flagged = None, 0, edges
+    while True:
+        scores = flagged.groupBy("cue").agg(
             F.sum("known").alias("seeds"), F.sum(F.col("known") * F.col("times")).alias("hits")
         )
         good = scores.join(uses, "cue").filter(
             (F.col("seeds") >= settings.min_seeds) & (F.col("hits") >= settings.trust * F.col("uses"))
         )
-        found = keep(good.select("cue"))
+        found, last = keep(good.select("cue")), size
+        size = found.count()
+        if size == last:
+            break
+        # What is known only grows, and all of it follows from the seeds and the cues trusted last.
         learnt = edges.join(found, "cue", "left_semi").select("instance").distinct().withColumn("learnt", F.lit(1))
-        edges = edges.join(learnt, "instance", "left").select(
+        flagged = edges.join(learnt, "instance", "left").select(
             "cue", "instance", "times", F.greatest("known", F.coalesce("learnt", F.lit(0))).alias("known")
         )
     return occurrences.filter(~F.col("seed")).join(found, "cue", "left_semi")

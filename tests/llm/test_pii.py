@@ -60,6 +60,15 @@ def test_contexts_discover_identifiers_and_leave_numbers_alone(docs):
     assert not any(added.values())
 
 
+def test_rounds_go_on_until_no_cue_is_added(docs):
+    # Half of what follows each cue is known from the cue before it, so every round adds one cue.
+    rows = [f"zero: +1 389 555-50{i}0" for i in range(6)]
+    for n, cue in enumerate(("zero:", "one:", "two:", "three:", "four:")):
+        rows += [f"{cue} {n - 1 + 50}000{i}" for i in range(6) if n] + [f"{cue} {n + 50}000{i}" for i in range(6)]
+    got = by_id(find_pii(docs(rows)))
+    assert all(len(r["found"]) == 1 for r in got.values())
+
+
 def test_redaction_keeps_columns_and_clean_rows(docs):
     frame = docs([(1, "a@b.c and 1.2.3.4!"), (1, "a@b.c and 1.2.3.4!"), (2, "clean"), (None, "x +1 389 555-5010"), (3, None)])
     out = redact(frame)
