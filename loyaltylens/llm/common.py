@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 # Words are runs of anything but these characters.
 SPACE_CLASS = r"\x20\x09-\x0D"
+BLANKS = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loyaltylens.llm.common import SPACE_CLASS, ascii_lower, keep, match_spans, span_text, tagged, texts
+from loyaltylens.llm.common import BLANKS, SPACE_CLASS, ascii_lower, keep, match_spans, span_text, tagged, texts
 
 
 @dataclass(frozen=True)
@@ -40,9 +40,16 @@ SPANS = "array<struct<rank:int,kind:string,start:bigint,end:bigint>>"
 # A token that may be an identifier: at least MIN_DIGITS digits, cut off from brackets, quotes and commas around it.
 TOKEN = rf"(?<![^{SPACE_CLASS}])[^{SPACE_CLASS}]*[0-9][^{SPACE_CLASS}]*+"
 EDGE = r"[\"'()\[\]{}<>,;:.!?]"
+# A token and the groups of digits that spaces, hyphens, dots or brackets join to it.
+RUN = rf"{TOKEN}(?:(?<=[0-9)])\x20(?=[0-9(])[0-9().\x20-]*[0-9)](?={EDGE}*+(?:[{SPACE_CLASS}]|\z)))?+"
 MIN_DIGITS = 4
 TOKEN_SCREEN = rf"[0-9][^{SPACE_CLASS}]*[0-9]"
-INSTANCE = "struct<start:bigint,end:bigint,instance:string,cue:string,seed:boolean>"
+RUN_SCREEN = rf"{TOKEN_SCREEN}|[0-9]\)?\x20\(?[0-9]"
+PATTERN_WORDS = 3  # longest context
+REACH = 160  # characters in which the words of a context stand
+PATTERNS = "array<struct<left:boolean,gram:bigint>>"
+INSTANCE = f"struct<start:bigint,end:bigint,instance:string,patterns:{PATTERNS},seed:boolean>"
+BROADCAST_CUES = 1_000_000
 
 
 def valid(kind: str, found: Column) -> Column:
@@ -83,40 +90,89 @@ def _matches(text: Column, kind: Kind) -> Column:
     return F.filter(match_spans(text, kind.pattern, kind.screen), lambda s: valid(kind.name, s["found"]))
 
 
-def cue_before(text: Column, start: Column) -> Column:
-    """The word before a place, in lower case; empty if there is none right before it or it is cut off."""
-    first = F.greatest(start - 79, F.lit(1)).cast("int")
-    before = F.substring(text, first, F.least(start, F.lit(80)).cast("int"))
-    return ascii_lower(F.regexp_extract(before, rf"([^{SPACE_CLASS}]++)[{SPACE_CLASS}]++$", 1))
+def gram(words: list[Column]) -> Column:
+    """What stands for some words in a row."""
+    return F.xxhash64(F.lit(len(words)), *words)
+
+
+def patterns(text: Column, start: Column, end: Column) -> Column:
+    """The one to three words before and after a place, in lower case, as (left, gram).  Brackets and marks at the place
+    are no words; there are none where it is not cut off by space."""
+
+    def bound(value: Column, then) -> Column:
+        return F.transform(F.array(value), then)[0]
+
+    def grams(side: Column, left: bool) -> Column:
+        def pick(words: Column) -> Column:
+            size = F.size(words)
+            whole = F.when(F.length(side) < REACH, size).otherwise(size - 1)  # the farthest word may be cut
+            found = []
+            for n in range(1, PATTERN_WORDS + 1):
+                own = [F.get(words, size - n + i if left else F.lit(i)) for i in range(n)]
+                found.append(F.when((whole >= n) & (words[0] != ""), F.struct(F.lit(left).alias("left"), gram(own).alias("gram"))))
+            return F.array_compact(F.array(*found))
+
+        def cut(near: Column) -> Column:
+            apart = near.rlike(f"[{SPACE_CLASS}]$" if left else f"^[{SPACE_CLASS}]")
+            words = F.split(F.btrim(near, F.lit(BLANKS)), f"[{SPACE_CLASS}]+")
+            return F.when(apart, bound(words, pick)).otherwise(F.array().cast(PATTERNS))
+
+        edge = rf"(?<=[{SPACE_CLASS}]){EDGE}++$" if left else rf"^{EDGE}++(?=[{SPACE_CLASS}])"
+        return bound(F.regexp_replace(ascii_lower(side), edge, ""), cut)
+
+    first = F.greatest(start - REACH + 1, F.lit(1)).cast("int")
+    before = F.substring(text, first, F.least(start, F.lit(REACH)).cast("int"))
+    after = F.substring(text, (end + 1).cast("int"), F.lit(REACH))
+    return F.concat(grams(before, True), grams(after, False))
 
 
 def instances(text: Column, base: Column) -> Column:
-    """Base spans, as seeds, and tokens that may be identifiers, with the word before each, as
-    (start, end, instance, cue, seed).  Tokens that touch a base span are left out."""
+    """Base spans, as seeds, and runs of digit groups that may be identifiers, with the patterns around each, as
+    (start, end, instance, patterns, seed).  Runs that touch a base span are taken apart into tokens; those of them that
+    touch it are left out."""
 
-    def seed(b: Column) -> Column:
-        found = F.substring(text, (b["start"] + 1).cast("int"), (b["end"] - b["start"]).cast("int"))
-        return F.struct(b["start"], b["end"], found, cue_before(text, b["start"]), F.lit(True)).cast(INSTANCE)
+    def place(start: Column, end: Column, found: Column, seed: bool) -> Column:
+        return F.struct(start, end, found, patterns(text, start, end), F.lit(seed)).cast(INSTANCE)
 
-    def token(s: Column) -> Column:
+    def trimmed(s: Column) -> Column:
         tail = F.regexp_replace(s["found"], f"^{EDGE}++", "")
         core = F.regexp_replace(tail, f"{EDGE}++$", "")
         start = s["start"] + F.length(s["found"]) - F.length(tail)
-        return F.struct(start, start + F.length(core), core, cue_before(text, start), F.lit(False)).cast(INSTANCE)
+        return F.struct(start.alias("start"), (start + F.length(core)).alias("end"), core.alias("found"))
 
-    def apart(t: Column) -> Column:
-        digits = F.length(F.regexp_replace(t["instance"], "[^0-9]", ""))
-        return (digits >= MIN_DIGITS) & ~F.exists(base, lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"]))
+    def enough(s: Column) -> Column:
+        return F.length(F.regexp_replace(s["found"], "[^0-9]", "")) >= MIN_DIGITS
 
-    found = F.filter(F.transform(match_spans(text, TOKEN, TOKEN_SCREEN), token), apart)
-    return F.filter(F.concat(F.transform(base, seed), found), lambda t: t["cue"] != "")
+    def touches(s: Column, others: Column) -> Column:
+        return F.exists(others, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
+
+    def candidates(pattern: str, screen: str) -> Column:
+        return F.filter(F.transform(match_spans(text, pattern, screen), trimmed), enough)
+
+    def apart(runs: Column) -> Column:
+        broken = F.filter(runs, lambda s: touches(s, base) & s["found"].contains(" "))
+
+        def rest(parts: Column) -> Column:
+            own = F.filter(candidates(TOKEN, TOKEN_SCREEN), lambda s: touches(s, parts) & ~touches(s, base))
+            return F.when(F.size(parts) > 0, own).otherwise(F.filter(runs, lambda s: F.lit(False)))
+
+        more = F.transform(F.array(broken), rest)[0]
+        return F.concat(F.filter(runs, lambda s: ~touches(s, base)), more)
+
+    seeds = F.transform(
+        base,
+        lambda b: place(b["start"], b["end"], F.substring(text, (b["start"] + 1).cast("int"), (b["end"] - b["start"]).cast("int")), True),
+    )
+    runs = F.transform(F.array(candidates(RUN, RUN_SCREEN)), apart)[0]
+    found = F.transform(runs, lambda s: place(s["start"], s["end"], s["found"], False))
+    return F.filter(F.concat(seeds, found), lambda t: F.size(t["patterns"]) > 0)
 
 
 @dataclass(frozen=True)
 class Bootstrap:
     """Settings of the search for further identifiers.
 
-    A cue word is trusted from ``min_seeds`` distinct known identifiers on and if at least ``trust`` of all its
+    A cue, one to three words before or after an identifier, is trusted from ``min_seeds`` distinct known identifiers on and if at least ``trust`` of all its
     uses in the corpus are followed by a known one.
     """
 
@@ -125,44 +181,55 @@ class Bootstrap:
 
 
 def cue_counts(rows: DataFrame, cues: DataFrame) -> DataFrame:
-    """How often each cue occurs as a word of the corpus: (cue, uses)."""
-    words = rows.select(F.explode(F.split(ascii_lower("text"), f"[{SPACE_CLASS}]+")).alias("cue"))
+    """How often the words of each cue stand in the corpus in a row: (gram, uses)."""
+    cut = F.split(F.btrim(ascii_lower("text"), F.lit(BLANKS)), f"[{SPACE_CLASS}]+")
+    later = [F.slice("words", n + 1, F.greatest(F.size("words"), F.lit(1))) for n in range(1, PATTERN_WORDS)]
+    words = rows.select(cut.alias("words")).select(F.inline(F.arrays_zip("words", *later))).toDF("a", "b", "c")
+    grams = words.select(F.explode(F.array(*(gram([F.col(c) for c in "abc"[:n]]) for n in range(1, PATTERN_WORDS + 1)))).alias("gram"))
+    wanted = cues.select("gram").distinct()
+    if cues.count() <= BROADCAST_CUES:
+        # Words of no cue end where they are read.
+        return grams.join(F.broadcast(wanted), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("uses"))
     # An inner join stays above the aggregation, so words are added up per task before anything is shuffled.
-    return words.groupBy("cue").agg(F.count(F.lit(1)).alias("uses")).join(cues, "cue")
+    return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("uses")).join(wanted, "gram")
 
 
 def trusted(occurrences: DataFrame, rows: DataFrame, settings: Bootstrap) -> DataFrame:
-    """Occurrences that are no seeds but follow a trusted cue: doc_id, text_hash, start, end.
+    """Occurrences that are no seeds but stand beside a trusted cue: doc_id, text_hash, start, end.
 
     The graph of cues and instances is scored in rounds until no further cue is trusted.  A cue's score is the share of its uses that known
-    instances follow; an instance is known if it is a seed or follows a trusted cue.  Edges are added up per
+    instances stand beside; an instance is known if it is a seed or stands beside a trusted cue.  Edges are added up per
     task first, so a cue with a third of all edges is no burden; only edges and scores are shuffled.
     """
-    edges = occurrences.groupBy("cue", "instance").agg(
+    cue = ["left", "gram"]
+    every = occurrences.select("*", F.inline("patterns")).drop("patterns")
+    edges = keep(every.groupBy(*cue, "instance").agg(
         F.count(F.lit(1)).alias("times"), F.max(F.col("seed").cast("int")).alias("known")
-    )
-    edges = keep(edges)
+    ))
     # A cue of fewer instances can never have enough seeds.
-    wide = edges.groupBy("cue").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= settings.min_seeds)
-    uses = keep(cue_counts(rows, keep(wide.select("cue"))))
+    wide = edges.groupBy(*cue).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= settings.min_seeds)
+    wide = keep(wide.select(*cue))
+    uses = keep(cue_counts(rows, wide))
+    edges = keep(edges.join(wide, cue, "left_semi"))
     found, size, flagged = None, 0, edges
     while True:
-        scores = flagged.groupBy("cue").agg(
+        scores = flagged.groupBy(*cue).agg(
             F.sum("known").alias("seeds"), F.sum(F.col("known") * F.col("times")).alias("hits")
         )
-        good = scores.join(uses, "cue").filter(
+        good = scores.join(uses, "gram").filter(
             (F.col("seeds") >= settings.min_seeds) & (F.col("hits") >= settings.trust * F.col("uses"))
         )
-        found, last = keep(good.select("cue")), size
+        found, last = keep(good.select(*cue)), size
         size = found.count()
         if size == last:
             break
         # What is known only grows, and all of it follows from the seeds and the cues trusted last.
-        learnt = edges.join(found, "cue", "left_semi").select("instance").distinct().withColumn("learnt", F.lit(1))
+        learnt = edges.join(found, cue, "left_semi").select("instance").distinct().withColumn("learnt", F.lit(1))
         flagged = edges.join(learnt, "instance", "left").select(
-            "cue", "instance", "times", F.greatest("known", F.coalesce("learnt", F.lit(0))).alias("known")
+            *cue, "instance", "times", F.greatest("known", F.coalesce("learnt", F.lit(0))).alias("known")
         )
-    return occurrences.filter(~F.col("seed")).join(found, "cue", "left_semi")
+    more = every.filter(~F.col("seed")).join(found, cue, "left_semi")
+    return more.select("doc_id", "text_hash", "start", "end")
 
 
 def find_pii(
@@ -170,8 +237,9 @@ def find_pii(
 ) -> DataFrame:
     """doc_id, text_hash and ``found``: an array of (rank, kind, start, end) in code points, by kind, then start.
 
-    The base kinds come from their patterns.  They are the seeds: words that mostly stand before seeds are cues,
-    and tokens with digits that follow a trusted cue and touch no base span are added as ``context``.
+    The base kinds come from their patterns.  They are the seeds: one to three words that mostly stand
+    before or after seeds are cues, and runs of digit groups beside a trusted cue that touch no base span are added as
+    ``context``.
 
     A missing text is empty; rows that repeat an id and a text come back as often as they are there; a missing id
     stays missing.

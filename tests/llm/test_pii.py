@@ -60,6 +60,18 @@ def test_contexts_discover_identifiers_and_leave_numbers_alone(docs):
     assert not any(added.values())
 
 
+def test_contexts_of_several_words_find_whole_runs(docs):
+    seeds = [f"{{}} +1 389 555-50{i}0 {{}}" for i in range(6)]
+    rows = [s.format("you may call me at", "") for s in seeds] + [s.format("a", "is the number of mine") for s in seeds]
+    rows += ["look at it", "a cat is here", "number of mine", "meet at two"] * 9
+    hidden = ["call me at 0389 5550 77, please", "call me at (030) 1234567.", "so 078 05 1120 is the number", "call me at 4111 1111 1111 1112",
+              "call me at 12345 10.0.0.1", "at 2024 12 31 it was"]
+    got = by_id(find_pii(docs(rows + hidden)))
+    texts = [h[s["start"] : s["end"]] if s["kind"] == "context" else None for i, h in enumerate(hidden) for s in got[len(rows) + i]["found"]]
+    assert texts == ["0389 5550 77", "030) 1234567", "078 05 1120", "4111 1111 1111 1112", None, "12345"]
+    assert not any(s["kind"] == "context" for i in range(len(rows)) for s in got[i]["found"])
+
+
 def test_rounds_go_on_until_no_cue_is_added(docs):
     # Half of what follows each cue is known from the cue before it, so every round adds one cue.
     rows = [f"zero: +1 389 555-50{i}0" for i in range(6)]
