@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loyaltylens.llm import bpe_codec, exact_dedup, licenses, lm_score, ngram_join, packing, pii, quality, secrets, token_counts
+from loyaltylens.llm import (
+    bpe_codec, collocations, exact_dedup, licenses, lm_score, ngram_join, packing, pii, quality, secrets, sharding,
+    token_counts, whitening,
+)
 from loyaltylens.llm.common import documents
 
 
@@ -56,8 +59,28 @@ def op10_pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(documents(spark, sf_dir))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(documents(spark, sf_dir), 16)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 16)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lm_score, op2_token_counts, op3_license_scan, op4_secret_scan, op5_packing, op6_ngram_join, op7_bpe_codec, op8_quality_rules, op9_exact_dedup, op10_pii_scan)
+    f.__name__: f
+    for f in (
+        op1_lm_score, op2_token_counts, op3_license_scan, op4_secret_scan, op5_packing, op6_ngram_join, op7_bpe_codec,
+        op8_quality_rules, op9_exact_dedup, op10_pii_scan, op11_sharding, op12_collocations, op13_whitening,
+    )
+}
+
+ORACLE_SQL: dict[str, str] = {
+    "op6_ngram_join": ngram_join.ORACLE,
+    "op9_exact_dedup": exact_dedup.ORACLE,
+    "op12_collocations": collocations.ORACLE,
 }
-
-ORACLE_SQL: dict[str, str] = {"op6_ngram_join": ngram_join.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}
