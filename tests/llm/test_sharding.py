@@ -55,10 +55,8 @@ def test_many_blocks_and_sources(spark, monkeypatch):
     assert abs(np.corrcoef(order, range(500))[0, 1]) < 0.2
 
 
-def test_shuffle_is_uniform(spark, monkeypatch):
-    """Every pair of rows is equally often in one shard, and every row equally often in every place."""
-    monkeypatch.setattr(sharding, "keep", lambda df: df)
-    monkeypatch.setattr(sharding, "SOURCE_BITS", 1)
+def test_draw_is_uniform():
+    """Every pair of rows is equally often in one block, and every row equally often in each block."""
     rng = np.random.default_rng(3)
     places, together = Counter(), Counter()
     runs = 4000
