@@ -38,7 +38,7 @@ class Settings:
     min_count: int = 10  # how often a phrase has to occur
     covered_percent: int = 50  # a phrase goes if a longer one holds this share of its occurrences
     best: int = 2000  # phrases per language
-    block_bytes: int = 8 << 20  # text of a block; a task works on one block at a time
+    block_bytes: int = 4 << 20  # text of a block; a task works on one block at a time
     bucket_mass: int = 1 << 22  # occurrences counted by one bucket, which a task holds at a time
     counters: int = 2  # counters of a summary, as a multiple of its mass divided by min_count
 
@@ -98,21 +98,24 @@ class Sequences:
     def __init__(self, data: bytes, longest: int) -> None:
         found = data.replace(MARK, b" \xff ").split()
         number: dict[bytes, int] = {MARK: 0}
-        ids = np.fromiter((number.setdefault(w, len(number)) for w in found), np.int64, len(found))
+        ids = np.fromiter((number.setdefault(w, len(number)) for w in found), np.int32, len(found))
+        del found
         self.words = list(number)
         size = len(number)
+        del number
         counts = np.bincount(ids, minlength=size)
         counts[0] = 0
         self.total = int(counts.sum())
-        self.levels = [(np.zeros(size, np.int64), np.arange(size), counts)]
-        current = np.where(ids > 0, ids, -1)
+        self.levels = [(np.zeros(size, np.int32), np.arange(size, dtype=np.int32), counts)]
+        current = np.where(ids > 0, ids, np.int32(-1))
         for n in range(2, longest + 1):
             after = ids[n - 1 :]
             current = current[: len(after)]
             here = np.flatnonzero((current >= 0) & (after > 0))
-            keys, inverse, counts = np.unique(current[here] * size + after[here], return_inverse=True, return_counts=True)
-            self.levels.append((keys // size, keys % size, counts))
-            current = np.full(len(after), -1)
+            pairs = current[here].astype(np.int64) * size + after[here]
+            keys, inverse, counts = np.unique(pairs, return_inverse=True, return_counts=True)
+            self.levels.append(((keys // size).astype(np.int32), (keys % size).astype(np.int32), counts))
+            current = np.full(len(after), -1, np.int32)
             current[here] = inverse
 
     def counts(self) -> np.ndarray:
