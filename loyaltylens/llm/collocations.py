@@ -15,6 +15,7 @@ import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ class Settings:
     min_count: int = 10  # how often a phrase has to occur
     covered_percent: int = 50  # a phrase goes if a longer one holds this share of its occurrences
     best: int = 2000  # phrases per language
-    block_bytes: int = 4 << 20  # text of a block; a task works on one block at a time
+    block_bytes: int = 2 << 20  # text of a block; a task works on one block at a time
     bucket_mass: int = 1 << 22  # occurrences counted by one bucket, which a task holds at a time
     counters: int = 2  # counters of a summary, as a multiple of its mass divided by min_count
 
@@ -147,10 +148,11 @@ class Sequences:
 def by_bucket(hashes: np.ndarray, counts: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Numbers of the sequences that occur, sorted by bucket and fingerprint, with both."""
     there = np.flatnonzero(counts)
-    bucket = ((hashes[there] >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint64)
-    key = bucket << np.uint64(32) | hashes[there] & np.uint64(0xFFFFFFFF)
+    key = hashes[there]
+    key = (key >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32) | key & np.uint64(0xFFFFFFFF)
     order = np.argsort(key, kind="stable")
-    return there[order], bucket[order].astype(np.int64), key[order].astype(np.uint32)
+    key = key[order]
+    return there[order], (key >> np.uint64(32)).astype(np.int64), key.astype(np.uint32)
 
 
 # -- summaries ---------------------------------------------------------------------------------------
@@ -257,9 +259,9 @@ def exact_counts(found: DataFrame, answered: DataFrame, buckets: int, settings:
                 flags = [np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(bits.as_py(), sizes)]
                 chosen = np.zeros(len(counts), bool)
                 chosen[order] = np.concatenate(flags).astype(bool)
-                rows = [(0, b"", own.total), *own.named(chosen)]
-                for start in range(0, len(rows), 50_000):
-                    size, phrase, count = zip(*rows[start : start + 50_000])
+                rows = chain([(0, b"", own.total)], own.named(chosen))
+                while part := list(islice(rows, 20_000)):
+                    size, phrase, count = zip(*part)
                     arrays = [pa.array([lang] * len(size)), pa.array(size, pa.int32()), pa.array(phrase, pa.binary()).cast(pa.string())]
                     yield pa.RecordBatch.from_arrays([*arrays, pa.array(count, pa.int64())], names)
 
