@@ -464,6 +464,21 @@ def _sales(t: RetailBinding, channel: str, grain: str) -> DataFrame:
     return totals
 
 
+def _channel_measures(t: RetailBinding, channel: str) -> DataFrame:
+    measures = scorecards.channel_measures(t, channel, AS_OF)
+    return measures.withColumns({c: exprs.as_double(F.col(c)) for c in kpis.MEASURES if c.endswith("net")})
+
+
+@query
+def channel_measures_online(t: RetailBinding) -> DataFrame:
+    return _channel_measures(t, "online")
+
+
+@query
+def channel_measures_offline(t: RetailBinding) -> DataFrame:
+    return _channel_measures(t, "offline")
+
+
 @query
 def sales_ty_online(t: RetailBinding) -> DataFrame:
     return _sales(t, "online", "tier")

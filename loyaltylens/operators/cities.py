@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loyaltylens.functions import fixed
@@ -108,3 +108,30 @@ def tier_labelled(facts: DataFrame, tiers: DataFrame, *, city: str, total: bool
         missing_label=fixed.OTHERS,
         total=fixed.TOTAL if total else None,
     )
+
+
+def grain_labelled(
+    facts: DataFrame, bands: CityBands, tiers: DataFrame, *, city: str, missing_city: str | None = None
+) -> DataFrame:
+    """Repeat each fact once per grain and segment of its city, in the struct ``segment``: (grain, name).
+
+    Grains are ``city``, ``maturity``, ``tier`` and ``total``; the labels are those of :func:`maturity_labelled` and
+    :func:`tier_labelled`.
+    """
+
+    def named(grain: str, names: Column) -> Column:
+        return F.transform(names, lambda n: F.struct(F.lit(grain).alias("grain"), n.alias("name")))
+
+    band_sets = label_sets(bands.by_city, "city_cn", "city_maturity_type", fixed.UNSPECIFIED_BAND)
+    tier_sets = label_sets(tiers, "city_cn", "city_tier", fixed.OTHERS).withColumnRenamed("_labels", "_tiers")
+    joined = lookup_join(lookup_join(facts, band_sets, {city: "city_cn"}), tier_sets, {city: "city_cn"})
+    band = F.coalesce(F.col("_labels"), F.array(F.lit(fixed.UNSPECIFIED_BAND)))
+    if missing_city is not None:
+        band = F.when(F.col(city).isNull(), F.array(F.lit(missing_city))).otherwise(band)
+    segments = F.concat(
+        named("city", F.array(F.col(city))),
+        named("maturity", band),
+        named("tier", F.coalesce(F.col("_tiers"), F.array(F.lit(fixed.OTHERS)))),
+        named("total", F.array(F.lit(fixed.TOTAL))),
+    )
+    return joined.withColumn("segment", F.explode(segments)).drop("_labels", "_tiers")

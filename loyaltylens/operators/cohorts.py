@@ -21,6 +21,19 @@ def new_members(members: DataFrame, window: YtdWindow, channel_like: str | None
     ).distinct()
 
 
+def new_members_by_channel(members: DataFrame, window: YtdWindow, channel_like: str) -> DataFrame:
+    """Distinct (member_id, period, through_store) of all members who joined within the windows.
+
+    ``through_store`` is true where one of the member's channels holds ``channel_like``.
+    """
+    joined = members.filter(in_window(F.col("join_time"), window)).select(
+        whole_number_id(F.col("member_detail_id")).alias("member_id"),
+        period_of(F.col("join_time"), window).alias("period"),
+        F.coalesce(F.col("eff_reg_channel").contains(channel_like), F.lit(False)).alias("through_store"),
+    )
+    return joined.groupBy("member_id", "period").agg(F.max("through_store").alias("through_store"))
+
+
 def new_accounts(bindings: DataFrame, window: YtdWindow) -> DataFrame:
     """Distinct (kyid, period) of marketplace accounts first bound within the windows."""
     bound = bindings.filter(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from loyaltylens.functions import fixed
 from loyaltylens.functions.exprs import as_double, change_ratio, eligible, net_amount, safe_div, whole_number_id
 from loyaltylens.functions.periods import LY, TY, YtdWindow, in_window, period_of, ytd_window
-from loyaltylens.operators.joins import flag_join
+from loyaltylens.operators.joins import flag_join, left_join_on_optional_key
 
 Labeller = Callable[[DataFrame], DataFrame]
 
@@ -91,34 +91,79 @@ def flag_new_members(orders: DataFrame, cohort: DataFrame) -> DataFrame:
     return flag_join(numbered, cohort, on, "_member_number", "is_new", ["order_id", "city"]).drop("_member_number")
 
 
+def mark_new_members(orders: DataFrame, cohort: DataFrame) -> DataFrame:
+    """Offline orders with ``is_new`` and ``is_new_in_store``, from one join; ``cohort`` is (member_id, period, through_store)."""
+    numbered = orders.withColumn("_member_number", whole_number_id(F.col("member_id")))
+    others = cohort.withColumnsRenamed({"member_id": "_new_member", "period": "_new_period", "through_store": "_through_store"})
+    joined = left_join_on_optional_key(
+        numbered, "_member_number", others, "_new_member", spread=["order_id", "city"], also={"period": "_new_period"}
+    )
+    flags = {
+        "is_new": F.col("_through_store").isNotNull(),
+        "is_new_in_store": F.coalesce(F.col("_through_store"), F.lit(False)),
+    }
+    return joined.withColumns(flags).drop("_member_number", "_new_member", "_new_period", "_through_store")
+
+
 # -- measures -------------------------------------------------------------------------------------
 
 
-def order_measures(orders: DataFrame, segment: str) -> DataFrame:
+# Classes of an order row as bits, so that a set of rows is described by OR-ing them.
+OTHER_BUYER, NEW_MEMBER, EXISTING_MEMBER = 1, 2, 4
+
+
+def order_measures(orders: DataFrame, label: Labeller, segment: str, is_new: Column | None = None) -> DataFrame:
     """All sums and distinct counts per ``segment`` and period.
 
-    The conditions of the distinct counts are filters, so that only two distinct sets (orders, members)
-    are shuffled, whatever the number of counts.
+    Every order row stands once for its order, with its amount, and once for its member.  These are first added up
+    per segment, period and key, where the classes of buyers become one number; a distinct count is then the number
+    of keys with a class.  However often an order or a member occurs, each task sends one row for it, whatever the
+    number of counts.
     """
-
-    def net(condition: Column) -> Column:
-        return F.sum(F.when(condition, F.col("net")).otherwise(F.lit(0)))
-
-    def distinct(column: str, condition: str) -> Column:
-        return F.expr(f"count(distinct {column}) filter (where effective and {condition})")
-
-    return orders.groupBy(segment, "period").agg(
-        F.sum("net").alias("net"),
-        distinct("order_id", "true").alias("orders"),
-        net(F.col("is_member")).alias("member_net"),
-        distinct("order_id", "is_member").alias("member_orders"),
-        distinct("member_id", "is_member").alias("member_shoppers"),
-        net(F.col("is_member") & F.col("is_new")).alias("new_net"),
-        distinct("order_id", "is_member and is_new").alias("new_orders"),
-        distinct("member_id", "is_member and is_new").alias("new_shoppers"),
-        net(F.col("is_member") & ~F.col("is_new")).alias("existing_net"),
-        distinct("order_id", "is_member and not is_new").alias("existing_orders"),
-        distinct("member_id", "is_member and not is_new").alias("existing_shoppers"),
+    is_new = F.col("is_new") if is_new is None else is_new
+    buyer = (
+        F.when(~F.col("is_member"), OTHER_BUYER)
+        .when(is_new, NEW_MEMBER)
+        .otherwise(EXISTING_MEMBER)
+    )
+    seen = F.when(F.col("effective"), F.col("buyer")).otherwise(0)
+    nothing = F.lit(None).cast("int")
+
+    def key_row(is_order: bool) -> Column:
+        key = F.col("order_id" if is_order else "member_id").cast("string")
+        amount = F.col("net") if is_order else F.lit(None).cast(dict(orders.dtypes)["net"])
+        return F.struct(
+            F.lit(is_order).alias("is_order"), key.alias("key"), amount.alias("net"),
+            (F.col("buyer") if is_order else nothing).alias("buyer"), seen.alias("seen"),
+        )
+
+    def net(kind: int) -> Column:
+        return F.sum(F.when(F.col("buyer") == kind, F.col("net"))).alias(f"net_{kind}")
+
+    kinds = (OTHER_BUYER, NEW_MEMBER, EXISTING_MEMBER)
+    each = label(orders).withColumn("buyer", buyer).select(segment, "period", F.inline(F.array(key_row(True), key_row(False))))
+    by_key = each.groupBy(segment, "period", "is_order", "key").agg(*map(net, kinds), F.bit_or("seen").alias("seen"))
+
+    def total(*of: int) -> Column:
+        return sum((F.coalesce(F.sum(f"net_{k}"), F.lit(0)) for k in of[1:]), F.coalesce(F.sum(f"net_{of[0]}"), F.lit(0)))
+
+    def distinct(is_order: bool, of: int) -> Column:
+        of_kind = F.col("is_order") if is_order else ~F.col("is_order")
+        return F.count_if(of_kind & F.col("key").isNotNull() & (F.col("seen").bitwiseAND(of) != 0))
+
+    member = NEW_MEMBER | EXISTING_MEMBER
+    return by_key.groupBy(segment, "period").agg(
+        total(*kinds).alias("net"),
+        distinct(True, OTHER_BUYER | member).alias("orders"),
+        total(NEW_MEMBER, EXISTING_MEMBER).alias("member_net"),
+        distinct(True, member).alias("member_orders"),
+        distinct(False, member).alias("member_shoppers"),
+        total(NEW_MEMBER).alias("new_net"),
+        distinct(True, NEW_MEMBER).alias("new_orders"),
+        distinct(False, NEW_MEMBER).alias("new_shoppers"),
+        total(EXISTING_MEMBER).alias("existing_net"),
+        distinct(True, EXISTING_MEMBER).alias("existing_orders"),
+        distinct(False, EXISTING_MEMBER).alias("existing_shoppers"),
     )
 
 

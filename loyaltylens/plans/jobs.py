@@ -23,7 +23,7 @@ def refresh_reports(
 
     ``target`` is a folder or, with ``as_tables``, a schema of the catalog.  The located members come first, as the
     penetration reports read them.  The two penetration reports share one pass over the order history, the three
-    scorecards of a channel one over its order lines; what they share is removed at the end.
+    scorecards of a channel one aggregation of its order lines; what they share is removed at the end.
     """
     written = []
 
@@ -44,8 +44,8 @@ def refresh_reports(
         by_portfolio = penetration.profile_by_portfolio(both)
         write("penetration_maturity", penetration.penetration_maturity(tables, as_of, by_portfolio), audited=True)
     for channel in CHANNELS:
-        with saved(scorecards.orders_of(tables, channel, as_of)) as orders:
+        with saved(scorecards.channel_measures(tables, channel, as_of)) as measures:
             for grain in GRAINS:
-                report = scorecards.scorecard(tables, channel, grain, as_of, orders=orders, as_published=as_published)
+                report = scorecards.scorecard(tables, channel, grain, as_of, measures=measures, as_published=as_published)
                 write(f"performance_{channel}_{grain}", report)
     return written

@@ -11,8 +11,15 @@ from pyspark.sql import functions as F
 from loyaltylens.functions import fixed
 from loyaltylens.functions.periods import ytd_window
 from loyaltylens.operators import kpis
-from loyaltylens.operators.cities import city_bands, city_maturity, city_tiers, maturity_labelled, tier_labelled
-from loyaltylens.operators.cohorts import new_accounts, new_members
+from loyaltylens.operators.cities import (
+    city_bands,
+    city_maturity,
+    city_tiers,
+    grain_labelled,
+    maturity_labelled,
+    tier_labelled,
+)
+from loyaltylens.operators.cohorts import new_accounts, new_members, new_members_by_channel
 
 Tables = Mapping[str, DataFrame]
 
@@ -62,7 +69,35 @@ def order_measures(
 ) -> DataFrame:
     """Sums and distinct counts of a channel per segment and period."""
     flagged = flagged_orders(tables, channel, grain, as_of, orders)
-    return kpis.order_measures(labeller(tables, grain, channel)(flagged), SEGMENT_COLUMN[grain])
+    return kpis.order_measures(flagged, labeller(tables, grain, channel), SEGMENT_COLUMN[grain])
+
+
+def channel_measures(tables: Tables, channel: str, as_of: date) -> DataFrame:
+    """Sums and distinct counts of a channel per grain, segment and period: all grains and the total from one read,
+    one join to the new members and one aggregation of the orders."""
+    orders = orders_of(tables, channel, as_of)
+    window = ytd_window(as_of)
+    if channel == "online":
+        flagged = kpis.flag_new_accounts(orders, new_accounts(tables["ec_bind"], window))
+        is_new, missing_city = F.col("is_new"), fixed.NO_ORDER_CITY
+    else:
+        cohort = new_members_by_channel(tables["member"], window, fixed.STORE_MARK)
+        flagged = kpis.mark_new_members(orders, cohort)
+        is_new = F.when(F.col("segment.grain") == "city", F.col("is_new")).otherwise(F.col("is_new_in_store"))
+        missing_city = None
+    bands, tiers = city_bands(tables["store"], tables["city_type"]), city_tiers(tables["city_tier"])
+
+    def label(facts: DataFrame) -> DataFrame:
+        return grain_labelled(facts, bands, tiers, city="city", missing_city=missing_city)
+
+    measures = kpis.order_measures(flagged, label, "segment", is_new)
+    return measures.select("segment.grain", F.col("segment.name").alias("name"), "period", *kpis.MEASURES)
+
+
+def grain_measures(measures: DataFrame, grain: str) -> DataFrame:
+    """The rows of :func:`channel_measures` that a scorecard of ``grain`` shows."""
+    kept = measures.filter(F.col("grain") == grain if grain == "city" else F.col("grain").isin(grain, "total"))
+    return kept.withColumnRenamed("name", SEGMENT_COLUMN[grain]).drop("grain")
 
 
 def sales(tables: Tables, channel: str, grain: str, as_of: date) -> DataFrame:
@@ -103,17 +138,20 @@ def scorecard(
     grain: str,
     as_of: date,
     *,
-    orders: DataFrame | None = None,
+    measures: DataFrame | None = None,
     as_published: bool = False,
 ) -> DataFrame:
     """Sales of this year against last year, with member KPIs, one row per segment.
 
     ``channel`` is ``online`` or ``offline``; ``grain`` is ``city``, ``maturity`` or ``tier``.
-    ``orders`` are the channel's :func:`orders_of` where they are at hand already.  ``as_published`` keeps the
+    ``measures`` are the channel's :func:`channel_measures` where they are at hand already.  ``as_published`` keeps the
     divergent change formula of the older online reports.
     """
     segment = SEGMENT_COLUMN[grain]
-    measures = order_measures(tables, channel, grain, as_of, orders)
+    if measures is None:
+        measures = order_measures(tables, channel, grain, as_of)
+    else:
+        measures = grain_measures(measures, grain)
     kpi_columns = kpis.kpi_growth_columns()
     if channel == "online":
         # Sales and KPIs come from the same orders, so they share the one aggregation.
