@@ -5,17 +5,23 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loyaltylens.functions import exprs, fixed, periods
-from loyaltylens.operators import cities, identity, kpis
+from loyaltylens.operators import bitmaps, cities, identity, kpis
 from loyaltylens.operators import penetration as ops
 from loyaltylens.operators.joins import lookup_join
-from loyaltylens.plans import location, penetration, scorecards
+from loyaltylens.plans import location, penetration, scorecards, state
+from loyaltylens.sources import rejects
 from loyaltylens.sources.retail_binding import AS_OF, FOOTFALL_ROWS, RetailBinding
-from loyaltylens.sources.tables import refresh, with_audit_columns
+from loyaltylens.sources.tables import current, refresh, with_audit_columns
+
+# Where the queries over saved state split the days into two runs.
+FIRST_ORDER_DAYS = date(2000, 3, 31)
+FIRST_LOG_DAYS, LAST_LOG_DAY = date(2024, 1, 15), date(2999, 12, 31)
 
 Query = Callable[[RetailBinding], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -479,6 +485,41 @@ def channel_measures_offline(t: RetailBinding) -> DataFrame:
     return _channel_measures(t, "offline")
 
 
+DISTINCT_SETS = ("orders", "member_orders", "member_shoppers")
+
+
+def _monthly_bitmaps(t: RetailBinding) -> DataFrame:
+    """City, month and bitmaps of the online orders and member shoppers of all years."""
+    kept = t["omni"].filter(exprs.eligible((fixed.ONLINE_CHANNEL,), AS_OF) & F.col("if_eff_order_tag"))
+    lines = kept.select(
+        F.col("order_city").alias("city"), F.date_format("order_paid_date", "yyyy-MM").alias("month"),
+        "parent_order_id", "kyid", F.coalesce("is_member_order", F.lit(False)).alias("is_member"),
+    ).distinct()
+    for key, name in (("parent_order_id", "order_number"), ("kyid", "member_number")):
+        lines = bitmaps.with_number(lines, bitmaps.numbered(lines, key, "city"), key, name)
+    member = F.col("is_member")
+    sets = {
+        "orders": ("order_number", F.lit(True)),
+        "member_orders": ("order_number", member),
+        "member_shoppers": ("member_number", member),
+    }
+    return bitmaps.distinct_bitmaps(lines, ["city", "month"], sets)
+
+
+@query
+def distinct_by_city_month(t: RetailBinding) -> DataFrame:
+    """Distinct counts per city and month."""
+    return bitmaps.distinct_counts(_monthly_bitmaps(t), ["city", "month"], DISTINCT_SETS)
+
+
+@query
+def distinct_merged_by_tier_year(t: RetailBinding) -> DataFrame:
+    """The same bitmaps merged to tiers, a total and years: nothing is counted twice and no order is read for it."""
+    yearly = bitmaps.merged(_monthly_bitmaps(t).withColumn("year", F.left("month", F.lit(4))), ["city", "year"], DISTINCT_SETS)
+    labelled = cities.tier_labelled(yearly, cities.city_tiers(t["city_tier"]), city="city")
+    return bitmaps.distinct_counts(labelled, ["city_tier", "year"], DISTINCT_SETS)
+
+
 @query
 def sales_ty_online(t: RetailBinding) -> DataFrame:
     return _sales(t, "online", "tier")
@@ -576,17 +617,106 @@ def scorecard_online_tier_as_published(t: RetailBinding) -> DataFrame:
 # -- writing ---------------------------------------------------------------------------------------
 
 
+def _shared(t: RetailBinding) -> str:
+    """A new folder in the one that ``spark.checkpoint.dir`` names; a temporary one only where that is unset, as in tests."""
+    shared = t["store"].sparkSession.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="refresh-")
+    return f"{shared}/refresh_{uuid.uuid4().hex}"
+
+
+def _loaded(written: DataFrame) -> DataFrame:
+    return written.withColumn("loaded", F.col("dl_load_time").isNotNull().cast("bigint")).drop("dl_load_time")
+
+
+# These write while they are built, in the folder that ``spark.checkpoint.dir`` names or the session's catalog.
+WRITERS = {
+    "refresh_round_trip", "refresh_table_round_trip", "located_from_state", "registered_not_purchased_from_state",
+    "member_base_from_state",
+}
+
+
 @query
 def refresh_round_trip(t: RetailBinding) -> DataFrame:
-    """A report written twice and read back: the second content replaces the first one whole.
+    """Member purchases written twice and read back: the second content replaces the first one whole."""
+    report, target = member_transactions(t), _shared(t)
+    refresh(report.filter("trans_fiscal_year < 1995"), target, as_of=AS_OF)
+    refresh(report, target, as_of=AS_OF)
+    return _loaded(current(report.sparkSession, target))
 
-    Unlike the other queries this one writes while it is built, in the folder that ``spark.checkpoint.dir`` names.
-    """
-    tiers = cities.city_tiers(t["city_tier"])
-    spark = tiers.sparkSession
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="refresh-")
-    target = f"{shared}/refresh_{uuid.uuid4().hex}"
-    refresh(tiers.filter("city_tier = 'T1'"), target, as_of=AS_OF)
-    refresh(tiers, target, as_of=AS_OF)
-    loaded = F.col("dl_load_time").isNotNull().cast("bigint").alias("loaded")
-    return spark.read.parquet(target).select("city_cn", "city_tier", "dl_batch_date", loaded)
+
+@query
+def refresh_table_round_trip(t: RetailBinding) -> DataFrame:
+    """The same into a catalog table whose columns stand in another order."""
+    report, name = member_transactions(t), f"purchases_{uuid.uuid4().hex}"
+    backwards = report.filter("trans_fiscal_year < 1995").select(*reversed(report.columns))
+    refresh(backwards, name, as_table=True, as_of=AS_OF)
+    refresh(report, name, as_table=True, as_of=AS_OF, keep=1)
+    return _loaded(report.sparkSession.table(name))
+
+
+# -- state that grows by the day ---------------------------------------------------------------------
+
+
+@query
+def located_from_state(t: RetailBinding) -> DataFrame:
+    """Located members from the newest values of two runs; the second one reads the days after the first only."""
+    target = _shared(t)
+    log = t["prop_log"].withColumn("day", F.col("update_time").cast("date"))
+    for until in FIRST_LOG_DAYS, LAST_LOG_DAY:
+        state.advance_newest(log, t["segment_map"], target, until)
+    return state.located_members(current(log.sparkSession, target), t["segment_map"])
+
+
+def _purchases_from_state(t: RetailBinding) -> DataFrame:
+    target = _shared(t)
+    lists = {"age": ops.adult_skus(t["product"])}
+    for until in FIRST_ORDER_DAYS, AS_OF - timedelta(days=1):
+        state.advance_purchases(t["omni"], lists, target, until)
+    return state.buyers(current(t["omni"].sparkSession, target), t["crm"])
+
+
+@query
+def registered_not_purchased_from_state(t: RetailBinding) -> DataFrame:
+    """The anti-join reads who ever bought from the state of two runs, no orders."""
+    return identity.registered_not_purchased(t["member"], _purchases_from_state(t))
+
+
+@query
+def member_base_from_state(t: RetailBinding) -> DataFrame:
+    """Member base and shoppers per city from the state of two runs."""
+    profile = penetration.profile_by_age(_purchases_from_state(t))
+    return penetration.city_members(t, profile, _bands(t)).withColumnRenamed("city", "city_cn")
+
+
+# -- rows that do not fit ------------------------------------------------------------------------------
+
+
+def _raw_lines(t: RetailBinding) -> DataFrame:
+    """Order lines as a source may deliver them: all text, with ids of letters, amounts too large and days that are none."""
+    return t.raw("orders").selectExpr(
+        "case when o_orderstatus = 'P' then concat('C', cast(o_custkey as string)) else cast(o_custkey as string) end member_detail_id",
+        "case when o_orderpriority = '1-URGENT' then concat(cast(o_orderkey as string), '0000000000000')"
+        " else cast(o_totalprice as string) end order_rrp_amt",
+        "case when o_orderkey % 50 = 0 then '2001-02-30' when o_orderkey % 51 = 0 then null"
+        " else cast(cast(o_orderdate as date) as string) end order_paid_date",
+    )
+
+
+RAW_SCHEMA = "member_detail_id bigint, order_rrp_amt decimal(18,6), order_paid_date date"
+
+
+@query
+def reject_reasons(t: RetailBinding) -> DataFrame:
+    """How many rows do not fit, by column and type, and how many fit."""
+    checked = rejects.checked(_raw_lines(t), RAW_SCHEMA)
+    counts = rejects.reasons(rejects.rejected(checked)).select("column_name", "expected", "row_count")
+    good = rejects.accepted(checked).agg(F.count(F.lit(1)).alias("row_count"))
+    return counts.unionByName(good.select(F.lit("all").alias("column_name"), F.lit("fits").alias("expected"), "row_count"))
+
+
+@query
+def accepted_rows(t: RetailBinding) -> DataFrame:
+    """The rows that fit, cast."""
+    good = rejects.accepted(rejects.checked(_raw_lines(t), RAW_SCHEMA))
+    return good.groupBy("order_paid_date").agg(
+        _lines(), exprs.as_double(F.sum("order_rrp_amt")).alias("amount"), F.max("member_detail_id").alias("last_member")
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loyaltylens.functions import fixed
@@ -31,7 +31,7 @@ def resolve_identity(orders: DataFrame, crm: DataFrame, spread: tuple[str, ...]
     return matched.withColumn("omni_member_id", resolved).drop("_crm_key", "_crm_id")
 
 
-def member_references(orders: DataFrame, *also: str) -> DataFrame:
+def member_references(orders: DataFrame, *also: str | Column) -> DataFrame:
     """Order columns that decide the member id, with ``also``; all NULL where the id kind names no member."""
     known = known_kind(F.col("type_name"))
     return orders.select(

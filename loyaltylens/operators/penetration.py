@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
 
@@ -108,24 +109,40 @@ def buyer_profile(
     )
 
 
-def buyer_profiles(orders: DataFrame, crm: DataFrame, lists: dict[str, AdultList]) -> DataFrame:
-    """One row per order city and member id, with ``<name>_bought_kids`` and ``<name>_bought_adult`` for each list."""
+REFERENCE = ("order_city", "type_name", "type_value", "crm_member_detail_id")
+
+
+def purchase_references(orders: DataFrame, lists: Mapping[str, AdultList]) -> DataFrame:
+    """One row per order city and customer reference: the first day, and ``<name>_bought_kids`` and
+    ``<name>_bought_adult`` for each list."""
     lines, flags = orders, []
     for name, adult in lists.items():
         named = {"is_kids": f"{name}_bought_kids", "is_adult": f"{name}_bought_adult"}
         lines = with_buyer_flags(lines, adult).withColumnsRenamed(named)
         flags += named.values()
-    references = (
-        member_references(lines, *flags)
-        .groupBy("order_city", "type_name", "type_value", "crm_member_detail_id")
-        .agg(*(F.max(f).alias(f) for f in flags))
-    )
+    return merged_references(member_references(lines, F.col("order_paid_date").alias("first_paid"), *flags))
+
+
+def merged_references(references: DataFrame) -> DataFrame:
+    """References that may repeat, added up: the first day and everything that was bought."""
+    flags = [c for c in references.columns if c not in (*REFERENCE, "first_paid")]
+    return references.groupBy(*REFERENCE).agg(F.min("first_paid").alias("first_paid"), *(F.max(f).alias(f) for f in flags))
+
+
+def people_of(references: DataFrame, crm: DataFrame) -> DataFrame:
+    """One row per order city and member id, from the rows of :func:`purchase_references`."""
+    flags = [c for c in references.columns if c not in (*REFERENCE, "first_paid")]
     people = resolve_identity(references, crm)
     return people.groupBy(F.col("order_city").alias("city"), "omni_member_id").agg(
-        *(F.max(F.coalesce(f, F.lit(False))).alias(f) for f in flags)
+        F.min("first_paid").alias("first_paid"), *(F.max(F.coalesce(f, F.lit(False))).alias(f) for f in flags)
     )
 
 
+def buyer_profiles(orders: DataFrame, crm: DataFrame, lists: Mapping[str, AdultList]) -> DataFrame:
+    """One row per order city and member id, with ``<name>_bought_kids`` and ``<name>_bought_adult`` for each list."""
+    return people_of(purchase_references(orders, lists), crm).drop("first_paid")
+
+
 def _distinct_members(condition: str) -> Column:
     return F.expr(f"count(distinct omni_member_id) filter (where {condition})")
 

@@ -9,8 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from loyaltylens.plans import location, penetration, scorecards
-from loyaltylens.sources.schemas import LOCATED_SCHEMA
-from loyaltylens.sources.tables import refresh, saved
+from loyaltylens.sources.tables import current, refresh, saved
 
 CHANNELS = ("online", "offline")
 GRAINS = ("city", "maturity", "tier")
@@ -37,7 +36,7 @@ def refresh_reports(
     located = location.segment_members(tables["prop_log"], tables["segment_map"])
     write("located_members", located)
     spark = located.sparkSession
-    read = spark.table(place("located_members")) if as_tables else spark.read.schema(LOCATED_SCHEMA).parquet(place("located_members"))
+    read = spark.table(place("located_members")) if as_tables else current(spark, place("located_members"))
     tables = ChainMap({"located": read}, tables)
     with saved(penetration.both_profiles(tables, as_of)) as both:
         write("penetration_city", penetration.penetration_city(tables, as_of, penetration.profile_by_age(both)))

@@ -33,16 +33,17 @@ def newest_log(log: DataFrame, segment_map: DataFrame, id_prop: str = fixed.CRM_
     return newest_values(rows, in_segment)
 
 
-def _last_batch(rows: DataFrame, log: DataFrame) -> DataFrame:
+def _last_batch(rows: DataFrame, log: DataFrame, segment_map: DataFrame) -> DataFrame:
     """Rows of the newest batch of their segment.  The batches take a scan of two columns, added up per task: one
     segment may hold most of the log, so it is not ranked in one task."""
-    batches = log.groupBy(F.col("prop_key").alias("_key")).agg(F.max("update_time").alias("_time"))
+    wanted = segment_map.select("prop_key").distinct()
+    batches = lookup_join(log, wanted, {"prop_key": "prop_key"}, how="left_semi").groupBy(F.col("prop_key").alias("_key")).agg(F.max("update_time").alias("_time"))
     return lookup_join(rows, batches, {"prop_key": "_key", "update_time": "_time"}, how="left_semi")
 
 
 def _one_city(rows: DataFrame, log: DataFrame, segment_map: DataFrame, *also: str) -> DataFrame:
     """The smallest city name per segment and user.  Whoever is in the newest batch has his newest row there."""
-    placed = _with_cities(_last_batch(rows, log), segment_map)
+    placed = _with_cities(_last_batch(rows, log, segment_map), segment_map)
     return placed.groupBy("prop_key", "gio_id", *also).agg(F.min("city_cn").alias("city_cn"))
 
 
@@ -59,14 +60,19 @@ def latest_attribute(log: DataFrame, prop_key: str) -> DataFrame:
 
 
 def segment_members(log: DataFrame, segment_map: DataFrame, id_prop: str = fixed.CRM_ID_PROPERTY) -> DataFrame:
-    """Segment, city and member id of located users whose member id is known.
+    """Segment, city and member id of located users whose member id is known."""
+    return members_of_newest(newest_log(log, segment_map, id_prop), log, segment_map, id_prop)
+
+
+def members_of_newest(newest: DataFrame, batches: DataFrame, segment_map: DataFrame, id_prop: str) -> DataFrame:
+    """Located members from the newest rows per property and user; ``batches`` holds the newest time of each segment.
 
     A user's newest rows, no more than there are segments, come together once and carry the member id along.
     """
-    newest = newest_log(log, segment_map, id_prop)
     own = F.collect_list(F.struct("prop_key", "update_time", "prop_value")).alias("own")
     member_id = F.filter("own", lambda p: p["prop_key"] == id_prop)
     segments = F.filter("own", lambda p: p["prop_value"] == fixed.IN_SEGMENT)
     users = newest.groupBy("gio_id").agg(own).filter(F.size(member_id) > 0)
     rows = users.select("gio_id", member_id[0]["prop_value"].alias("crm_member_id"), F.inline(segments))
-    return _one_city(rows, log, segment_map, "crm_member_id").select("prop_key", "city_cn", "crm_member_id").distinct()
+    placed = _one_city(rows, batches, segment_map, "crm_member_id")
+    return placed.select("prop_key", "city_cn", "crm_member_id").distinct()

@@ -5,11 +5,12 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows_of
 
 from loyaltylens.operators import cities, identity, joins
 from loyaltylens.operators import penetration as ops
-from loyaltylens.operators.latest import latest_batch, latest_row
+from loyaltylens.operators.latest import latest_batch, newest_values
 from loyaltylens.plans import location, penetration
 
 NOON, LATER = datetime(2024, 1, 1, 12), datetime(2024, 1, 2, 12)
@@ -50,10 +51,10 @@ def test_latest_batch_keeps_ties_and_looks_at_the_flag_afterwards(table):
     assert {r.gio_id for r in location.newest_segment_rows(log, segments).collect()} == {"3"}
 
 
-def test_latest_row_breaks_ties_the_same_way(table):
+def test_newest_values_break_ties_the_same_way(table):
     rows = log_rows((1, "p", "b", LATER), (1, "p", "a", LATER), (1, "p", "c", NOON), (2, "p", "z", None))
     for order in (rows, rows[::-1]):
-        newest = latest_row(table("prop_log", order), ["gio_id"], "update_time", ["prop_value"])
+        newest = newest_values(table("prop_log", order), F.lit(False))
         assert [(r.gio_id, r.prop_value) for r in newest.collect()] == [("1", "a")]
 
 
