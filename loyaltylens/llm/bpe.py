@@ -135,7 +135,10 @@ class RankArrays:
             alive[at + 1] = False
             moved = at - np.arange(len(at))
             symbols, owner, rank = symbols[alive], owner[alive], rank[alive]
-            touched = np.unique(np.r_[moved, moved[moved > 0] - 1])
+            near = np.zeros(len(symbols), bool)
+            near[moved] = True
+            near[moved[moved > 0] - 1] = True
+            touched = np.flatnonzero(near)
             rank[touched] = self._ranked(symbols, owner, touched)
         symbols = np.concatenate([s for s, _ in done]) if done else symbols
         owner = np.concatenate([o for _, o in done]) if done else owner
