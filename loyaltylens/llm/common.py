@@ -38,11 +38,22 @@ def ascii_lower(text: Column | str) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a temporary one only where it is unset, as in tests."""
+    """The folder that ``spark.checkpoint.dir`` names; a temporary one only on one machine, where it is unset, as in
+    tests."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return folder or "file://" + tempfile.mkdtemp(prefix="shared-")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores in front as it takes to differ from every column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it again: later steps neither compute it a second
     time nor need the executors that made it."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loyaltylens.llm.common import ascii_lower, keep, texts
+from loyaltylens.llm.common import ascii_lower, keep, texts, unused
 
 # A chunk ends at the first sentence or line end after MIN_CHUNK characters, or after MAX_CHUNK at the latest, so
 # that texts that differ in one place have the same chunks again soon behind it.
@@ -76,9 +76,10 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Of documents without an id whose texts are equal, one stays if no document with an id has the text.
     """
     found = exact_dedup(docs, id_col, text_col).filter("kept")
-    kept = found.select(F.col("doc_id").alias("llm_id"), F.col("text_sha256").alias("llm_hash"))
+    kept = found.select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_hash"))
     own_hash = F.sha2(ascii_lower(F.coalesce(docs[text_col], F.lit(""))).cast("binary"), 256)
-    hashed = docs.withColumn("llm_own_hash", own_hash)
-    same = hashed[id_col].eqNullSafe(kept["llm_id"]) & (hashed["llm_own_hash"] == kept["llm_hash"])
-    left = hashed.join(kept, same, "left_semi").dropDuplicates([id_col, "llm_own_hash"])
+    name = unused(docs, "hash")
+    hashed = docs.withColumn(name, own_hash)
+    same = hashed[id_col].eqNullSafe(kept["kept_id"]) & (hashed[name] == kept["kept_hash"])
+    left = hashed.join(kept, same, "left_semi").dropDuplicates([id_col, name])
     return left.select(*docs.columns)

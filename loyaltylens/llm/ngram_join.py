@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loyaltylens.llm.common import keep, pieces
+from loyaltylens.llm.common import keep, pieces, unused
 from loyaltylens.llm.components import connected_components
 from loyaltylens.llm.hashing import joined, mixed, split_words, windows
 
@@ -61,34 +61,60 @@ def band_edges() -> np.ndarray:
 @dataclass(frozen=True)
 class Scheme:
     """How sets are indexed for pairs whose smaller set is in one band: ``whole`` segments as they are and ``cut``
-    segments also with each one element left out."""
+    segments also with each one element left out.
+
+    What a set holds in a segment is an entry of the index; that it holds nothing there is one only if it has to be.  A pair
+    differs in at most H elements.  A whole segment that is not empty, and a cut one of two elements or more counted
+    twice, add up to a set's weight: if that exceeds H, the set agrees with every similar one in an entry that is not
+    empty.  Unrelated sets, which mostly agree where both hold nothing, then do not meet.
+    """
 
     band: int
     low: int
-    high: int
+    top: int  # largest smaller set
+    high: int  # largest larger set
     whole: int
     cut: int
 
-    def entries(self, elements: np.ndarray) -> np.ndarray:
+    def entries(self, elements: np.ndarray, similarity: Similarity) -> np.ndarray:
         segments = self.whole + self.cut
         segment = (mixed(elements ^ np.uint64(self.band + 1)) % np.uint64(segments)).astype(np.int64)
         value = mixed(elements)
         sums = np.zeros(segments, np.uint64)
         np.add.at(sums, segment, value)
         name = mixed(np.arange(segments, dtype=np.uint64) + np.uint64(self.band << 32))
+        n = len(elements)
+        partner = similarity.largest(n) if n <= self.top else self.top
+        held = np.bincount(segment, minlength=segments)
+        weight = np.minimum(held[self.cut :], 1).sum() + np.minimum(held[: self.cut], 2).sum()
+        all_of_them = weight <= similarity.distance(n + partner)
         full = joined(name, sums)
+        if not all_of_them:
+            full = full[held > 0]
         if not self.cut:
             return full
-        inside = segment < self.cut
+        inside = (segment < self.cut) & ((held[segment] > 1) | all_of_them)
         return np.r_[full, joined(name[segment[inside]], sums[segment[inside]] - value[inside])]
 
 
-def allocate(counts: dict[int, int], similarity: Similarity, pair_cost: float = 0.05) -> dict[int, Scheme]:
+def spare_segments(whole: int, cut: int, size: int, reach: int) -> int:
+    """How many more whole segments give sets of ``size`` elements a weight above ``reach`` but for rare cases."""
+    spare = 0
+    while True:
+        mean = size / (whole + spare + cut)
+        lost = (whole + spare) * math.exp(-mean) + cut * (2 + mean) * math.exp(-mean)
+        if whole + spare + 2 * cut - lost - 4 * math.sqrt(lost) > reach or spare > size:
+            return spare
+        spare += max(1, spare // 8)
+
+
+def allocate(counts: dict[int, int], similarity: Similarity, pair_cost: float = 1e-4) -> dict[int, Scheme]:
     """The cheapest scheme of each band, given the number of sets in it.
 
     A cost is the number of entries, plus that of the pairs that meet by chance, which grow with the square of the
-    sets but of which only sketches are compared: unrelated sets agree in a segment mostly when it is empty in both (or all but empty, where one element may
-    be left out).  Cut segments need fewer, larger segments but many more entries, so they pay where sets are many.
+    sets: unrelated sets agree in a segment when it is empty in both (or all but empty, where one element may be
+    left out), but only the rare sets without the weight for it have such entries.  Cut segments need fewer, larger
+    segments but many more entries, so they pay where sets are many.
     """
     edges = band_edges()
     found = {}
@@ -101,12 +127,13 @@ def allocate(counts: dict[int, int], similarity: Similarity, pair_cost: float =
         best = None
         for cut in range((reach + 1 + 1) // 2 + 1):
             whole = max(0, reach + 1 - 2 * cut)
+            whole += spare_segments(whole, cut, high, reach) if cut in (0, (reach + 2) // 2) or reach < 64 else reach // 8
             mean = (low + high) / 2 / (whole + cut)
             entries = sets * (whole + cut * (1 + mean))
             chance = math.exp(-2 * mean) * (whole + cut * (1 + 2 * mean))
             cost = entries + pair_cost * sets * sets / 2 * chance
             if best is None or cost < best[0]:
-                best = (cost, Scheme(band, low, similarity.largest(high), whole, cut))
+                best = (cost, Scheme(band, low, high, similarity.largest(high), whole, cut))
         found[band] = best[1]
     return found
 
@@ -169,7 +196,7 @@ def _set_hash(elements: np.ndarray, salt: int) -> np.uint64:
     return mixed(np.array([total + np.uint64(len(elements))], dtype=np.uint64))[0]
 
 
-def index_entries(rows: DataFrame, size: int, salt: int, schemes: dict[int, Scheme]) -> DataFrame:
+def index_entries(rows: DataFrame, similarity: Similarity, salt: int, schemes: dict[int, Scheme]) -> DataFrame:
     """(entry, node) of every set, in the scheme of its own band and, if it is small enough, of the band below."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +204,7 @@ def index_entries(rows: DataFrame, size: int, salt: int, schemes: dict[int, Sche
         for _, found in pieces(batches):
             entries, nodes = [], []
             for words in split_words(found):
-                elements = shingles(words, size)
+                elements = shingles(words, similarity.size)
                 n = len(elements)
                 node = _set_hash(elements, 2 * salt + 1)
                 if not n or node in seen:
@@ -187,7 +214,7 @@ def index_entries(rows: DataFrame, size: int, salt: int, schemes: dict[int, Sche
                 band = int(np.searchsorted(edges, n, side="right")) - 1
                 for scheme in (schemes.get(band), schemes.get(band - 1)):
                     if scheme and scheme.low <= n <= scheme.high:
-                        own = scheme.entries(elements)
+                        own = scheme.entries(elements, similarity)
                         entries.append(own)
                         nodes.append(np.full(len(own), node, np.uint64))
             if entries:
@@ -293,7 +320,7 @@ def similar_groups(
         salt += 1
     counts = {r["band"]: r["count"] for r in sets.groupBy("band").count().collect()}
     schemes = allocate(counts, similarity)
-    dealt = index_entries(rows, similarity.size, salt, schemes).repartition("entry")
+    dealt = index_entries(rows, similarity, salt, schemes).repartition("entry")
     shared = dealt.groupBy("entry").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     shared = shared.filter("low <> high").select("entry").hint("shuffle_hash")
     found = keep(dealt.join(shared, "entry").select("entry", "node").distinct())
@@ -342,10 +369,11 @@ def without_near_copies(
 ) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows with the same id and text one stays."""
     groups = similar_groups(docs, similarity, id_col, text_col).filter("stays")
-    stay = groups.select(F.col("doc_id").alias("llm_id"), F.col("text_key").alias("llm_key"))
-    keyed = docs.withColumn("llm_own_key", F.xxhash64(F.coalesce(docs[text_col], F.lit(""))))
-    same = keyed[id_col].eqNullSafe(stay["llm_id"]) & (keyed["llm_own_key"] == stay["llm_key"])
-    left = keyed.join(stay, same, "left_semi").dropDuplicates([id_col, "llm_own_key"])
+    key = unused(docs, "key")
+    stay = groups.select(F.col("doc_id").alias("stay_id"), F.col("text_key").alias("stay_key"))
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce(docs[text_col], F.lit(""))))
+    same = keyed[id_col].eqNullSafe(stay["stay_id"]) & (keyed[key] == stay["stay_key"])
+    left = keyed.join(stay, same, "left_semi").dropDuplicates([id_col, key])
     return left.select(*docs.columns)
 
 

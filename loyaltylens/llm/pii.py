@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loyaltylens.llm.common import BLANKS, SPACE_CLASS, ascii_lower, keep, match_spans, span_text, tagged, texts
+from loyaltylens.llm.common import BLANKS, SPACE_CLASS, ascii_lower, keep, match_spans, span_text, tagged, texts, unused
 
 
 @dataclass(frozen=True)
@@ -288,11 +288,12 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     column, gets the new length where the text has changed.
     """
     found = find_pii(docs, id_col, text_col).filter(F.size("found") > 0).dropDuplicates(["doc_id", "text_hash"])
+    own_id, own_hash, spans, redacted = (unused(docs, n) for n in ("span_id", "span_hash", "spans", "redacted"))
     found = found.select(
-        F.col("doc_id").alias("llm_id"), F.col("text_hash").alias("llm_hash"), F.col("found").alias("llm_found")
+        F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash), F.col("found").alias(spans)
     )
     own = F.coalesce(docs[text_col], F.lit(""))
-    same = F.col(id_col).eqNullSafe(F.col("llm_id")) & (F.xxhash64(own) == F.col("llm_hash"))
+    same = F.col(id_col).eqNullSafe(F.col(own_id)) & (F.xxhash64(own) == F.col(own_hash))
     joined = docs.join(found, same, "left")
     text = F.col(text_col)
 
@@ -305,14 +306,14 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
             F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], gap, mark)).alias("out"),
         )
 
-    by_start = F.array_sort(F.transform("llm_found", lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"])))
+    by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"])))
     first = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
     done = F.aggregate(by_start, first, step)
     clean = F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text)))
-    changed = joined.withColumn("llm_text", F.when(F.col("llm_found").isNotNull(), clean).otherwise(text))
+    changed = joined.withColumn(redacted, F.when(F.col(spans).isNotNull(), clean).otherwise(text))
     kept = [
-        F.col("llm_text").alias(c) if c == text_col
-        else F.when(F.col("llm_found").isNotNull(), F.length("llm_text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c)
+        F.col(redacted).alias(c) if c == text_col
+        else F.when(F.col(spans).isNotNull(), F.length(redacted)).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c)
         if c == length_col else F.col(c)
         for c in docs.columns
     ]

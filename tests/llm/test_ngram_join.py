@@ -101,7 +101,7 @@ def test_entries_cover_every_pair_within_the_distance():
                 assert shared == union
             else:
                 assert scheme.low <= len(a) <= scheme.high and scheme.low <= len(b) <= scheme.high
-                assert set(scheme.entries(a).tolist()) & set(scheme.entries(b).tolist())
+                assert set(scheme.entries(a, similarity).tolist()) & set(scheme.entries(b, similarity).tolist())
 
 
 def test_kept_rows_columns_ties_and_missing_ids(docs):
