@@ -6,15 +6,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, on: dict[str, str], *, how: str = "left") -> DataFrame:
+def lookup_join(
+    facts: DataFrame, lookup: DataFrame, on: dict[str, str], *, how: str = "left", tasks_per_key: int = 1
+) -> DataFrame:
     """Join facts to a lookup; ``on`` maps fact columns to lookup columns, which are dropped.
 
     A plain equi-join, so nothing runs while a report is built.  Spark broadcasts the lookup if its size, known or
     measured at run time, is small, and else shuffles both sides and splits partitions that turn out too large.
+
+    Facts that a left join keeps although their key is missing get stand-ins, so that they spread over all tasks.  With
+    ``tasks_per_key`` the facts of every key are dealt to so many tasks and the lookup is repeated for each: for a small
+    lookup where one key may hold most facts and the engine does not split partitions.
     """
     keys = {right: f"_lookup_{right}" for right in on.values()}
-    condition = _all_equal({left: keys[r] for left, r in on.items()})
-    return facts.join(lookup.withColumnsRenamed(keys), condition, how).drop(*keys.values())
+    others, kinds = lookup.withColumnsRenamed(keys), dict(facts.dtypes)
+    condition = F.lit(True)
+    for left, right in on.items():
+        key = F.col(left)
+        if how == "left" and kinds.get(left) == "string":
+            # The stand-in of a missing key holds characters of a private area before its number.
+            key = F.coalesce(key, F.concat(F.lit("\ue000missing "), F.xxhash64(*facts.columns).cast("string")))
+        condition = condition & (key == F.col(keys[right]))
+    drop = list(keys.values())
+    if tasks_per_key > 1:
+        facts = facts.withColumn("_part", F.pmod(F.xxhash64(*facts.columns), F.lit(tasks_per_key)))
+        parts = F.array(*(F.lit(n).cast("bigint") for n in range(tasks_per_key)))
+        others = others.withColumn("_lookup_part", F.explode(parts))
+        condition = condition & (F.col("_part") == F.col("_lookup_part"))
+        drop += ["_part", "_lookup_part"]
+    return facts.join(others, condition, how).drop(*drop)
 
 
 def _all_equal(pairs: dict[str, str]) -> Column:
