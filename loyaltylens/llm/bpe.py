@@ -30,6 +30,15 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NO_RANK = 1 << 40
 
 
+def leaves_plain(text: str) -> bool:
+    """Is there a character that the plain expression does not cover?  None is below U+0100, which is quick to see."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return PLAIN_ONLY.search(text) is not None
+    return False
+
+
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -80,7 +89,7 @@ class WordVocabulary:
 
     def pieces(self, text: str) -> list[str]:
         """The normalised pieces of a text; a special string is a piece of its own."""
-        if PLAIN_ONLY.search(text) or any(s in text for s in self.special):
+        if leaves_plain(text) or any(s in text for s in self.special):
             found = []
             for part in self._special.split(text):
                 if part in self.special:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -50,10 +51,17 @@ def directions() -> np.ndarray:
     return np.random.default_rng(20).standard_normal((FEATURES, DIMENSIONS))
 
 
+@cache
+def features(count: int) -> np.ndarray:
+    """The hashed feature of every token id."""
+    return (np.arange(count, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)).astype(np.int64)
+
+
 def curve_keys(ids: np.ndarray, owner: np.ndarray, rows: int) -> np.ndarray:
     """Key of each document from its token ids: hashed counts, damped, scaled to length one and projected."""
-    feature = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)
-    counts = np.bincount(owner * FEATURES + feature.astype(np.int64), minlength=rows * FEATURES)
+    # As many features as ids of the type can name, at most 65,536 for ids of two bytes.
+    known = features(1 << 16) if ids.itemsize == 2 else features(int(ids.max(initial=0)) + 1)
+    counts = np.bincount(owner * FEATURES + known[ids], minlength=rows * FEATURES)
     vectors = np.log1p(counts.reshape(rows, FEATURES))
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
     # A projected unit vector has about standard normal coordinates; the ends of the scale are far out.
@@ -101,11 +109,12 @@ def pack(
     that no bucket holds much more than its share.  The driver only adds up one number per bucket.
     """
     rows = keep(tokenised(docs, vocabulary, end_id, id_col, text_col))
-    total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # One pass for the total and a fine grid of quantiles, of which as many are taken as there are buckets.
+    grid = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
+    total, bounds = rows.agg(F.coalesce(F.sum("n"), F.lit(0)), F.percentile_approx("place", grid, 20_000)).first()
     buckets = min(MAX_BUCKETS, max(1, math.ceil(total / BUCKET_TOKENS)))
-    shares = [i / buckets for i in range(1, buckets)]
-    bounds = rows.agg(F.percentile_approx("place", shares or [0.5], 20_000)).first()[0] if total and shares else []
-    cuts = np.unique(np.array(bounds or [], dtype=np.int64))
+    chosen = [bounds[i * MAX_BUCKETS // buckets - 1] for i in range(1, buckets)] if total else []
+    cuts = np.unique(np.array(chosen, dtype=np.int64))
 
     @F.pandas_udf("int")
     def bucket_of(place: pd.Series) -> pd.Series:
