@@ -59,8 +59,7 @@ def features(count: int) -> np.ndarray:
 
 def curve_keys(ids: np.ndarray, owner: np.ndarray, rows: int) -> np.ndarray:
     """Key of each document from its token ids: hashed counts, damped, scaled to length one and projected."""
-    # As many features as ids of the type can name, at most 65,536 for ids of two bytes.
-    known = features(1 << 16) if ids.itemsize == 2 else features(int(ids.max(initial=0)) + 1)
+    known = features(1 << max(16, int(ids.max(initial=0)).bit_length()))
     counts = np.bincount(owner * FEATURES + known[ids], minlength=rows * FEATURES)
     vectors = np.log1p(counts.reshape(rows, FEATURES))
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
