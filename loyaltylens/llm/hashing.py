@@ -2,28 +2,11 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 import numpy as np
-import xxhash
 
-CACHE_WORDS = 300_000  # hashes held per task; the cache starts anew beyond it
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype=np.uint64)
 
 
-class WordHashes(dict):
-    """64-bit hash by word."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit over all."""
     values = (values ^ (values >> np.uint64(30))) * MULTIPLIERS[1]
@@ -51,16 +34,24 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
-@cache
+HELD = 1 << 21  # powers kept by a worker, of each base; those of longer texts are made anew
+_powers: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, count: int) -> np.ndarray:
     """The first ``count`` powers of an odd number, modulo 2**64."""
-    found = np.ones(count, np.uint64)
+    held = _powers.get(base)
+    if held is not None and len(held) >= count:
+        return held[:count]
+    found = np.ones(max(count, min(HELD, 1 << 20)), np.uint64)
     done = 1
-    while done < count:
-        more = min(done, count - done)
+    while done < len(found):
+        more = min(done, len(found) - done)
         found[done : done + more] = found[:more] * np.uint64(pow(base, done, 1 << 64))
         done += more
-    return found
+    if len(found) <= HELD:
+        _powers[base] = found
+    return found[:count]
 
 
 def word_hashes(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -73,9 +64,9 @@ def word_hashes(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     space = IS_SPACE[data]
     change = np.flatnonzero(space[1:] != space[:-1]) + 1
     starts, ends = change[::2], change[1::2]
-    size = 1 << (len(data) - 1).bit_length()
+    size = len(data)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_VALUES[data] * powers(BASE, size)[: len(data)], out=sums[1:])
+    np.cumsum(BYTE_VALUES[data] * powers(BASE, size), out=sums[1:])
     hashes = mixed((sums[ends] - sums[starts]) * powers(INVERSE, size)[starts] + (ends - starts).astype(np.uint64))
     after = np.cumsum([len(t) + 1 for t in found]) + 1
     return hashes, np.diff(np.r_[0, np.searchsorted(starts, after)])
