@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loyaltylens.llm.bpe import piece_bytes
@@ -17,7 +17,8 @@ from loyaltylens.llm.common import keep, pieces, texts
 
 FEATURES, DIMENSIONS, BITS = 256, 3, 16  # hashed features, dimensions they are projected to, bits of each
 TIE_BITS = 63 - DIMENSIONS * BITS  # spread documents at the same point over many keys
-BUCKET_TOKENS, MAX_BUCKETS = 1 << 20, 4096  # a bucket of the curve is written by one task, in a stream
+BUCKET_TOKENS = 1 << 20  # a bucket of the curve is written by one task, in a stream
+GRID = 4096  # quantiles that are found at a time
 
 
 def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -94,6 +95,37 @@ def tokenised(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_c
     return coded.withColumn("place", F.shiftleft("key", TIE_BITS).bitwiseOR(tie)).drop("key")
 
 
+def interval_of(bounds: np.ndarray) -> Callable[[str], Column]:
+    """Which of the intervals between the bounds a place lies in."""
+
+    @F.pandas_udf("int")
+    def interval(place: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, place.to_numpy(), side="right"), dtype="int32")
+
+    return interval
+
+
+def bucket_bounds(rows: DataFrame) -> np.ndarray:
+    """Where to cut the curve for buckets of about BUCKET_TOKENS tokens, however many that makes.
+
+    One pass gives the total and a grid of quantiles of the places, of which as many are taken as there are
+    buckets.  If the grid has too few, each of its parts is cut at quantiles of its own in a second pass.
+    """
+    grid = [i / GRID for i in range(1, GRID)]
+    total, bounds = rows.agg(F.coalesce(F.sum("n"), F.lit(0)), F.percentile_approx("place", grid, 5 * GRID)).first()
+    buckets = max(1, math.ceil(total / BUCKET_TOKENS))
+    if buckets <= GRID:
+        chosen = [bounds[i * GRID // buckets - 1] for i in range(1, buckets)]
+        return np.unique(np.array(chosen, dtype=np.int64))
+    coarse = np.unique(np.array(bounds, dtype=np.int64))
+    finer = math.ceil(buckets / GRID)
+    cuts = [i / finer for i in range(1, finer)]
+    parts = rows.groupBy(interval_of(coarse)("place").alias("part"))
+    within = parts.agg(F.percentile_approx("place", cuts, 20 * finer).alias("bounds"))
+    inner = within.select(F.explode("bounds").alias("bound")).distinct().toPandas()["bound"].to_numpy(np.int64)
+    return np.union1d(coarse, inner)
+
+
 def pack(
     docs: DataFrame, vocabulary: str, length: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -105,26 +137,14 @@ def pack(
     All sequences are full but the last one.
 
     The curve is cut into buckets at quantiles of the places; documents at one point are spread by their id, so
-    that no bucket holds much more than its share.  The driver only adds up one number per bucket.
+    that no bucket holds much more than its share.  A very long document is one row of its bucket.  The driver
+    holds two numbers per bucket of ``BUCKET_TOKENS`` tokens.
     """
     rows = keep(tokenised(docs, vocabulary, end_id, id_col, text_col))
-    # One pass for the total and a fine grid of quantiles, of which as many are taken as there are buckets.
-    grid = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
-    total, bounds = rows.agg(F.coalesce(F.sum("n"), F.lit(0)), F.percentile_approx("place", grid, 20_000)).first()
-    buckets = min(MAX_BUCKETS, max(1, math.ceil(total / BUCKET_TOKENS)))
-    chosen = [bounds[i * MAX_BUCKETS // buckets - 1] for i in range(1, buckets)] if total else []
-    cuts = np.unique(np.array(chosen, dtype=np.int64))
-
-    @F.pandas_udf("int")
-    def bucket_of(place: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, place.to_numpy(), side="right"), dtype="int32")
-
-    dealt = rows.withColumn("bucket", bucket_of("place"))
-    sums = {r["bucket"]: r["n"] for r in dealt.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
-    first, at = {}, 0
-    for bucket in sorted(sums):
-        first[bucket] = at
-        at += sums[bucket]
+    dealt = rows.withColumn("bucket", interval_of(bucket_bounds(rows))("place"))
+    sums = dealt.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas().sort_values("bucket")
+    first = np.zeros(int(sums["bucket"].max()) + 1 if len(sums) else 0, np.int64)
+    first[sums["bucket"].to_numpy(np.int64)] = (sums["n"].cumsum() - sums["n"]).to_numpy(np.int64)
     wide = tokens_kind(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +153,7 @@ def pack(
             out = []
             for doc_id, n, packed, own in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "packed", "bucket"))):
                 if own != bucket:
-                    bucket, at = own, first[own]
+                    bucket, at = own, int(first[own])
                 ids = np.frombuffer(packed, wide).astype("<u4").tobytes()
                 start = 0
                 while start < n:

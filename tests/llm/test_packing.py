@@ -53,6 +53,23 @@ def test_round_trip(docs, monkeypatch, bucket_tokens):
     assert summed == {(r.doc_id, r.start, r.sequence_id, r.offset): zlib.crc32(r.ids) for r in got}
 
 
+@pytest.mark.parametrize("grid", [4096, 8, 2])
+def test_buckets_are_as_many_as_the_tokens_ask_for(spark, monkeypatch, grid):
+    monkeypatch.setattr(packing, "BUCKET_TOKENS", 500)
+    monkeypatch.setattr(packing, "GRID", grid)
+    rows = spark.range(10_000).selectExpr("shiftrightunsigned(xxhash64(id), 1) as place", "5L as n").cache()
+    bounds = packing.bucket_bounds(rows)
+    assert 95 <= len(bounds) + 1 <= 110
+    places = np.array([r.place for r in rows.collect()])
+    held = np.bincount(np.searchsorted(bounds, places, side="right"))
+    assert held.min() > 0 and 5 * held.max() <= 1000
+
+
+def test_round_trip_with_more_buckets_than_quantiles(docs, monkeypatch):
+    monkeypatch.setattr(packing, "GRID", 4)
+    test_round_trip(docs, monkeypatch, 256)
+
+
 def test_no_rows(docs):
     assert pack(docs([]), PATH).count() == 0
 
