@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 # Words are runs of anything but these characters.
 SPACE_CLASS = r"\x20\x09-\x0D"
@@ -54,6 +55,21 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def one_of_each(df: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """The columns ``names`` of one row for each combination of ``keys``: of the row that is smallest in them.
+
+    Rows are compared per task first.  Columns that have no order, such as maps, follow the others."""
+    row = F.struct(*(F.col(f"`{n}`") for n in names))
+    ordered = [F.col(f"`{n}`") for n in names if not _has_no_order(df.schema[n].dataType)]
+    chosen = F.min(row) if len(ordered) == len(names) else F.min_by(row, F.struct(*ordered))
+    found = unused(df, "row")
+    return df.groupBy(*(f"`{k}`" for k in keys)).agg(chosen.alias(found)).select(f"{found}.*")
+
+
+def _has_no_order(kind: DataType) -> bool:
+    return any(word in kind.simpleString() for word in ("map<", "variant", "interval"))
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it again: later steps neither compute it a second
     time nor need the executors that made it."""

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loyaltylens.llm.common import ascii_lower, keep, texts, unused
+from loyaltylens.llm.common import ascii_lower, keep, one_of_each, texts, unused
 
 # A chunk ends at the first sentence or line end after MIN_CHUNK characters, or after MAX_CHUNK at the latest, so
 # that texts that differ in one place have the same chunks again soon behind it.
 MIN_CHUNK, MAX_CHUNK = 256, 2048
+PARTS = 64  # tasks that the documents of one recipe are dealt to
 CHUNK = rf"(?s).{{{MIN_CHUNK},{MAX_CHUNK}}}?[.!?\n]|.{{1,{MAX_CHUNK}}}"
 
 
@@ -32,12 +33,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """doc_id, keep_id, group_size, kept and text_sha256 of every document.
 
     Texts are equal when they are identical after lower-casing A-Z.  The text of a document becomes the ordered
-    list of its chunk identifiers, which is all that is grouped and joined; a group of any size is first added up
-    per task.  Identifiers are verified: if two different chunks share one, the documents that use it are told
+    list of its chunk identifiers, which is all that is grouped and joined.  A group of any size is added up per
+    task and in ``PARTS`` parts, and its documents meet the result of their own part.  Identifiers are verified: if two different chunks share one, the documents that use it are told
     apart by the hash of their text as well.
 
-    A missing text counts as empty.  Rows with the same id and the same text are one document: one row comes back
-    and ``group_size`` counts them all.  Documents without an id are kept only where no equal text has an id.
+    A missing text counts as empty.  Rows that repeat an id and a text come back as often as they are there, all
+    of them kept if their id is.  A very long text is a long list, never compared as a text but by its chunks.
+    Columns other than id and text are not looked at.  Documents without an id are kept only where no equal text has an id.
     """
     normal = texts(docs, id_col, text_col).select("doc_id", ascii_lower("text").alias("normal"))
     recipes = normal.select(
@@ -45,7 +47,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.transform(chunks(F.col("normal")), lambda c: F.xxhash64(c)).alias("recipe"),
         F.sha2(F.col("normal").cast("binary"), 256).alias("text_sha256"),
     )
-    recipes = keep(recipes.groupBy("doc_id", "recipe", "text_sha256").agg(F.count(F.lit(1)).alias("rows")))
+    recipes = keep(recipes)
     shared = keep(ambiguous_ids(normal))
     if shared.isEmpty():
         keyed = recipes.withColumn("told_apart", F.lit(""))
@@ -54,9 +56,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         unsure = unsure.join(shared, "id").select("recipe").distinct().withColumn("unsure", F.lit(True))
         told_apart = F.when(F.col("unsure"), F.col("text_sha256")).otherwise("")
         keyed = recipes.join(unsure, "recipe", "left").withColumn("told_apart", told_apart).drop("unsure")
+    keyed = keyed.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)))
     same = ["recipe", "told_apart"]
-    groups = keyed.groupBy(*same).agg(F.max("doc_id").alias("keep_id"), F.sum("rows").alias("group_size"))
-    return keyed.join(groups, same).select(
+    parts = keyed.groupBy(*same, "part").agg(F.max("doc_id").alias("largest"), F.count(F.lit(1)).alias("rows"))
+    totals = parts.groupBy(*same).agg(F.max("largest").alias("keep_id"), F.sum("rows").alias("group_size"))
+    groups = parts.select(*same, "part").join(totals, same)
+    return keyed.join(groups, [*same, "part"]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
 
@@ -73,7 +78,8 @@ FROM d JOIN g ON d.text_sha256 = g.text_sha256
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that :func:`exact_dedup` keeps, one row each, with all their columns.
 
-    Of documents without an id whose texts are equal, one stays if no document with an id has the text.
+    Of documents without an id whose texts are equal, one stays if no document with an id has the text.  Of rows
+    with the same id and text, the one stays that is smallest in its columns, in their order.
     """
     found = exact_dedup(docs, id_col, text_col).filter("kept")
     kept = found.select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_hash"))
@@ -81,5 +87,4 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     name = unused(docs, "hash")
     hashed = docs.withColumn(name, own_hash)
     same = hashed[id_col].eqNullSafe(kept["kept_id"]) & (hashed[name] == kept["kept_hash"])
-    left = hashed.join(kept, same, "left_semi").dropDuplicates([id_col, name])
-    return left.select(*docs.columns)
+    return one_of_each(hashed.join(kept, same, "left_semi"), [id_col, name], docs.columns)
