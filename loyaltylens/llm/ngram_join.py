@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loyaltylens.llm.common import keep, pieces, unused
+from loyaltylens.llm.common import keep, one_of_each, pieces, unused
 from loyaltylens.llm.components import connected_components
 from loyaltylens.llm.hashing import joined, mixed, split_words, windows
 
@@ -156,17 +156,19 @@ def bits_apart(p: bytes, q: bytes) -> int:
     return int(np.bitwise_count(folded(np.frombuffer(p, np.uint64), words) ^ folded(np.frombuffer(q, np.uint64), words)).sum())
 
 
+TEXT_HASHES = ["text_key", "text_check"]
 FOLDED = [f"s{i}" for i in range(FOLDED_WORDS)]
 
 
 def hashed_sets(rows: DataFrame, size: int, salt: int) -> DataFrame:
-    """doc_id, text_key, n, node and check (two hashes of the set), band and sketch, whole and folded, of each text."""
-    names = ["doc_id", "text_key", "n", "node", "check", "band", "sketch", *FOLDED]
+    """doc_id, two hashes of the text, n, node and check (two of the set), band and sketch, whole and folded, of each
+    text."""
+    names = ["doc_id", *TEXT_HASHES, "n", "node", "check", "band", "sketch", *FOLDED]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = band_edges()
         for batch in batches:
-            keys = batch.column("text_key")
+            keys = [batch.column(h) for h in TEXT_HASHES]
             start = 0
             for ids, found in pieces([batch.select(["doc_id", "text"])]):
                 sets = [shingles(words, size) for words in split_words(found)]
@@ -177,7 +179,7 @@ def hashed_sets(rows: DataFrame, size: int, salt: int) -> DataFrame:
                 short = np.array([folded(s, FOLDED_WORDS) for s in sketches]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids, keys.slice(start, len(found)), pa.array(sizes, pa.int64()), pa.array(node.view(np.int64)),
+                        ids, *(k.slice(start, len(found)) for k in keys), pa.array(sizes, pa.int64()), pa.array(node.view(np.int64)),
                         pa.array(check.view(np.int64)),
                         pa.array(np.searchsorted(edges, sizes, side="right") - 1, pa.int32()),
                         pa.array([s.tobytes() for s in sketches], pa.binary()),
@@ -187,7 +189,7 @@ def hashed_sets(rows: DataFrame, size: int, salt: int) -> DataFrame:
                 )
                 start += len(found)
 
-    kinds = ["bigint"] * 5 + ["int", "binary"] + ["bigint"] * FOLDED_WORDS
+    kinds = ["bigint"] * 6 + ["int", "binary"] + ["bigint"] * FOLDED_WORDS
     return rows.mapInArrow(run, ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds)))
 
 
@@ -266,9 +268,9 @@ def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, similarity: Sim
     sketches leave are moved."""
     near = keep(near_pairs(pairs, sets, similarity))
     nodes = near.select(F.col("x").alias("node")).unionAll(near.select("y")).distinct()
-    wanted = keep(nodes.join(sets.select("node", "text_key"), "node"))
+    wanted = keep(nodes.join(sets.select("node", "text.*"), "node"))
     listed = F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted
-    found = keep(rows.select("text_key", "text").join(listed, "text_key").dropDuplicates(["node"]))
+    found = keep(rows.select(*TEXT_HASHES, "text").join(listed, TEXT_HASHES).dropDuplicates(["node"]))
     first = found.select(F.col("node").alias("x"), F.col("text").alias("text_x"))
     second = found.select(F.col("node").alias("y"), F.col("text").alias("text_y"))
     size, part, whole = similarity.size, similarity.part, similarity.whole
@@ -301,15 +303,16 @@ def similar_groups(
     ``stays`` is true for one row of each group: that with the smallest id, then the smallest text_key.  A missing
     text is empty.  A row without an id counts behind all ids; component_id is missing if the group has no id.
     """
+    text = F.coalesce(docs[text_col], F.lit(""))
     rows = docs.select(
-        docs[id_col].cast("bigint").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"),
-        F.xxhash64(F.coalesce(docs[text_col], F.lit(""))).alias("text_key"),
+        docs[id_col].cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"),
+        F.hash(text).cast("bigint").alias("text_check"),
     )
     salt = 0
     while True:
         members = keep(hashed_sets(rows, similarity.size, salt))
         sets = members.filter("n > 0").groupBy("node", "check", "n", "band").agg(
-            F.min("text_key").alias("text_key"),
+            F.min(F.struct(*TEXT_HASHES)).alias("text"),
             F.min(F.struct(F.isnull("doc_id"), "doc_id", F.col("text_key").alias("own"))).alias("first"),
             F.first("sketch").alias("sketch"), *(F.first(s).alias(s) for s in FOLDED),
         )
@@ -367,14 +370,14 @@ def similar_groups(
 def without_near_copies(
     docs: DataFrame, similarity: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; of rows with the same id and text one stays."""
+    """The rows of ``docs`` that stay, with all their columns; of rows with the same id and text the one
+    stays that is smallest in its columns, in their order."""
     groups = similar_groups(docs, similarity, id_col, text_col).filter("stays")
     key = unused(docs, "key")
     stay = groups.select(F.col("doc_id").alias("stay_id"), F.col("text_key").alias("stay_key"))
     keyed = docs.withColumn(key, F.xxhash64(F.coalesce(docs[text_col], F.lit(""))))
     same = keyed[id_col].eqNullSafe(stay["stay_id"]) & (keyed[key] == stay["stay_key"])
-    left = keyed.join(stay, same, "left_semi").dropDuplicates([id_col, key])
-    return left.select(*docs.columns)
+    return one_of_each(keyed.join(stay, same, "left_semi"), [id_col, key], docs.columns)
 
 
 ORACLE = r"""

@@ -30,3 +30,13 @@ def test_columns_are_carried_along(spark, stage):
     texts = {r["doc_id"]: r["text"] for r in kept}
     if stage is pii.redact:
         assert texts[1] == f"{TEXT} mail <EMAIL>" and texts[3] is None
+
+
+@pytest.mark.parametrize("stage", [exact_dedup.without_copies, ngram_join.without_near_copies], ids=lambda f: f.__name__)
+@pytest.mark.parametrize("tags", ["lang", "map(lang, 1)"])
+def test_of_repeated_rows_the_smallest_stays(spark, stage, tags):
+    rows = [(7, TEXT, lang) for lang in ("fr", "de", None, "en", "de")] + [(8, "other words", "it"), (None, "", "en")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    docs = docs.filter("lang is not null").withColumn("row", F.expr(tags)).repartition(5)
+    found = {(r["doc_id"], r["lang"]) for r in stage(docs).collect()}
+    assert found == {(7, "de"), (8, "it"), (None, "en")} and stage(docs).columns == docs.columns
