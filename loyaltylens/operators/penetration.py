@@ -185,17 +185,17 @@ def located_registrants(located: DataFrame, members: DataFrame) -> DataFrame:
     return places.join(registrants, places.omni_member_id == registrants.member_id, "left_semi")
 
 
-def member_segments(
+MARKS = ("counted", "buyer", "bought", "located")
+
+
+def member_rows(
     registered: DataFrame, buyers: DataFrame, located: DataFrame, segment: str, flags: tuple[str, ...]
 ) -> DataFrame:
-    """Member base and shopper counts per segment from one pass over the three member sources.
+    """The rows of the three member sources, marked with what each says about its member in the segment.
 
     Each source has ``segment`` and ``omni_member_id``.  ``buyers`` also has the ``flags`` to count and
     ``counted``: buyers outside the counted cities only matter because a located member who bought anywhere
-    is no member of the third source.  The rows are reduced to one per segment and member, so the window
-    that spreads "ever bought" over a member's rows never holds more rows than there are segments.
-
-    Result: ``ttl_member_base`` and one count per flag, NULL for a segment without counted buyers.
+    is no member of the third source.
     """
     no, yes = F.lit(False), F.lit(True)
     sources = (
@@ -203,42 +203,104 @@ def member_segments(
         registered.withColumns({"bought": no, "located": no, "buyer": no, "counted": yes, **dict.fromkeys(flags, no)}),
         located.withColumns({"bought": no, "located": yes, "buyer": no, "counted": no, **dict.fromkeys(flags, no)}),
     )
-    marks = ("counted", "buyer", "bought", "located", *flags)
+    marks = (*MARKS, *flags)
     rows = sources[0].select(segment, "omni_member_id", *marks)
     for source in sources[1:]:
         rows = rows.unionByName(source.select(segment, "omni_member_id", *marks))
-    people = rows.groupBy(segment, "omni_member_id").agg(*(F.max(m).alias(m) for m in marks))
-    ever_bought = F.max("bought").over(Window.partitionBy("omni_member_id"))
-    members = people.withColumn("_ever_bought", ever_bought).filter(
+    return rows
+
+
+def _counted_once(rows: DataFrame, flags: tuple[str, ...], *keys: str, segment: str) -> DataFrame:
+    """One row per segment and id that counts there.
+
+    The rows are reduced to one per segment and id, so the window that spreads "ever bought" over the rows of
+    an id never holds more rows than there are segments.
+    """
+    people = rows.groupBy(segment, *keys).agg(*(F.max(m).alias(m) for m in (*MARKS, *flags)))
+    ever_bought = F.max("bought").over(Window.partitionBy(*keys))
+    return people.withColumn("_ever_bought", ever_bought).filter(
         F.col("counted") | (F.col("located") & ~F.col("_ever_bought"))
     )
-    counted = members.groupBy(segment).agg(
-        F.count("omni_member_id").alias("ttl_member_base"),
-        F.max("buyer").alias("_has_buyers"),
-        *(F.count(F.when(F.col("buyer") & F.col(f), F.col("omni_member_id"))).alias(f) for f in flags),
-    )
-    return counted.select(
-        segment, "ttl_member_base", *(F.when(F.col("_has_buyers"), F.col(f)).alias(f) for f in flags)
+
+
+def _member_counts(flags: tuple[str, ...]) -> list[Column]:
+    """Member base, and one count per flag, NULL without counted buyers."""
+    id_ = F.col("omni_member_id")
+    buyers = (F.count(F.when(F.col("buyer") & F.col(f), id_)).alias(f) for f in flags)
+    return [F.count(id_).alias("ttl_member_base"), *(F.when(F.max("buyer"), n).alias(f) for f, n in zip(flags, buyers))]
+
+
+def member_segments(
+    registered: DataFrame, buyers: DataFrame, located: DataFrame, segment: str, flags: tuple[str, ...]
+) -> DataFrame:
+    """Member base and shopper counts per segment from one pass over the sources of :func:`member_rows`.
+
+    Result: ``ttl_member_base`` and one count per flag, NULL for a segment without counted buyers.
+    """
+    rows = member_rows(registered, buyers, located, segment, flags)
+    members = _counted_once(rows, flags, "omni_member_id", segment=segment)
+    return members.groupBy(segment).agg(*_member_counts(flags))
+
+
+def city_measures(
+    members: DataFrame, stores: DataFrame, registrations: DataFrame, visitors: DataFrame, flags: tuple[str, ...]
+) -> DataFrame:
+    """Members, shoppers, open stores, new registrations and visitors of every city with members.
+
+    ``members`` are :func:`member_rows` by ``city``; ``stores`` and ``registrations`` are (city_cn, id) that may
+    repeat; ``visitors`` are daily rows.  All that is counted is brought to one row per city, kind and id by one
+    aggregation, and all measures come from one more, in which the visitors are added up; nothing is joined.  A city
+    without rows of a source has NULL there.  Stores, registrations and visitors without a city count nowhere.
+    """
+    kinds = {"store_id": stores, "registered_id": registrations}
+    ids = ("omni_member_id", *kinds)
+    rows = members
+    for name, found in kinds.items():
+        city, key = found.columns
+        marks = [F.lit(m in ("counted", name)).alias(m) for m in (*MARKS, *flags)]
+        kind = found.filter(F.col(city).isNotNull()).select(
+            F.col(city).alias("city"), F.lit(name).alias("_kind"), F.col(key).cast("string").alias(name), *marks
+        )
+        rows = rows.unionByName(kind, allowMissingColumns=True)
+    counted = _counted_once(rows, flags, "_kind", *ids, segment="city")
+    daily = visitors.filter(F.col("city_cn").isNotNull()).withColumnRenamed("city_cn", "city")
+
+    def entities(name: str) -> Column:
+        return F.when(F.max(F.col("_kind") == name), F.count(name))
+
+    # Rows of members have no kind, but marks.
+    is_member = F.col("_kind").isNull() & F.col("counted").isNotNull()
+    found = counted.unionByName(daily, allowMissingColumns=True).groupBy("city").agg(
+        F.max(is_member).alias("_listed"),
+        *_member_counts(flags),
+        entities("store_id").alias("current_LCS_store_count"),
+        entities("registered_id").alias("LCS_new_reg"),
+        F.sum("traffic_TY_YTD").alias("traffic_TY_YTD"),
+        F.sum("traffic_LY_YTD").alias("traffic_LY_YTD"),
     )
+    return found.filter("_listed").drop("_listed")
 
 
 # -- stores, footfall, registrations --------------------------------------------------------------
 
 
+def open_store_rows(stores: DataFrame) -> DataFrame:
+    return stores.filter(
+        (F.col("store_status") == fixed.OPEN_STATUS) & F.col("distributor").contains(fixed.STORE_MARK)
+    ).select("city_cn", "store_code")
+
+
 def open_stores(stores: DataFrame) -> DataFrame:
     """Distinct open stores per city."""
-    kept = stores.filter(
-        (F.col("store_status") == fixed.OPEN_STATUS) & F.col("distributor").contains(fixed.STORE_MARK)
-    )
-    return kept.groupBy("city_cn").agg(F.count_distinct("store_code").alias("current_LCS_store_count"))
+    return open_store_rows(stores).groupBy("city_cn").agg(F.count_distinct("store_code").alias("current_LCS_store_count"))
 
 
 def _counted(daily: DataFrame, agg_type: str) -> DataFrame:
     return daily.filter((F.col("agg_type") == agg_type) & F.col("distributor").contains(fixed.STORE_MARK))
 
 
-def footfall(daily: DataFrame, as_of: date, agg_type: str) -> DataFrame:
-    """Visitors of this year and of last year to 365 days ago, of cities with a counted row in either.
+def footfall_rows(daily: DataFrame, as_of: date, agg_type: str) -> DataFrame:
+    """Visitors of each counted row of this year or of last year to 365 days ago, by year.
 
     Only the two windows are read.
     """
@@ -246,15 +308,21 @@ def footfall(daily: DataFrame, as_of: date, agg_type: str) -> DataFrame:
     day = F.col("date_id")
 
     def visitors(within: Column) -> Column:
-        return F.sum(F.when(within, F.col("traffic_amt")).otherwise(F.lit(0)))
+        return F.when(within, F.col("traffic_amt")).otherwise(F.lit(0))
 
-    kept = _counted(daily, agg_type).filter(in_window(day, window))
-    return kept.groupBy("city_cn").agg(
+    return _counted(daily, agg_type).filter(in_window(day, window)).select(
+        "city_cn",
         visitors(in_this_year(day, window)).alias("traffic_TY_YTD"),
         visitors(in_last_year(day, window)).alias("traffic_LY_YTD"),
     )
 
 
+def footfall(daily: DataFrame, as_of: date, agg_type: str) -> DataFrame:
+    """Visitors of both windows, of cities with a counted row in either."""
+    years = ("traffic_TY_YTD", "traffic_LY_YTD")
+    return footfall_rows(daily, as_of, agg_type).groupBy("city_cn").agg(*(F.sum(y).alias(y) for y in years))
+
+
 def traffic_growth(daily: DataFrame, as_of: date, agg_type: str) -> DataFrame:
     """Footfall of both windows and its change; cities that were only counted in other years are listed with 0."""
     visitors = footfall(daily, as_of, agg_type).withColumnRenamed("city_cn", "_city")
@@ -270,19 +338,23 @@ def traffic_growth(daily: DataFrame, as_of: date, agg_type: str) -> DataFrame:
     )
 
 
-def new_registrations(members: DataFrame, stores: DataFrame, as_of: date) -> DataFrame:
-    """Distinct members who registered in a store this year, per city of that store.
-
-    Members whose store is unknown form a group without a city.
-    """
+def new_registration_rows(members: DataFrame, stores: DataFrame, as_of: date) -> DataFrame:
+    """Members who registered in a store this year, with the city of that store; unknown stores have no city."""
     joined_ty = registered_in_stores(members).filter(in_this_year(F.col("join_time"), ytd_window(as_of)))
     places = stores.select("store_code", F.col("city_cn").alias("store_city")).distinct()
     located = lookup_join(
         joined_ty.select("member_detail_id", "eff_reg_store"), places, {"eff_reg_store": "store_code"}
     )
-    return located.groupBy(F.col("store_city").alias("city_cn")).agg(
-        F.count_distinct("member_detail_id").alias("LCS_new_reg")
-    )
+    return located.select(F.col("store_city").alias("city_cn"), "member_detail_id")
+
+
+def new_registrations(members: DataFrame, stores: DataFrame, as_of: date) -> DataFrame:
+    """Distinct members who registered in a store this year, per city of that store.
+
+    Members whose store is unknown form a group without a city.
+    """
+    rows = new_registration_rows(members, stores, as_of)
+    return rows.groupBy("city_cn").agg(F.count_distinct("member_detail_id").alias("LCS_new_reg"))
 
 
 def registration_rate(members: DataFrame, stores: DataFrame, daily: DataFrame, as_of: date, agg_type: str) -> DataFrame:

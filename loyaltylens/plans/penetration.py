@@ -51,22 +51,21 @@ def profile_by_portfolio(both: DataFrame) -> DataFrame:
     return both.select("city", "omni_member_id", *(F.col(f"portfolio_{f}").alias(f) for f in SHOPPERS))
 
 
-def city_members(tables: Tables, profile: DataFrame, bands: CityBands, *, with_years: bool = False) -> DataFrame:
-    """Member base and shopper counts per city.
+def city_member_sources(tables: Tables, profile: DataFrame, bands: CityBands) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Registered members, buyers and located members by city.
 
     Registrations and purchases count in cities with a band; located members count in any city.
     """
-    typed = bands.typed_cities
-    marked = typed.withColumn("counted", F.lit(True))
+    marked = bands.typed_cities.withColumn("counted", F.lit(True))
     known = lookup_join(profile, marked, {"city": "city_cn"}).withColumn("counted", F.coalesce("counted", F.lit(False)))
+    located = ops.located_registrants(tables["located"], tables["member"])
+    return ops.registered_by_city(tables["member"], bands), known, located
+
+
+def city_members(tables: Tables, profile: DataFrame, bands: CityBands, *, with_years: bool = False) -> DataFrame:
+    """Member base and shopper counts per city, of the sources of :func:`city_member_sources`."""
     counts = {**SHOPPERS, **(NEW_SHOPPERS if with_years else {})}
-    members = ops.member_segments(
-        ops.registered_by_city(tables["member"], bands),
-        known,
-        ops.located_registrants(tables["located"], tables["member"]),
-        "city",
-        tuple(counts),
-    )
+    members = ops.member_segments(*city_member_sources(tables, profile, bands), "city", tuple(counts))
     return members.withColumnsRenamed(counts)
 
 
@@ -98,13 +97,14 @@ def member_kpis_city(tables: Tables, as_of: date, agg_type: str) -> DataFrame:
     """Member base, shoppers, stores, footfall growth, registration rate and new-shopper share per city."""
     bands = city_bands(tables["store"], tables["city_type"])
     profile = buyers(tables, as_of, ops.adult_skus(tables["product"]), with_years=True)
-    report = city_members(tables, profile, bands, with_years=True)
-    for part in (
-        ops.open_stores(tables["store"]),
-        ops.footfall(tables["traffic"], as_of, agg_type),
-        ops.new_registrations(tables["member"], tables["store"], as_of),
-    ):
-        report = report.join(part.withColumnRenamed("city_cn", "city"), "city", "left")
+    counts = {**SHOPPERS, **NEW_SHOPPERS}
+    report = ops.city_measures(
+        ops.member_rows(*city_member_sources(tables, profile, bands), "city", tuple(counts)),
+        ops.open_store_rows(tables["store"]),
+        ops.new_registration_rows(tables["member"], tables["store"], as_of),
+        ops.footfall_rows(tables["traffic"], as_of, agg_type),
+        tuple(counts),
+    ).withColumnsRenamed(counts)
     return report.select(
         F.col("city").alias("city_cn"),
         "ttl_member_base",

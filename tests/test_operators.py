@@ -196,6 +196,27 @@ def test_member_segments(spark):
     assert rows_of(found) == {("A", 1, 1, 0), ("B", 2, None, None)}
 
 
+def test_city_measures(spark):
+    members = spark.createDataFrame(
+        [("A", "1", True, True, True, False, True), ("A", "1", True, False, False, False, False), ("A", "2", True, False, False, False, False),
+         ("B", "1", False, False, False, True, False), ("B", "9", False, False, False, True, False), (None, "8", True, False, False, False, False),
+         ("D", "1", False, False, False, True, False)],
+        "city string, omni_member_id string, counted boolean, buyer boolean, bought boolean, located boolean, kids boolean",
+    )
+    stores = spark.createDataFrame([("A", 5), ("A", 5), ("A", 6), ("B", None), ("Z", 7), (None, 8)], "city_cn string, store_code int")
+    # Store 5 and registered member 5 are different ids; member 1 registering bought nothing by it.
+    registered = spark.createDataFrame([("A", "5"), ("A", "5"), (None, "1"), ("Z", "1")], "city_cn string, member_detail_id string")
+    visitors = spark.createDataFrame(
+        [("A", 3, 0), ("A", 0, 4), ("Z", 1, 1), (None, 9, 9), ("B", None, 2)], "city_cn string, traffic_TY_YTD int, traffic_LY_YTD int"
+    )
+    found = ops.city_measures(members, stores, registered, visitors, ("kids",))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3 and "Join" not in plan
+    assert found.columns[1:] == ["ttl_member_base", "kids", "current_LCS_store_count", "LCS_new_reg", "traffic_TY_YTD", "traffic_LY_YTD"]
+    assert rows_of(found) == {("A", 2, 1, 2, 1, 3, 4), ("B", 1, None, 0, None, None, 2), (None, 1, None, None, None, None, None)}
+    assert ops.city_measures(*(f.limit(0) for f in (members, stores, registered, visitors)), ("kids",)).count() == 0
+
+
 def test_open_stores_and_registrations(table):
     stores = table("store", [{"store_code": 1, "city_cn": "A", "store_status": "营业中", "distributor": "LCS-A"}, {"store_code": 1, "city_cn": "A", "store_status": "营业中", "distributor": "LCS-A"}, {"store_code": 2, "city_cn": "A", "store_status": "closed", "distributor": "LCS-A"}, {"store_code": 3, "city_cn": "B", "store_status": "营业中", "distributor": "LBR"}])
     assert rows_of(ops.open_stores(stores)) == {("A", 1)}
