@@ -143,6 +143,13 @@ for _code, _title in {
     DECIDING[_name] = (f"CC {_code} 4.0",)
     TEMPLATES[f"{_name}-notice"] = f"This work is licensed under a Creative Commons {_title} 4.0 International License."
     DECIDING[f"{_name}-notice"] = (f"Creative Commons {_title} 4.0",)
+# Short forms in which licenses are named.
+SHORT_NAMES = {
+    "apache-2.0-name": "Apache License 2.0", "mit-name": "License: MIT", "gpl-3.0-name": "GPLv3", "gpl-2.0-name": "GPLv2",
+    "lgpl-3.0-name": "LGPLv3", "agpl-3.0-name": "AGPLv3",
+}
+TEMPLATES |= SHORT_NAMES
+DECIDING |= {_name: (_phrase,) for _name, _phrase in SHORT_NAMES.items()}
 # Longer identifiers that begin with another one outbid it.
 SPDX = """0BSD AGPL-3.0 Apache-2.0 BSD-2-Clause BSD-2-Clause-Patent BSD-3-Clause BSD-3-Clause-Clear BSD-3-Clause-LBNL
     BSD-4-Clause BSL-1.0 CC-BY-4.0 CC-BY-NC-4.0 CC-BY-NC-ND-4.0 CC-BY-NC-SA-4.0 CC-BY-ND-4.0 CC-BY-SA-4.0 CC0-1.0 EPL-1.0

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+import time
+from collections import Counter
 
 import numpy as np
 
 from loyaltylens.llm.hashing import windows
-from loyaltylens.llm.license_texts import TEMPLATES
-from loyaltylens.llm.licenses import find_licenses, winnowed
+from loyaltylens.llm.license_texts import ABSENT, DECIDING, TEMPLATES
+from loyaltylens.llm.licenses import TemplateIndex, chain, find_licenses, winnowed
 
 MIT = " ".join(TEMPLATES["mit-text"].split())
 PAD = "Some other prose stands here, éé word. " * 5
@@ -69,6 +71,58 @@ def test_texts_notices_and_identifiers_of_common_licenses(docs):
     assert dict(zip(lines, got)) == lines
 
 
+def inserted(text, *places, words=45):
+    """The text with other words in so many places, each a share of its length."""
+    found = text.split()
+    for place in sorted(places, reverse=True):
+        at = int(len(found) * place)
+        found[at:at] = [f"{kind}{n}" for n in range(words // 3) for kind in ("the", "of", "other ")]
+    return " ".join(found)
+
+
+def test_insertions_do_not_hide_a_whole_text(docs):
+    edited = [
+        inserted(TEMPLATES["mit-full-text"], 0.5, words=40), inserted(TEMPLATES["gpl-3.0-text"], 0.4, words=100),
+        PAD + inserted(TEMPLATES["apache-2.0-text"], 0.3, 0.7) + PAD, inserted(TEMPLATES["mit-full-text"], 0.2, 0.3, 0.8, words=30),
+        (TEMPLATES["mit-full-text"] + " " + inserted(TEMPLATES["mit-full-text"], 0.5, words=40) + " ") * 3,
+    ]
+    got = [Counter() for _ in edited]
+    for i, name, words, *_ in rows(find_licenses(docs(edited))):
+        got[i][name, words] += 1
+    whole = {n: len(re.findall("[a-z0-9]+", TEMPLATES[n].lower())) for n in ("mit-full-text", "gpl-3.0-text", "apache-2.0-text")}
+    for i, name in enumerate(["mit-full-text", "gpl-3.0-text", "apache-2.0-text", "mit-full-text", "mit-full-text"]):
+        assert got[i] == {(name, whole[name]): 6 if i == 4 else 1}
+
+
+def test_repeats_of_a_phrase_are_all_found_and_cost_in_proportion(docs):
+    seconds = []
+    for n in (2_000, 20_000):
+        index = TemplateIndex(TEMPLATES, 0.7, DECIDING, ABSENT)
+        coded = index.code(b"released under the mit license in terms of the gnu general public license ".split() * n)
+        start = time.perf_counter()
+        found = [m for m in index.matches(coded) if m.license == "mit"]
+        seconds.append(time.perf_counter() - start)
+        assert [m.first for m in found] == [13 * i for i in range(n)]
+    assert seconds[1] < 40 * seconds[0]
+
+
+def test_short_names(docs):
+    lines = ["Licensed under the Apache License 2.0", "License: MIT", "it is GPLv3.", "the license", "MIT"]
+    assert [(i, n) for i, n, *_ in rows(find_licenses(docs(lines)))] == [(0, "apache-2.0-name"), (1, "mit-name"), (2, "gpl-3.0-name")]
+
+
+def test_chain_rises_and_is_longest():
+    rng = np.random.default_rng(3)
+    for _ in range(100):
+        places, at = np.sort(rng.integers(0, 12, 14)), rng.integers(0, 12, 14)
+        got = chain(places, at)
+        assert all(p < q and a < b for (p, a), (q, b) in zip(got, got[1:])) and set(got) <= set(zip(places.tolist(), at.tolist()))
+        best = {}
+        for p, a in sorted(set(zip(places.tolist(), at.tolist()))):
+            best[p, a] = 1 + max((n for (q, b), n in best.items() if q < p and b < a), default=0)
+        assert len(got) == max(best.values())
+
+
 def lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
