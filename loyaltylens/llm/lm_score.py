@@ -23,17 +23,21 @@ from loyaltylens.llm.hashing import joined, mixed, word_hashes
 
 END = np.uint64(0x5BD1E9955BD1E995)  # stands for the end of a text, and for what is before its first token
 STEPS = np.array(sorted({1, 3} | {2**i for i in range(1, 60)} | {3 * 2**i for i in range(60)}), dtype=np.float64)
+# A count is read back as the middle of those that reach a step and not the next; 0 for none.
+READ = np.r_[0.0, (STEPS[:-1] + STEPS[1:] - 1) / 2, STEPS[-1]]
 RATIO_BINS, CONTEXT_BINS = 160, 24
+ROOM = 1.3  # bits of the filter, of those that one spread over all words would need
+COUNTED_BYTES = 6 << 20  # text whose equal n-grams meet before they are moved
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``order``: longest n-gram.  ``probes``: bits asked per step; a missing step is taken for there once in
+    """``order``: longest n-gram.  ``probes``: bits asked per step, 10 at most; a missing step is taken for there once in
     2**probes.  ``shard_bytes``: text counted per shard.  ``slice_bytes``: most that is broadcast at a time."""
 
-    order: int = 2
+    order: int = 3
     probes: int = 6
-    shard_bytes: int = 16 << 20
+    shard_bytes: int = 8 << 20
     slice_bytes: int = 192 << 20
 
 
@@ -66,10 +70,10 @@ def tokenised(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def counted(rows: DataFrame, shards: int, settings: Settings) -> DataFrame:
-    """Counts of all n-grams, packed: (shard, n, keys, counts).  Equal n-grams meet per piece of about 2 MB first."""
+    """Counts of all n-grams, packed: (shard, n, keys, counts).  Equal n-grams meet per piece of text first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, found in pieces(batches, 2 << 20):
+        for _, found in pieces(batches, COUNTED_BYTES):
             tokens, ends = tokenised(found)
             out = []
             for n, keys in enumerate(ngram_keys(tokens, ends, settings.order), 1):
@@ -105,21 +109,36 @@ def levels(counts: np.ndarray) -> np.ndarray:
     return np.searchsorted(STEPS, counts, side="right")
 
 
-def probe_places(keys: np.ndarray, step: int, probe: int, bits: np.ndarray | int) -> np.ndarray:
-    salt = np.uint64((step * 64 + probe) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-    return mixed(keys ^ salt) % np.uint64(bits) if isinstance(bits, int) else mixed(keys ^ salt) % bits
+def count_of(reached: np.ndarray) -> np.ndarray:
+    """The count that stands for each step."""
+    return READ[reached]
+
+
+def probe_words(keys: np.ndarray, step: int, probes: int, words: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+    """For each key, the word of the filter that holds a step, and the bits in it; one word, so one read of memory."""
+    salt = np.uint64(step * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    spread = mixed(keys ^ salt)
+    bits, mask = mixed(spread + salt), np.zeros(len(keys), np.uint64)
+    for probe in range(probes):
+        mask |= np.uint64(1) << ((bits >> np.uint64(6 * probe)) & np.uint64(63))
+    return spread % (np.uint64(words) if isinstance(words, int) else words), mask
 
 
 def bloom_filter(keys: np.ndarray, counts: np.ndarray, probes: int) -> np.ndarray:
-    """Bits, packed in bytes, that hold every key once per step of its count; sized by the number of entries."""
+    """Words that hold every key once per step of its count; sized by the number of entries.
+
+    All bits of an entry lie in one word of 64.  Words fill unevenly, so there are ``ROOM`` times the bits that a filter
+    spread over all words would have.
+    """
     reached = levels(counts)
-    size = max(64, 8 * math.ceil(int(reached.sum()) * probes / math.log(2) / 8))
-    bits = np.zeros(size, bool)
+    found = np.zeros(max(1, math.ceil(int(reached.sum()) * probes * ROOM / math.log(2) / 64)), np.uint64)
     for step in range(1, int(reached.max(initial=0)) + 1):
-        there = keys[reached >= step]
-        for probe in range(probes):
-            bits[probe_places(there, step, probe, size)] = True
-    return np.packbits(bits)
+        place, mask = probe_words(keys[reached >= step], step, probes, len(found))
+        order = np.argsort(place)
+        place, mask = place[order], mask[order]
+        first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+        found[place[first]] |= np.bitwise_or.reduceat(mask, first)
+    return found
 
 
 def shard_models(counts: DataFrame, settings: Settings) -> DataFrame:
@@ -135,7 +154,7 @@ def shard_models(counts: DataFrame, settings: Settings) -> DataFrame:
         bits = bloom_filter(longer, uses, settings.probes)
         return pd.DataFrame({
             "shard": [key[0]], "tokens": [tokens.tobytes()], "times": [times.tobytes()], "bits": [bits.tobytes()],
-            "total": [int(times.sum())], "distinct": [len(tokens)], "bytes": [16 * len(tokens) + len(bits)],
+            "total": [int(times.sum())], "distinct": [len(tokens)], "bytes": [16 * len(tokens) + bits.nbytes],
         })
 
     schema = "shard int, tokens binary, times binary, bits binary, total bigint, distinct bigint, bytes bigint"
@@ -151,13 +170,13 @@ class Slice:
         self.tokens, self.times = np.concatenate(tokens), np.concatenate([np.frombuffer(r["times"], np.int64) for r in rows])
         order = np.argsort(self.tokens)
         self.tokens, self.times = self.tokens[order], self.times[order].astype(np.uint32 if self.times.max(initial=0) < 1 << 32 else np.int64)
-        self.bits = np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8)
-        # First bit and number of bits of each shard; none for a shard of another slice.
+        self.bits = np.frombuffer(b"".join(r["bits"] for r in rows), np.uint64)
+        # First word and number of words of each shard; none for a shard of another slice.
         self.first, self.size = np.zeros(shards, np.uint64), np.zeros(shards, np.uint64)
         at = 0
         for r in rows:
-            self.first[r["shard"]], self.size[r["shard"]] = at, 8 * len(r["bits"])
-            at += 8 * len(r["bits"])
+            self.first[r["shard"]], self.size[r["shard"]] = at, len(r["bits"]) // 8
+            at += len(r["bits"]) // 8
 
     def counts(self, tokens: np.ndarray) -> np.ndarray:
         if not len(self.tokens):
@@ -174,11 +193,9 @@ class Slice:
         step = 0
         while len(alive):
             step += 1
-            for probe in range(self.probes):
-                own = shard[alive]
-                place = self.first[own] + probe_places(keys[alive], step, probe, self.size[own])
-                hit = (self.bits[(place >> np.uint64(3)).astype(np.int64)] >> (7 - (place & np.uint64(7))).astype(np.uint8)) & 1
-                alive = alive[hit == 1]
+            own = shard[alive]
+            place, mask = probe_words(keys[alive], step, self.probes, self.size[own])
+            alive = alive[self.bits[self.first[own] + place] & mask == mask]
             found[alive] = step
         return found
 
@@ -202,7 +219,7 @@ class Model:
         starts = np.r_[0, ends[:-1] + 1]
         found = []
         for n in range(2, self.order + 1):
-            own = times if n == 2 else STEPS[np.maximum(reached[n - 3], 1) - 1] * (reached[n - 3] > 0)
+            own = times if n == 2 else count_of(reached[n - 3])
             before = np.r_[0, own[:-1]].astype(np.float64)
             before[starts] = self.texts
             found.append(before)
@@ -212,7 +229,7 @@ class Model:
         """log10 of the probability of each token: the orders from one to the longest, mixed by the weights."""
         p = self.unigram(times)
         for n, context in enumerate(self.contexts(times, reached, ends)):
-            count = STEPS[np.maximum(reached[n], 1) - 1] * (reached[n] > 0)
+            count = count_of(reached[n])
             weight = np.array(self.weights[n])[context_bin(context)]
             p = weight * np.minimum(1.0, count / np.maximum(context, 1)) + (1 - weight) * p
         return np.log10(p)
@@ -291,7 +308,7 @@ def tuned(state: DataFrame, last, model: Model) -> Model:
                 times, steps, ends = _probe(batch.slice(start, length), last.value, order)
                 p = model.unigram(np.maximum(times - 1, 0))
                 for n, context in enumerate(model.contexts(times, steps, ends)):
-                    count = STEPS[np.maximum(steps[n], 1) - 1] * (steps[n] > 0)
+                    count = count_of(steps[n])
                     ratio = np.maximum(count - 1, 0) / np.maximum(context - 1, 1) / p
                     place = np.where(ratio > 0, np.clip(4 * np.log2(np.maximum(ratio, 1e-9)) + 40, 1, RATIO_BINS - 1), 0)
                     cell = context_bin(context) * RATIO_BINS + place.astype(np.int64)

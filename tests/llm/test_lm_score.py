@@ -12,7 +12,9 @@ import numpy as np
 import pytest
 from tests.llm.conftest import by_id
 
-from loyaltylens.llm.lm_score import STEPS, Settings, Slice, bloom_filter, levels, score
+from loyaltylens.llm.lm_score import (
+    CONTEXT_BINS, READ, STEPS, Model, Settings, Slice, bloom_filter, counted, levels, ngram_keys, score, shard_models, tokenised,
+)
 
 RNG = random.Random(5)
 CHAIN = {a: RNG.sample("abcdefghijklmnopqrst", 3) for a in "abcdefghijklmnopqrst"}
@@ -38,7 +40,7 @@ def expected(rows):
     return [(r == 1, len(ws), sum(counts[w] > 0 for w in ws), total, b) for r, ws, b in zip(rest, split, base)]
 
 
-@pytest.mark.parametrize("settings", [Settings(), Settings(shard_bytes=1 << 14, slice_bytes=1 << 10), Settings(order=3)])
+@pytest.mark.parametrize("settings", [Settings(), Settings(shard_bytes=1 << 14, slice_bytes=1 << 10), Settings(order=2), Settings(order=4)])
 def test_counts_and_base_score_match_brute_force(docs, settings):
     rows = list(enumerate(TEXTS))
     got = by_id(score(docs(rows), settings=settings))
@@ -100,3 +102,37 @@ def test_repeated_rows_missing_ids_no_rows(docs):
     assert score(docs([])).count() == 0
     held_only = score(docs([(i, "a") for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1])).collect()
     assert held_only and all(r.train_tokens == 0 and r.n_known == 0 for r in held_only)
+
+
+def test_scores_are_the_mixture_of_all_orders(docs):
+    """The score against one counted with dictionaries; the filter takes few steps more than it holds."""
+    rows = [(i, t) for i, t in enumerate(TEXTS) if i != 4]
+    weights = tuple(tuple(0.1 * n + 0.02 * b for b in range(CONTEXT_BINS)) for n in (1, 2))
+    settings = Settings(probes=10, shard_bytes=1 << 12)
+    built = shard_models(counted(docs(rows).fillna("", ["text"]).select("doc_id", "text"), 3, settings), settings).collect()
+    known = Slice([r.asDict() for r in built], 3, settings.probes)
+    model = Model(3, sum(r["total"] for r in built), sum(r["distinct"] for r in built), len(rows), weights)
+    split = [[*(t or "").encode().lower().split(), None] for _, t in rows]
+    # Before a text stands the missing word, whose count is the number of texts; longer contexts stop there.
+    padded = [(None, *ws) for ws in split]
+    grams = Counter(ws[i - n : i] for ws in padded for n in (2, 3) for i in range(n, len(ws) + 1))
+    single = Counter(w for ws in split for w in ws)
+
+    def read(gram):
+        return READ[np.searchsorted(STEPS, grams[gram], side="right")]
+
+    same = 0
+    for (_, text), ws in zip(rows, padded):
+        tokens, ends = tokenised([(text or "").encode()])
+        steps = np.array([known.levels(k) for k in ngram_keys(tokens, ends, 3)[1:]])
+        got = model.log_probability(known.counts(tokens), steps, ends).sum()
+        want = 0.0
+        for i in range(1, len(ws)):
+            p = (single[ws[i]] + 0.5) / (model.total + 0.5 * (model.distinct + 1))
+            for n in (2, 3):
+                context = len(rows) if i == 1 else single[ws[i - 1]] if n == 2 else read(ws[i - 2 : i])
+                weight = weights[n - 2][min(int(math.log2(context + 1)), CONTEXT_BINS - 1)]
+                p = weight * min(1.0, read(ws[max(0, i - n + 1) : i + 1]) / max(context, 1)) + (1 - weight) * p
+            want += math.log10(p)
+        same += got == pytest.approx(want, rel=1e-9)
+    assert same >= 0.9 * len(rows)
