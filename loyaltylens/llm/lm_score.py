@@ -27,7 +27,7 @@ STEPS = np.array(sorted({1, 3} | {2**i for i in range(1, 60)} | {3 * 2**i for i
 READ = np.r_[0.0, (STEPS[:-1] + STEPS[1:] - 1) / 2, STEPS[-1]]
 RATIO_BINS, CONTEXT_BINS = 160, 24
 ROOM = 1.3  # bits of the filter, of those that one spread over all words would need
-COUNTED_BYTES = 6 << 20  # text whose equal n-grams meet before they are moved
+COUNTED_TOKENS = 1 << 20  # tokens whose equal n-grams meet before they are moved
 
 
 @dataclass(frozen=True)
@@ -38,7 +38,7 @@ class Settings:
     order: int = 3
     probes: int = 6
     shard_bytes: int = 8 << 20
-    slice_bytes: int = 192 << 20
+    slice_bytes: int = 128 << 20
 
 
 def ngram_keys(tokens: np.ndarray, ends: np.ndarray, order: int) -> list[np.ndarray]:
@@ -70,23 +70,35 @@ def tokenised(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def counted(rows: DataFrame, shards: int, settings: Settings) -> DataFrame:
-    """Counts of all n-grams, packed: (shard, n, keys, counts).  Equal n-grams meet per piece of text first."""
+    """Counts of all n-grams, packed: (shard, n, keys, counts).  Equal n-grams of about a million tokens meet first."""
+
+    def packed(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        out = []
+        for n, parts in enumerate(held, 1):
+            keys, counts = np.unique(np.concatenate(parts), return_counts=True)
+            parts.clear()
+            shard = (keys % np.uint64(shards)).astype(np.int32)
+            order = np.argsort(shard, kind="stable")
+            cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+            keys, counts = keys[order], counts[order].astype(np.uint32)
+            out += [
+                (s, n, keys[a:b].tobytes(), counts[a:b].tobytes())
+                for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a
+            ]
+        return _batch(out, ["shard", "n", "keys", "counts"], [pa.int32(), pa.int32(), pa.binary(), pa.binary()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, found in pieces(batches, COUNTED_BYTES):
+        held, size = [[] for _ in range(settings.order)], 0
+        for _, found in pieces(batches):
             tokens, ends = tokenised(found)
-            out = []
-            for n, keys in enumerate(ngram_keys(tokens, ends, settings.order), 1):
-                keys, counts = np.unique(keys, return_counts=True)
-                shard = (keys % np.uint64(shards)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
-                cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-                keys, counts = keys[order], counts[order].astype(np.uint32)
-                out += [
-                    (s, n, keys[a:b].tobytes(), counts[a:b].tobytes())
-                    for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a
-                ]
-            yield _batch(out, ["shard", "n", "keys", "counts"], [pa.int32(), pa.int32(), pa.binary(), pa.binary()])
+            for own, keys in zip(held, ngram_keys(tokens, ends, settings.order)):
+                own.append(keys)
+            size += len(tokens)
+            if size >= COUNTED_TOKENS:
+                yield packed(held)
+                size = 0
+        if size:
+            yield packed(held)
 
     return rows.mapInArrow(run, "shard int, n int, keys binary, counts binary")
 
