@@ -27,7 +27,7 @@ STEPS = np.array(sorted({1, 3} | {2**i for i in range(1, 60)} | {3 * 2**i for i
 READ = np.r_[0.0, (STEPS[:-1] + STEPS[1:] - 1) / 2, STEPS[-1]]
 RATIO_BINS, CONTEXT_BINS = 160, 24
 ROOM = 1.3  # bits of the filter, of those that one spread over all words would need
-COUNTED_TOKENS = 1 << 20  # tokens whose equal n-grams meet before they are moved
+COUNTED_TOKENS = 1 << 19  # tokens whose equal n-grams meet before they are moved
 
 
 @dataclass(frozen=True)
@@ -38,7 +38,7 @@ class Settings:
     order: int = 3
     probes: int = 6
     shard_bytes: int = 8 << 20
-    slice_bytes: int = 128 << 20
+    slice_bytes: int = 64 << 20
 
 
 def ngram_keys(tokens: np.ndarray, ends: np.ndarray, order: int) -> list[np.ndarray]:
@@ -70,7 +70,7 @@ def tokenised(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def counted(rows: DataFrame, shards: int, settings: Settings) -> DataFrame:
-    """Counts of all n-grams, packed: (shard, n, keys, counts).  Equal n-grams of about a million tokens meet first."""
+    """Counts of all n-grams, packed: (shard, n, keys, counts).  Equal n-grams of about half a million tokens meet first."""
 
     def packed(held: list[list[np.ndarray]]) -> pa.RecordBatch:
         out = []
@@ -374,7 +374,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", setti
 
     state, last = _state(rows), None
     loaded, held = [], 0
-    for row in models.orderBy("shard").toLocalIterator():
+    for row in models.toLocalIterator():
         if loaded and held + row["bytes"] > settings.slice_bytes:
             last = spark.sparkContext.broadcast(Slice(loaded, shards, settings.probes))
             state = keep(looked_up(state, last, settings.order))
