@@ -35,10 +35,10 @@ class Settings:
     """``order``: longest n-gram.  ``probes``: bits asked per step, 10 at most; a missing step is taken for there once in
     2**probes.  ``shard_bytes``: text counted per shard.  ``slice_bytes``: most that is broadcast at a time."""
 
-    order: int = 3
+    order: int = 2
     probes: int = 6
     shard_bytes: int = 8 << 20
-    slice_bytes: int = 64 << 20
+    slice_bytes: int = 192 << 20
 
 
 def ngram_keys(tokens: np.ndarray, ends: np.ndarray, order: int) -> list[np.ndarray]:

@@ -40,7 +40,7 @@ def expected(rows):
     return [(r == 1, len(ws), sum(counts[w] > 0 for w in ws), total, b) for r, ws, b in zip(rest, split, base)]
 
 
-@pytest.mark.parametrize("settings", [Settings(), Settings(shard_bytes=1 << 14, slice_bytes=1 << 10), Settings(order=2), Settings(order=4)])
+@pytest.mark.parametrize("settings", [Settings(), Settings(shard_bytes=1 << 14, slice_bytes=1 << 10), Settings(order=3), Settings(order=4)])
 def test_counts_and_base_score_match_brute_force(docs, settings):
     rows = list(enumerate(TEXTS))
     got = by_id(score(docs(rows), settings=settings))
@@ -108,7 +108,7 @@ def test_scores_are_the_mixture_of_all_orders(docs):
     """The score against one counted with dictionaries; the filter takes few steps more than it holds."""
     rows = [(i, t) for i, t in enumerate(TEXTS) if i != 4]
     weights = tuple(tuple(0.1 * n + 0.02 * b for b in range(CONTEXT_BINS)) for n in (1, 2))
-    settings = Settings(probes=10, shard_bytes=1 << 12)
+    settings = Settings(order=3, probes=10, shard_bytes=1 << 12)
     built = shard_models(counted(docs(rows).fillna("", ["text"]).select("doc_id", "text"), 3, settings), settings).collect()
     known = Slice([r.asDict() for r in built], 3, settings.probes)
     model = Model(3, sum(r["total"] for r in built), sum(r["distinct"] for r in built), len(rows), weights)
