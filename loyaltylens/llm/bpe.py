@@ -10,12 +10,14 @@ import json
 import re
 from collections.abc import Iterable
 from functools import cache, cached_property
+from itertools import chain
 
 import numpy as np
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 CACHE_PIECES = 250_000  # results held per task; the cache starts anew beyond it
 LONG_PIECE = 256  # only shorter pieces are held
+CACHE_IDS = 4_000_000  # ids held per task in a table of pieces
 
 # Up to U+024F, but for characters whose lower case reaches beyond it, lower-casing and composition
 # change nothing that the plain expression below does not see.  Letters, digits and space there are these.
@@ -24,7 +26,8 @@ PLAIN_ONLY = re.compile(f"[{LEAVING}\u0250-\U0010ffff]")
 LETTERS = "a-zªµºß-öø-ɏ"
 DIGITS = "0-9²³¹¼-¾"
 SPACES = "\t-\r\x20\u0085 "
-PLAIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^{SPACES}{LETTERS}{DIGITS}]+")
+# A blank in front is passed over with the piece, which is quicker than to try a piece there.
+PLAIN = re.compile(f" ?([{LETTERS}]+|[{DIGITS}]|'s|'t|'re|'ve|'m|'ll|'d|[^{SPACES}{LETTERS}{DIGITS}]+)")
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 NO_RANK = 1 << 40
@@ -240,34 +243,95 @@ class PieceCounts(dict):
     def learn(self, pieces: Iterable[str]) -> None:
         special = [p for p in pieces if p in self.vocabulary.special]
         plain = [p for p in pieces if p not in self.vocabulary.special]
-        for piece in special:
-            self[piece] = self.held(np.array([self.vocabulary.special[piece]]), np.array([1]))[0]
-        if plain:
-            coded = [p.encode() for p in plain]
-            data = np.frombuffer(b"".join(coded), np.uint8)
-            lengths = np.fromiter(map(len, coded), np.int64, len(coded))
-            symbols = self.vocabulary.inner[data]
-            ends = np.cumsum(lengths) - 1
-            symbols[ends] = self.vocabulary.last[data[ends]]
-            symbols, owner = self.arrays.merge(symbols, np.repeat(np.arange(len(plain)), lengths))
-            self.update(zip(plain, self.held(symbols, np.bincount(owner, minlength=len(plain)))))
-
-    def held(self, symbols: np.ndarray, counts: np.ndarray) -> list:
-        """What is held of each piece, from all their symbols in a row and the number of each."""
-        return counts.tolist()
-
-
-class PieceBytes(PieceCounts):
-    """Token ids by piece, as packed numbers of ``kind``."""
+        self.update(zip(special, [1] * len(special)))
+        _, counts = merged(plain, self.vocabulary, self.arrays)
+        self.update(zip(plain, counts.tolist()))
 
-    def __init__(self, path: str) -> None:
-        super().__init__(path)
-        self.kind = np.dtype("<u2" if self.vocabulary.size <= 1 << 16 else "<u4")
 
-    def held(self, symbols: np.ndarray, counts: np.ndarray) -> list:
-        data = symbols.astype(self.kind).tobytes()
-        ends = (np.cumsum(counts) * self.kind.itemsize).tolist()
-        return [data[a:b] for a, b in zip([0, *ends], ends)]
+def merged(plain: list[str], vocabulary: WordVocabulary, arrays: RankArrays) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of pieces that are no special strings, one piece behind the other, and how many each has."""
+    if not plain:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    coded = [p.encode() for p in plain]
+    data = np.frombuffer(b"".join(coded), np.uint8)
+    lengths = np.fromiter(map(len, coded), np.int64, len(coded))
+    symbols = vocabulary.inner[data]
+    ends = np.cumsum(lengths) - 1
+    symbols[ends] = vocabulary.last[data[ends]]
+    symbols, owner = arrays.merge(symbols, np.repeat(np.arange(len(plain)), lengths))
+    return symbols, np.bincount(owner, minlength=len(plain))
+
+
+class PieceTable(dict):
+    """Number of each piece in a table of token ids; row 0 of the table is the id that ends a text.
+
+    A piece that is not held gets the next number when it is looked up; the new pieces of some texts are merged
+    together before the table is read.  When it holds too much, the pieces used most stay.
+    """
+
+    def __init__(self, path: str, end_id: int) -> None:
+        self.vocabulary = WordVocabulary(path)
+        self.arrays = RankArrays(self.vocabulary)
+        super().__init__(zip(self.vocabulary.special, range(1, len(self.vocabulary.special) + 1)))
+        self.kind = np.dtype("<u2" if self.vocabulary.size <= 1 << 16 else "<u4")
+        self.ids = np.array([end_id, *self.vocabulary.special.values()], self.kind)
+        self.counts = np.ones(len(self.ids), np.int64)
+        self.uses = np.zeros(len(self.ids), np.int64)
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self.counts) + len(self.new)
+        self.new.append(piece)
+        return number
+
+    def encoded(self, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one behind the other, each with the end id, and how many each has."""
+        found = [self._rows(text) for text in texts]
+        self._learn()
+        rows = np.concatenate(found) if found else np.zeros(0, np.int32)
+        ids, counts = self._read(rows)
+        ends = np.r_[0, np.cumsum(counts)][np.cumsum([0, *map(len, found)])]
+        self.uses += np.bincount(rows, minlength=len(self.uses))
+        if len(self.counts) > CACHE_PIECES or len(self.ids) > CACHE_IDS:
+            self._shrink()
+        return ids, np.diff(ends)
+
+    def _rows(self, text: str) -> np.ndarray:
+        pieces = self.vocabulary.pieces(text)
+        return np.fromiter(chain(map(self.__getitem__, pieces), (0,)), np.int32, len(pieces) + 1)
+
+    def _learn(self) -> None:
+        """Append the ids of the new pieces; long ones are not held for other texts."""
+        ids, counts = merged(self.new, self.vocabulary, self.arrays)
+        self.ids = np.concatenate([self.ids, ids.astype(self.kind)])
+        self.counts = np.concatenate([self.counts, counts])
+        self.uses = np.concatenate([self.uses, np.zeros(len(counts), np.int64)])
+        for piece in self.new:
+            if len(piece) > LONG_PIECE:
+                del self[piece]
+        self.new = []
+
+    def _read(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in some rows of the table, one row behind the other, and how many each row has."""
+        counts = self.counts[rows]
+        starts = (np.cumsum(self.counts) - self.counts)[rows]
+        places = np.repeat(starts - np.cumsum(counts) + counts, counts)
+        places += np.arange(len(places))
+        return self.ids[places], counts
+
+    def _shrink(self) -> None:
+        """Hold the pieces used most, half of what may be held, besides the end id and the special strings."""
+        fixed = 1 + len(self.vocabulary.special)
+        pieces = np.array(list(self), object)
+        rows = np.fromiter(self.values(), np.int64, len(self))
+        order = np.argsort(-self.uses[rows], kind="stable")
+        order = order[rows[order] >= fixed][: CACHE_PIECES // 2]
+        order = order[np.cumsum(self.counts[rows[order]]) <= CACHE_IDS // 2]
+        kept = np.r_[:fixed, rows[order]]
+        self.ids, self.counts = self._read(kept)
+        self.uses = self.uses[kept] // 2
+        self.clear()
+        self.update(zip([*self.vocabulary.special, *pieces[order]], range(1, len(kept))))
 
 
 @cache
@@ -277,8 +341,8 @@ def piece_counts(path: str) -> PieceCounts:
 
 
 @cache
-def piece_bytes(path: str) -> PieceBytes:
-    return PieceBytes(path)
+def piece_table(path: str, end_id: int) -> PieceTable:
+    return PieceTable(path, end_id)
 
 
 class PieceIds(dict):

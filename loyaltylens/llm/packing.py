@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loyaltylens.llm.bpe import piece_bytes
+from loyaltylens.llm.bpe import piece_table
 from loyaltylens.llm.common import keep, pieces, texts
 
 FEATURES, DIMENSIONS, BITS = 256, 3, 16  # hashed features, dimensions they are projected to, bits of each
@@ -73,17 +73,12 @@ def tokenised(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_c
     """doc_id, place on the curve, n and packed ids of each document, the end id included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = piece_bytes(vocabulary)
-        kind = known.kind
-        end = np.array([end_id], dtype=kind).tobytes()
+        table = piece_table(vocabulary, end_id)
         for doc_ids, found in pieces(batches):
-            cut = [known.vocabulary.pieces(t.decode()) for t in found]
-            long = known.known(cut)
-            packed = [b"".join(map(known.__getitem__, c)) + end for c in cut]
-            known.forget(long)
-            lengths = np.fromiter(map(len, packed), np.int64, len(packed)) // kind.itemsize
-            owner = np.repeat(np.arange(len(packed)), lengths)
-            keys = curve_keys(np.frombuffer(b"".join(packed), kind), owner, len(packed))
+            ids, lengths = table.encoded(t.decode() for t in found)
+            keys = curve_keys(ids, np.repeat(np.arange(len(found)), lengths), len(found))
+            data, ends = ids.tobytes(), (np.cumsum(lengths) * ids.itemsize).tolist()
+            packed = [data[a:b] for a, b in zip([0, *ends], ends)]
             yield pa.RecordBatch.from_arrays(
                 [doc_ids.cast(pa.int64()), pa.array(keys.astype(np.int64)), pa.array(lengths), pa.array(packed, pa.binary())],
                 ["doc_id", "key", "n", "packed"],
@@ -145,7 +140,7 @@ def pack(
     sums = dealt.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas().sort_values("bucket")
     first = np.zeros(int(sums["bucket"].max()) + 1 if len(sums) else 0, np.int64)
     first[sums["bucket"].to_numpy(np.int64)] = (sums["n"].cumsum() - sums["n"]).to_numpy(np.int64)
-    wide = tokens_kind(vocabulary)
+    kind = piece_table(vocabulary, end_id).kind
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket = at = None
@@ -154,7 +149,7 @@ def pack(
             for doc_id, n, packed, own in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "packed", "bucket"))):
                 if own != bucket:
                     bucket, at = own, int(first[own])
-                ids = np.frombuffer(packed, wide).astype("<u4").tobytes()
+                ids = np.frombuffer(packed, kind).astype("<u4").tobytes()
                 start = 0
                 while start < n:
                     offset = at % length
@@ -181,10 +176,6 @@ def _rows(out: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in numbers), pa.array(ids, pa.binary())], names)
 
 
-def tokens_kind(vocabulary: str) -> np.dtype:
-    return piece_bytes(vocabulary).kind
-
-
 def digests(packed: DataFrame) -> DataFrame:
     """The pieces with the CRC-32 of their ids in place of the ids."""
     return packed.select(

@@ -13,7 +13,10 @@ from hypothesis import strategies as st
 from tests.llm.conftest import by_id
 from tokenizers import Tokenizer
 
-from loyaltylens.llm.bpe import PieceCounts, PieceIds, RankArrays, WordVocabulary, merge_long, merge_short
+from loyaltylens.llm import bpe
+from loyaltylens.llm.bpe import (
+    PieceCounts, PieceIds, PieceTable, RankArrays, WordVocabulary, merge_long, merge_short,
+)
 from loyaltylens.llm.bpe_codec import codec_digests, decode, encode
 from loyaltylens.llm.token_counts import over_limit, token_counts
 
@@ -64,6 +67,42 @@ def test_short_long_and_array_merges_agree_on_random_symbols():
             assert symbols[owner == n].tolist() == want
 
 
+@pytest.mark.parametrize("held,held_ids", [(250_000, 4_000_000), (8, 4_000_000), (2, 40), (250_000, 3)])
+def test_table_agrees_with_the_library_whatever_it_holds(monkeypatch, held, held_ids):
+    monkeypatch.setattr(bpe, "CACHE_PIECES", held)
+    monkeypatch.setattr(bpe, "CACHE_IDS", held_ids)
+    table = PieceTable(PATH, 1)
+    texts = [t or "" for t in TEXTS]
+    for batch in [texts, [], [""], *([t] for t in texts), texts[::-1], texts + texts]:
+        ids, lengths = table.encoded(batch)
+        assert [a.tolist() for a in np.split(ids, np.cumsum(lengths))[:-1]] == [[*ids_of(t), 1] for t in batch]
+        assert max(map(len, table)) <= bpe.LONG_PIECE and len(table) <= held + len(VOCABULARY.special)
+
+
+def test_table_looks_up_each_piece_once_and_merges_common_ones_once(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 100)
+    learnt, looked_up = [], []
+
+    class Watched(PieceTable):
+        def __missing__(self, piece):
+            learnt.append(piece)
+            return super().__missing__(piece)
+
+        def __getitem__(self, piece):
+            looked_up.append(piece)
+            return super().__getitem__(piece)
+
+    table = Watched(PATH, 1)
+    for n in range(30):
+        common, rare = ["the", "of", "cats"] * 5, [f"rare{a}{b}" for a in "abcdefgh" for b in "ijklm"[: 1 + n % 5]]
+        rare = [f"{w}{chr(97 + n % 26)}q" for w in rare]
+        table.encoded([" ".join(common + rare)])
+        assert len(looked_up) == len(common + rare)
+        looked_up.clear()
+    assert len(learnt) > 400
+    assert [learnt.count(w) for w in ("the", "of", "cats")] == [1, 1, 1]
+
+
 def test_counts_query(docs):
     got = by_id(over_limit(token_counts(docs(TEXTS), PATH)))
     for i, text in enumerate(TEXTS):
