@@ -17,7 +17,8 @@ from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 CACHE_PIECES = 250_000  # results held per task; the cache starts anew beyond it
 LONG_PIECE = 256  # only shorter pieces are held
-CACHE_IDS = 4_000_000  # ids held per task in a table of pieces
+TABLE_PIECES = 125_000  # pieces held per task in a table; the pipeline has little memory left in its last stage
+TABLE_IDS = 4_000_000  # ids held there
 
 # Up to U+024F, but for characters whose lower case reaches beyond it, lower-casing and composition
 # change nothing that the plain expression below does not see.  Letters, digits and space there are these.
@@ -292,7 +293,7 @@ class PieceTable(dict):
         ids, counts = self._read(rows)
         ends = np.r_[0, np.cumsum(counts)][np.cumsum([0, *map(len, found)])]
         self.uses += np.bincount(rows, minlength=len(self.uses))
-        if len(self.counts) > CACHE_PIECES or len(self.ids) > CACHE_IDS:
+        if len(self.counts) > TABLE_PIECES or len(self.ids) > TABLE_IDS:
             self._shrink()
         return ids, np.diff(ends)
 
@@ -325,8 +326,8 @@ class PieceTable(dict):
         pieces = np.array(list(self), object)
         rows = np.fromiter(self.values(), np.int64, len(self))
         order = np.argsort(-self.uses[rows], kind="stable")
-        order = order[rows[order] >= fixed][: CACHE_PIECES // 2]
-        order = order[np.cumsum(self.counts[rows[order]]) <= CACHE_IDS // 2]
+        order = order[rows[order] >= fixed][: TABLE_PIECES // 2]
+        order = order[np.cumsum(self.counts[rows[order]]) <= TABLE_IDS // 2]
         kept = np.r_[:fixed, rows[order]]
         self.ids, self.counts = self._read(kept)
         self.uses = self.uses[kept] // 2

@@ -17,6 +17,7 @@ from loyaltylens.llm.common import keep, pieces, texts
 
 FEATURES, DIMENSIONS, BITS = 256, 3, 16  # hashed features, dimensions they are projected to, bits of each
 TIE_BITS = 63 - DIMENSIONS * BITS  # spread documents at the same point over many keys
+SLICE = 1 << 19  # bytes of texts that are encoded together
 BUCKET_TOKENS = 1 << 20  # a bucket of the curve is written by one task, in a stream
 GRID = 4096  # quantiles that are found at a time
 
@@ -74,7 +75,7 @@ def tokenised(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = piece_table(vocabulary, end_id)
-        for doc_ids, found in pieces(batches):
+        for doc_ids, found in pieces(batches, SLICE):
             ids, lengths = table.encoded(t.decode() for t in found)
             keys = curve_keys(ids, np.repeat(np.arange(len(found)), lengths), len(found))
             data, ends = ids.tobytes(), (np.cumsum(lengths) * ids.itemsize).tolist()

@@ -69,8 +69,8 @@ def test_short_long_and_array_merges_agree_on_random_symbols():
 
 @pytest.mark.parametrize("held,held_ids", [(250_000, 4_000_000), (8, 4_000_000), (2, 40), (250_000, 3)])
 def test_table_agrees_with_the_library_whatever_it_holds(monkeypatch, held, held_ids):
-    monkeypatch.setattr(bpe, "CACHE_PIECES", held)
-    monkeypatch.setattr(bpe, "CACHE_IDS", held_ids)
+    monkeypatch.setattr(bpe, "TABLE_PIECES", held)
+    monkeypatch.setattr(bpe, "TABLE_IDS", held_ids)
     table = PieceTable(PATH, 1)
     texts = [t or "" for t in TEXTS]
     for batch in [texts, [], [""], *([t] for t in texts), texts[::-1], texts + texts]:
@@ -80,7 +80,7 @@ def test_table_agrees_with_the_library_whatever_it_holds(monkeypatch, held, held
 
 
 def test_table_looks_up_each_piece_once_and_merges_common_ones_once(monkeypatch):
-    monkeypatch.setattr(bpe, "CACHE_PIECES", 100)
+    monkeypatch.setattr(bpe, "TABLE_PIECES", 100)
     learnt, looked_up = [], []
 
     class Watched(PieceTable):
