@@ -2,11 +2,12 @@
 
 Every count is exact in the end, and nothing that grows with the corpus is broadcast or held by the driver:
 
-1. Texts are gathered into blocks of one language and a few MB, with a number each, and written once.
+1. Texts are gathered into blocks of one language and a few MB, with a number each, and written once, compressed.
 2. Each block counts its own word sequences and sends them, as 32-bit fingerprints, to hash partitions ("buckets").
 3. Each bucket merges what the blocks sent into a Misra-Gries summary with more counters than its mass divided by the
    threshold, so that no frequent sequence is lost, and answers every block with one bit per fingerprint it sent.
-4. Each block counts again, only the sequences whose bit is set, now as texts; sums of these are exact.
+4. Each block meets its answers, alone in its group, and counts again, only the sequences whose bit is set, now as
+   texts; sums of these are exact.
 """
 
 from __future__ import annotations
@@ -32,6 +33,10 @@ BREAK = 0xFF
 TABLE = bytes(c + 32 if 65 <= c <= 90 else BREAK if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256))
 MARK = bytes([BREAK])
 
+LOOKED_UP = 1 << 18  # fingerprints that are looked up at once
+PAGES = {"compression": "none", "parquet.enable.dictionary": "false", "parquet.page.size.row.check.min": "1"}
+PARTS = 64  # of the phrases of a language, each ranked by a task of its own first
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -47,10 +52,13 @@ class Settings:
 # -- blocks of text ---------------------------------------------------------------------------------
 
 
-def blocks(docs: DataFrame, settings: Settings, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """block, lang and normalised data of all texts, ``settings.block_bytes`` each or a little more.
+def blocks(
+    docs: DataFrame, settings: Settings, text_col: str = "text", lang_col: str = "lang", packed: bool = False
+) -> DataFrame:
+    """block, lang, normalised data of all texts, ``settings.block_bytes`` each or a little more, and its size.
 
-    Texts are cut at the ends of pieces only, so no phrase is lost between blocks.
+    Texts are cut at the ends of pieces only, so no phrase is lost between blocks.  ``packed`` data is compressed, for
+    :func:`unpacked`: an executor holds a row several times over while it is read, sorted and sent.
     """
     limit = settings.block_bytes
 
@@ -64,8 +72,11 @@ def blocks(docs: DataFrame, settings: Settings, text_col: str = "text", lang_col
             number += 1
             data = MARK.join(waiting.pop(lang))
             held.pop(lang)
+            size = len(data)
+            data = pa.compress(data, codec="zstd", asbytes=True) if packed else data
             return pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), pa.array([lang]), pa.array([data], pa.binary())], ["block", "lang", "data"]
+                [pa.array([number], pa.int64()), pa.array([lang]), pa.array([data], pa.binary()), pa.array([size], pa.int64())],
+                ["block", "lang", "data", "size"],
             )
 
         for batch in batches:
@@ -86,7 +97,11 @@ def blocks(docs: DataFrame, settings: Settings, text_col: str = "text", lang_col
             yield flush(lang)
 
     found = texts(docs, lang_col, text_col).select(F.coalesce("doc_id", F.lit("und")).alias("lang"), "text")
-    return found.mapInArrow(run, "block bigint, lang string, data binary")
+    return found.mapInArrow(run, "block bigint, lang string, data binary, size bigint")
+
+
+def unpacked(data: pa.BinaryScalar, size: pa.Int64Scalar) -> bytes:
+    return pa.decompress(data.as_buffer(), decompressed_size=size.as_py(), codec="zstd", asbytes=True)
 
 
 class Sequences:
@@ -171,10 +186,11 @@ def summaries(found: DataFrame, buckets: int, settings: Settings) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, lang, data in zip(*(batch.column(c) for c in ("block", "lang", "data"))):
-                own = Sequences(data.as_py(), settings.longest)
+            for block, lang, data, size in zip(*(batch.column(c) for c in ("block", "lang", "data", "size"))):
+                own = Sequences(unpacked(data, size), settings.longest)
                 counts = own.counts()
                 order, bucket, prints = by_bucket(own.hashes(lang.as_py()), counts, buckets)
+                del own
                 sent = np.minimum(counts[order], settings.min_count).astype(kind)
                 ends = np.searchsorted(bucket, np.arange(buckets + 1))
                 there = np.flatnonzero(np.diff(ends))
@@ -201,9 +217,12 @@ class Summary:
         self.keys, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def merge(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        self.keys, where = np.unique(np.concatenate([self.keys, keys]), return_inverse=True)
-        both = np.concatenate([self.counts, counts])
-        self.counts = np.bincount(where, weights=both, minlength=len(self.keys)).astype(np.int64)
+        keys = np.concatenate([self.keys, keys])
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[len(keys) > 0], keys[1:] != keys[:-1]]))
+        self.keys, both = keys[first], np.concatenate([self.counts, counts])[order]
+        self.counts = np.add.reduceat(both, first) if len(first) else both
         if len(self.keys) > self.capacity:
             place = len(self.counts) - self.capacity - 1
             least = int(np.partition(self.counts, place)[place])  # the largest count that has no room
@@ -212,10 +231,28 @@ class Summary:
             self.keys, self.counts = self.keys[left], self.counts[left] - least
 
     def may_reach(self, threshold: int) -> np.ndarray:
-        """Every key whose true count is at least ``threshold``, and few others."""
+        """Every key whose true count is at least ``threshold``, and few others, in order."""
         return self.keys[self.counts + self.lost >= threshold]
 
 
+def gathered(arrays: list[np.ndarray], least: int) -> Iterator[tuple[int, int]]:
+    """From where to where neighbouring arrays have ``least`` values together; the last may have fewer."""
+    start = held = 0
+    for i, array in enumerate(arrays, 1):
+        held += len(array)
+        if held >= least or i == len(arrays):
+            yield start, i
+            start, held = i, 0
+
+
+def among(prints: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Which of the fingerprints are among those of ``frequent``, which are in order."""
+    if not len(frequent):
+        return np.zeros(len(prints), bool)
+    at = np.searchsorted(frequent, prints)
+    return frequent[np.minimum(at, len(frequent) - 1)] == prints
+
+
 def answers(sent: DataFrame, settings: Settings) -> DataFrame:
     """block, bucket and bits: which of the fingerprints that a block sent to a bucket may be frequent.
 
@@ -225,18 +262,18 @@ def answers(sent: DataFrame, settings: Settings) -> DataFrame:
     kind, threshold = count_type(settings.min_count), settings.min_count
 
     def run(group: pa.Table) -> pa.Table:
-        prints = [np.frombuffer(p, "<u4") for p in group.column("prints").to_pylist()]
-        counts = [np.frombuffer(c, kind) for c in group.column("counts").to_pylist()]
+        prints = [np.frombuffer(p.as_buffer(), "<u4") for p in group.column("prints")]
+        counts = [np.frombuffer(c.as_buffer(), kind) for c in group.column("counts")]
         mass = sum(int(c.sum(dtype=np.int64)) for c in counts)
         summary = Summary(settings.counters * mass // threshold + 1)
-        held: list[int] = []
-        for i in range(len(prints)):
-            held.append(i)
-            if i == len(prints) - 1 or sum(len(prints[j]) for j in held) >= summary.capacity:
-                summary.merge(np.concatenate([prints[j] for j in held]), np.concatenate([counts[j] for j in held]))
-                held = []
+        for start, end in gathered(prints, summary.capacity):
+            summary.merge(np.concatenate(prints[start:end]), np.concatenate(counts[start:end]))
         frequent = summary.may_reach(threshold)
-        bits = [np.packbits(np.isin(p, frequent, assume_unique=False, kind="sort")).tobytes() for p in prints]
+        bits: list[bytes] = []
+        for start, end in gathered(prints, LOOKED_UP):
+            flags = among(np.concatenate(prints[start:end]), frequent)
+            ends = np.cumsum([len(p) for p in prints[start:end]]).tolist()
+            bits += [np.packbits(flags[s:e]).tobytes() for s, e in zip([0, *ends], ends)]
         return pa.table([group.column("block"), group.column("bucket"), pa.array(bits, pa.binary())], ["block", "bucket", "bits"])
 
     return sent.groupBy("bucket").applyInArrow(run, "block bigint, bucket bigint, bits binary")
@@ -244,28 +281,32 @@ def answers(sent: DataFrame, settings: Settings) -> DataFrame:
 
 def exact_counts(found: DataFrame, answered: DataFrame, buckets: int, settings: Settings) -> DataFrame:
     """lang, size, phrase and count of the sequences that may be frequent, one row per block; size 0 counts words."""
-    own = answered.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "bits"))).alias("bits"))
-    both = found.join(own, "block").select("lang", "data", F.col("bits.bits").alias("bits"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["lang", "size", "phrase", "count"]
-        for batch in batches:
-            for lang, data, bits in zip(*(batch.column(c) for c in ("lang", "data", "bits"))):
-                lang = lang.as_py()
-                own = Sequences(data.as_py(), settings.longest)
-                counts = own.counts()
-                order, bucket, _ = by_bucket(own.hashes(lang), counts, buckets)
-                sizes = np.unique(bucket, return_counts=True)[1]
-                flags = [np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(bits.as_py(), sizes)]
-                chosen = np.zeros(len(counts), bool)
-                chosen[order] = np.concatenate(flags).astype(bool)
-                rows = chain([(0, b"", own.total)], own.named(chosen))
-                while part := list(islice(rows, 20_000)):
-                    size, phrase, count = zip(*part)
-                    arrays = [pa.array([lang] * len(size)), pa.array(size, pa.int32()), pa.array(phrase, pa.binary()).cast(pa.string())]
-                    yield pa.RecordBatch.from_arrays([*arrays, pa.array(count, pa.int64())], names)
-
-    return both.mapInArrow(run, "lang string, size int, phrase string, count bigint")
+    names = ["lang", "size", "phrase", "count"]
+    kinds = pa.schema(zip(names, [pa.string(), pa.int32(), pa.string(), pa.int64()]))
+
+    def run(block: pa.Table, answer: pa.Table) -> pa.Table:
+        if not answer.num_rows:  # a block without words
+            return kinds.empty_table()
+        lang = block.column("lang")[0].as_py()
+        own = Sequences(unpacked(block.column("data")[0], block.column("size")[0]), settings.longest)
+        counts = own.counts()
+        order, bucket, _ = by_bucket(own.hashes(lang), counts, buckets)
+        sizes = np.unique(bucket, return_counts=True)[1]
+        bits = [answer.column("bits")[i].as_buffer() for i in np.argsort(answer.column("bucket").to_numpy()).tolist()]
+        flags = [np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(bits, sizes)]
+        chosen = np.zeros(len(counts), bool)
+        chosen[order] = np.concatenate(flags).astype(bool)
+        rows = chain([(0, b"", own.total)], own.named(chosen))
+        batches = []
+        while part := list(islice(rows, 20_000)):
+            size, phrase, count = zip(*part)
+            arrays = [pa.array([lang] * len(size)), pa.array(size, pa.int32()), pa.array(phrase, pa.binary()).cast(pa.string())]
+            batches.append(pa.RecordBatch.from_arrays([*arrays, pa.array(count, pa.int64())], schema=kinds))
+        return pa.Table.from_batches(batches)
+
+    # A group is sent by itself, so a task holds one block and its answers at a time.
+    both = found.groupBy("block").cogroup(answered.groupBy("block"))
+    return both.applyInArrow(run, "lang string, size int, phrase string, count bigint")
 
 
 def frequent_sequences(docs: DataFrame, settings: Settings, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -273,8 +314,9 @@ def frequent_sequences(docs: DataFrame, settings: Settings, text_col: str = "tex
 
     Counted within pieces, overlaps included, for each language by itself.  Rows of size 0 hold the words of a language.
     """
-    found = keep(blocks(docs, settings, text_col, lang_col))
-    total = found.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()[0]
+    # A page of the table is one block: by default it has 100 rows at least, and is held whole.
+    found = keep(blocks(docs, settings, text_col, lang_col, packed=True), **PAGES)
+    total = found.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     # About six bytes a word; it only decides how finely the sequences are dealt.
     buckets = max(1, math.ceil(total / 6 * settings.longest / settings.bucket_mass))
     answered = answers(summaries(found, buckets, settings), settings)
@@ -335,6 +377,12 @@ def covering(candidates: DataFrame, settings: Settings) -> DataFrame:
     return each.groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
 
 
+def ranked(found: DataFrame, best: int, *groups: str) -> DataFrame:
+    """The ``best`` rows of each group and their rank."""
+    order = Window.partitionBy(*groups).orderBy(F.desc("score"), F.desc("a"), "phrase")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= best)
+
+
 def collocations(
     docs: DataFrame, settings: Settings = Settings(), text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
@@ -357,8 +405,9 @@ def collocations(
         found = found.join(held, ["lang", "phrase"], "left")
         share = wide("longer") * 100 >= wide("a") * settings.covered_percent
         found = found.filter(~F.coalesce(share, F.lit(False)))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= settings.best)
+    # The best of each part of a language are found first, so that no task sorts a whole language.
+    found = found.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    best = ranked(ranked(found, settings.best, "lang", "part"), settings.best, "lang")
     return best.join(totals, "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )

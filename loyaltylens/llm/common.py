@@ -70,12 +70,12 @@ def _has_no_order(kind: DataType) -> bool:
     return any(word in kind.simpleString() for word in ("map<", "variant", "interval"))
 
 
-def keep(df: DataFrame) -> DataFrame:
+def keep(df: DataFrame, **options: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it again: later steps neither compute it a second
-    time nor need the executors that made it."""
+    time nor need the executors that made it.  ``options`` are those of the Parquet writer."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

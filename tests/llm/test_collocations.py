@@ -124,3 +124,42 @@ def test_exact_beyond_64_bits(spark):
     candidates = frequent.filter("size = 2").withColumnRenamed("count", "a")
     row = c.scored(candidates, frequent.filter("size >= 1")).first()
     assert row["score"] == 1_000_000 * (big - 3) ** 2 // (big * (big + 1))
+
+
+def test_blocks_are_kept_compressed(spark):
+    rows = sample(200, 4)
+    plain = {b["block"]: b for b in c.blocks(frame(spark, rows), c.Settings(block_bytes=3000)).collect()}
+    packed = c.blocks(frame(spark, rows), c.Settings(block_bytes=3000), packed=True).toArrow()
+    assert packed.num_rows == len(plain) > 3
+    for block, lang, data, size in zip(*packed.columns):
+        own = plain[block.as_py()]
+        assert lang.as_py() == own["lang"] and c.unpacked(data, size) == bytes(own["data"])
+        assert size.as_py() == own["size"] == len(own["data"]) > len(data.as_py())
+
+
+def test_one_block_at_a_time_meets_its_answers(spark):
+    """The texts of a whole partition in one batch are more than an executor has room for."""
+    settings = c.Settings(block_bytes=300, bucket_mass=500)
+    found = c.keep(c.blocks(frame(spark, sample(60, 5) + [("fr", "., !")]), settings, packed=True), **c.PAGES)
+    counted = c.exact_counts(found, c.answers(c.summaries(found, 3, settings), settings), 3, settings)
+    nodes = counted._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in nodes and "Join" not in nodes
+    assert {r["lang"] for r in counted.collect()} == {"en", "de", "und"}
+
+
+def test_fingerprints_are_looked_up_together():
+    rng = np.random.default_rng(7)
+    arrays = [np.sort(rng.integers(0, 1 << 32, n, dtype=np.uint32)) for n in (0, 3, 50, 0, 900, 7, 1)]
+    assert list(c.gathered(arrays, 50)) == [(0, 3), (3, 5), (5, 7)] and list(c.gathered([], 50)) == []
+    every = np.concatenate(arrays)
+    for frequent in (np.zeros(0, np.uint32), np.unique(every[::3]), np.unique(every)[:1], np.unique(every)[-1:]):
+        assert c.among(every, frequent).tolist() == np.isin(every, frequent).tolist()
+
+
+def test_ranks_over_parts_of_a_language(spark):
+    rows = [("en", f"w{i} x{i}", 2, 20 + i % 7, 30, 30, 5 + i % 3) for i in range(500)]
+    found = spark.createDataFrame(rows, "lang string, phrase string, size int, a bigint, l bigint, r bigint, score bigint")
+    found = found.withColumn("part", c.F.pmod(c.F.xxhash64("phrase"), c.F.lit(8)))
+    best = c.ranked(c.ranked(found, 9, "lang", "part"), 9, "lang").collect()
+    expected = sorted((-r[6], -r[3], r[1]) for r in rows)[:9]
+    assert [(-r["score"], -r["a"], r["phrase"]) for r in sorted(best, key=lambda r: r["rank"])] == expected
