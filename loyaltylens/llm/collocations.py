@@ -319,7 +319,8 @@ def frequent_sequences(docs: DataFrame, settings: Settings, text_col: str = "tex
     total = found.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     # About six bytes a word; it only decides how finely the sequences are dealt.
     buckets = max(1, math.ceil(total / 6 * settings.longest / settings.bucket_mass))
-    answered = answers(summaries(found, buckets, settings), settings)
+    # Kept, so that Spark can let go of the fingerprints, which take more room than the texts.
+    answered = keep(answers(summaries(found, buckets, settings), settings))
     counted = exact_counts(found, answered, buckets, settings)
     sums = counted.groupBy("lang", "size", "phrase").agg(F.sum("count").alias("count"))
     return sums.filter((F.col("count") >= settings.min_count) | (F.col("size") == 0))
